@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: One random odd 64-bit number for each byte value.
 _BYTE = np.random.Generator(np.random.PCG64(20240501)).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_QUAD = np.uint64(0xD6E8FEB86659FD93)
+_QUAD = 0xD6E8FEB86659FD93
 
 
 def held(doc_id: Column, mod: int, rest: int) -> Column:
@@ -35,7 +36,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
         if not batch.num_rows:
             continue
         col = batch.column(batch.schema.get_field_index(column))
-        sizes = np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.binary_length(col), 0), np.int64))
+        sizes = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(col), 0), np.int64))
         at, done = 0, 0
         while at < batch.num_rows:
             end = max(at + 1, int(np.searchsorted(sizes, done + limit, "right")))
@@ -50,7 +51,7 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
 
 def flat_bytes(batch: pa.RecordBatch, column: str = "text") -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all texts end to end, and where each text begins (one more entry for the end)."""
-    col = pa.compute.fill_null(batch.column(batch.schema.get_field_index(column)).cast(pa.large_binary()), b"")
+    col = pc.fill_null(batch.column(batch.schema.get_field_index(column)).cast(pa.large_binary()), b"")
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
     offsets = np.frombuffer(col.buffers()[1], np.int64)[col.offset : col.offset + len(col) + 1]
@@ -112,21 +113,14 @@ def gram_hashes(h: np.ndarray, k: int) -> np.ndarray:
     n = len(h) - k + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    out, done, part, size, power = None, 0, h, 1, _QUAD
-    unit = np.uint64(1)
-    left = k
+    out, done, part, size, power, unit, left = None, 0, h, 1, _QUAD, 1, k
     while left:
         if left & 1:
-            piece = part[done : done + n] * unit
+            piece = part[done : done + n] * np.uint64(unit)
             out = piece if out is None else out + piece
-            done += size
-            unit = unit * power
+            done, unit = done + size, unit * power % 2**64
         left >>= 1
         if left:
-            part = part[: len(part) - size] + part[size:] * power
-            size, power = size * 2, power * power
+            part = part[: len(part) - size] + part[size:] * np.uint64(power)
+            size, power = size * 2, power * power % 2**64
     return mix(out)
-
-
-def map_arrow(df: DataFrame, f: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(f, schema)

@@ -10,7 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from geoloom.llm.byte_bpe import round_trip
 from geoloom.llm.exact_dedup import ORACLE as EXACT_SQL
 from geoloom.llm.exact_dedup import exact_dedup
+from geoloom.llm.near_dedup import ORACLE as NEAR_SQL
+from geoloom.llm.near_dedup import near_dedup
 from geoloom.llm.packing import pack
+from geoloom.llm.substring_dedup import ORACLE as SUBSTRING_SQL
+from geoloom.llm.substring_dedup import substring_dedup
 from geoloom.llm.token_counts import token_counts
 from geoloom.session import ship_package
 
@@ -36,9 +40,17 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(_table(spark, sf_dir, "documents"))
+
+
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op3_exact_dedup, op4_packing, op6_byte_bpe)}
+    return {f.__name__: f for f in (op1_token_counts, op3_exact_dedup, op4_packing, op6_byte_bpe, op8_substring_dedup, op10_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": EXACT_SQL}
+    return {"op3_exact_dedup": EXACT_SQL, "op8_substring_dedup": SUBSTRING_SQL, "op10_near_dedup": NEAR_SQL}

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -147,7 +148,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
             chunks = [bare_chunks(t) for t in texts(batch)]
             cache.fill(chunks)
             counts = [sum(map(cache.__getitem__, c)) for c in chunks]
-            sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(1)), 0).cast(pa.int64())
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).cast(pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), sizes, pa.array(counts, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
     counted = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_bytes long, n_tokens long")
