@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from geoloom.llm.byte_bpe import round_trip
 from geoloom.llm.exact_dedup import ORACLE as EXACT_SQL
 from geoloom.llm.exact_dedup import exact_dedup
+from geoloom.llm.lm_score import lm_score
 from geoloom.llm.near_dedup import ORACLE as NEAR_SQL
 from geoloom.llm.near_dedup import near_dedup
 from geoloom.llm.packing import pack
@@ -40,6 +41,10 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op7_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score(_table(spark, sf_dir, "documents"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_table(spark, sf_dir, "documents"))
 
@@ -49,7 +54,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op3_exact_dedup, op4_packing, op6_byte_bpe, op8_substring_dedup, op10_near_dedup)}
+    return {f.__name__: f for f in (op1_token_counts, op3_exact_dedup, op4_packing, op6_byte_bpe, op7_lm_score, op8_substring_dedup, op10_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
