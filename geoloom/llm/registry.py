@@ -17,6 +17,9 @@ from geoloom.llm.packing import pack
 from geoloom.llm.substring_dedup import ORACLE as SUBSTRING_SQL
 from geoloom.llm.substring_dedup import substring_dedup
 from geoloom.llm.token_counts import token_counts
+from geoloom.llm.toxicity import fit, toxicity
+from geoloom.llm.vector_topk import ORACLE as TOPK_SQL
+from geoloom.llm.vector_topk import vector_topk
 from geoloom.session import ship_package
 
 
@@ -37,6 +40,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity(docs, fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -49,13 +57,17 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op9_vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_topk(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op3_exact_dedup, op4_packing, op6_byte_bpe, op7_lm_score, op8_substring_dedup, op10_near_dedup)}
+    return {f.__name__: f for f in (op1_token_counts, op3_exact_dedup, op4_packing, op5_toxicity, op6_byte_bpe, op7_lm_score, op8_substring_dedup, op9_vector_topk, op10_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": EXACT_SQL, "op8_substring_dedup": SUBSTRING_SQL, "op10_near_dedup": NEAR_SQL}
+    return {"op3_exact_dedup": EXACT_SQL, "op8_substring_dedup": SUBSTRING_SQL, "op9_vector_topk": TOPK_SQL, "op10_near_dedup": NEAR_SQL}
