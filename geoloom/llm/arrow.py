@@ -19,6 +19,9 @@ _LOWER = np.frombuffer(LOWER, np.uint8)
 #: 0x20 and 0x09-0x0D part words; so does bytes.split().
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: The same, and ASCII punctuation as well.
+_BREAK = _SPACE.copy()
+_BREAK[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 #: One random odd 64-bit number for each byte value.
 _BYTE = np.random.Generator(np.random.PCG64(20240501)).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -70,10 +73,11 @@ def mix(h: np.ndarray) -> np.ndarray:
 class Words:
     """The words of a slice of texts, as arrays: byte ranges, 64-bit hashes and the text each belongs to."""
 
-    def __init__(self, batch: pa.RecordBatch, lower: bool, column: str = "text"):
+    def __init__(self, batch: pa.RecordBatch, lower: bool, column: str = "text", punctuation: bool = False):
+        """``punctuation``: ASCII punctuation parts words too."""
         flat, offsets = flat_bytes(batch, column)
         self.flat = flat = _LOWER[flat] if lower else flat
-        inside = ~_SPACE[flat]
+        inside = ~(_BREAK if punctuation else _SPACE)[flat]
         before = np.zeros(len(flat), bool)
         before[1:] = inside[:-1]
         firsts = offsets[:-1][offsets[:-1] < len(flat)]

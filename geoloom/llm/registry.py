@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from geoloom.llm.byte_bpe import round_trip
 from geoloom.llm.exact_dedup import ORACLE as EXACT_SQL
 from geoloom.llm.exact_dedup import exact_dedup
+from geoloom.llm.license_scan import license_scan
 from geoloom.llm.lm_score import lm_score
 from geoloom.llm.near_dedup import ORACLE as NEAR_SQL
 from geoloom.llm.near_dedup import near_dedup
@@ -32,6 +34,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(_table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -66,7 +72,8 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op3_exact_dedup, op4_packing, op5_toxicity, op6_byte_bpe, op7_lm_score, op8_substring_dedup, op9_vector_topk, op10_near_dedup)}
+    found = {f.__name__: f for f in (op1_token_counts, op2_license_scan, op3_exact_dedup, op4_packing, op5_toxicity, op6_byte_bpe, op7_lm_score, op8_substring_dedup, op9_vector_topk, op10_near_dedup)}
+    return found | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
