@@ -49,7 +49,8 @@ def exact_groups(docs: DataFrame, first_digit: int = 32, widen: int = 8) -> Data
             .where("group_size > 1")
             .withColumn("group", F.monotonically_increasing_id())
         ).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        split = keyed.join(groups, ["gid", "digit", "ended", "salt"])
+        # a shuffle join at every size: the group table grows with the corpus
+        split = keyed.join(groups.hint("merge"), ["gid", "digit", "ended", "salt"])
         out = split.select(
             "doc_id",
             (F.sha2(F.col("rest"), 256) if at == 0 else F.col("text_sha256")).alias("text_sha256"),
@@ -81,7 +82,7 @@ def exact_dedup(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select("doc_id", "text")
     copies = exact_groups(docs).dropDuplicates(["doc_id", "text_sha256"])
-    copies = copies.select(F.col("doc_id").alias("d"), F.col("text_sha256").alias("s"), "keep_id", "group_size")
+    copies = copies.select(F.col("doc_id").alias("d"), F.col("text_sha256").alias("s"), "keep_id", "group_size").hint("merge")
     return (
         docs.select("doc_id", F.sha2(lower_ascii(F.col("text")), 256).alias("text_sha256"))
         .join(copies, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_sha256") == F.col("s")), "left")
