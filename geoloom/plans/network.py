@@ -70,7 +70,7 @@ def _penalty(a: str, b: str, c: str, d: str) -> str:
     return f"case max_road_rank when 4 then {a} when 3 then {b} when 2 then {c} else {d} end"
 
 
-_PROFILE = f"""ends as (select u as osmid, {_RANK} as rank from edges union all select v, {_RANK} from edges
+PROFILE = f"""ends as (select u as osmid, {_RANK} as rank from edges union all select v, {_RANK} from edges
 ), deg as (select osmid, count(*) as degree, max(rank) as max_road_rank from ends group by osmid
 ), profile as (
   select n.osmid, n.highway as traffic_control, degree, degree >= 3 as is_intersection, max_road_rank,
@@ -221,8 +221,8 @@ SQL = {
       ), d as (select source_id from m group by source_id having bool_or(alike) and bool_or(ends and alike))
       select source_id, street_name, infra_type, 'osm' as data_source from o union all select source_id, street_name, infra_type, 'official' from f where source_id not in (select source_id from d)""",
     "edge_crash_score": f"with {_N}, {_E}, {_C}, {_MET}, {_scores(1)} select u, v, key, coalesce(crash_count, 0) as crash_count, round(coalesce(crash_score, 0), 6) as crash_score from edges left join scores using (u, v, key)",
-    "node_profile": f"with {_N}, {_E}, {_PROFILE} select * from profile",
-    "safety_edges": f"""with {_N}, {_E}, {_CLASSIFIED}, {_C}, {_MET}, {_scores(2)}, {_R}, {_LMET}, {_CAND}, {_PROFILE}, f as (
+    "node_profile": f"with {_N}, {_E}, {PROFILE} select * from profile",
+    "safety_edges": f"""with {_N}, {_E}, {_CLASSIFIED}, {_C}, {_MET}, {_scores(2)}, {_R}, {_LMET}, {_CAND}, {PROFILE}, f as (
         select c.u, c.v, c.key, infra_type, display_route_type, coalesce(crash_count, 0) as crash_count, length_m, {_FACTORS}, coalesce(traffic_control_penalty, 0.0::double) as traffic_control_penalty,
           coalesce(crash_score, 0.0::double) as crash_score, case when length_m > 0 then coalesce(crash_score, 0.0::double) / length_m else 0.0::double end as per
         from classified c left join best using (u, v, key) left join scores using (u, v, key) left join profile p on p.osmid = c.v)

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoloom.plans import network
+from geoloom.plans import network, warehouse
 
-_MODULES = (network,)
+_MODULES = (network, warehouse)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
