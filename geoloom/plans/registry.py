@@ -3,16 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoloom.plans import network, warehouse
+from geoloom.plans import graph, network, warehouse
+from geoloom.session import ship_package
 
-_MODULES = (network, warehouse)
+_MODULES = (network, warehouse, graph)
+
+
+def _shipped(f: Callable) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(f)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return f(spark, sf_dir)
+
+    return run
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for m in _MODULES for f in m.QUERIES}
+    return {f.__name__: _shipped(f) for m in _MODULES for f in m.QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
