@@ -25,8 +25,6 @@ from geoloom.llm.chunks import Cache
 from geoloom.session import stage
 
 _PLAIN = re.compile(r"[\W_]+")
-#: Three or more single characters with something else between them.
-_SPELLED = re.compile(r"(?<![^\W_])[^\W_](?:[\W_]{1,3}[^\W_](?![^\W_])){2,}")
 #: A unit's first character, so that kernels see where it begins.
 _START = "^"
 #: Tokens of a document that its score looks at: the worst ones.
@@ -42,9 +40,20 @@ def units_of(token: str, span: int = 24) -> list[str]:
     return [_START + unit[i : i + span] for i in range(0, len(unit) - span // 2, span // 2)]
 
 
-def spelled(text: str) -> list[str]:
-    """Words spelled out in single characters."""
-    return _SPELLED.findall(text)
+def spelled(tokens: list[str]) -> list[str]:
+    """Words spelled out in three or more single characters, one a token ("s t u p i d", "m. o. r."), joined."""
+    single = [i for i, t in enumerate(tokens) if len(t) < 3 and (len(t) == 1 or not t.isalnum())]
+    out: list[str] = []
+    run: list[str] = []
+    last = -2
+    for i in [*single, -9]:
+        if i != last + 1:
+            if len(run) > 2:
+                out.append("".join(run))
+            run = []
+        last = i
+        run.append(tokens[i] if i >= 0 else "")
+    return [x for x in out if len(_PLAIN.sub("", x)) > 2]
 
 
 def _codes(units: list[str], length: int) -> np.ndarray:
@@ -55,27 +64,28 @@ def _codes(units: list[str], length: int) -> np.ndarray:
 
 
 def _kernel(s: np.ndarray, t: np.ndarray, order: int, decay: float) -> np.ndarray:
-    """Subsequence kernel by the usual recursion; s: (n, L) codes; t: (m, T) for all pairs or (n, 1, T) row by row; 0 pads."""
-    t = t if t.ndim == 3 else t[None]
-    n, size = len(s), t.shape[2]
+    """Subsequence kernel of each row of codes s (n, L) with t: (T, 1), one text for all, or (T, n), one for each; 0 pads.
+
+    The usual recursion over the characters of s; rows lie along the last axis, so every step is a few long products.
+    """
+    n, size = len(s), len(t)
     place = np.arange(size)
-    gap = place[None, :] - place[:, None]
+    gap = place[:, None] - place[None, :]
     spread = np.where(gap >= 0, np.float32(decay) ** (gap + 2), 0).astype(np.float32)  # a match at b' seen from the prefix that ends at b
     fill = t != 0
-    # state[i][..., b]: subsequences of i + 1 characters with a match in the first b characters of t, discounted to its end
-    state = [np.zeros((n, t.shape[1], size + 1), np.float32) for _ in range(order - 1)]
-    total = np.zeros((n, t.shape[1]), np.float32)
+    columns = np.ascontiguousarray(s.T)
+    # state[i][b]: subsequences of i + 1 characters with a match in the first b characters of t, discounted to its end
+    state = np.zeros((order - 1, size + 1, n), np.float32)
+    total = np.zeros(n, np.float32)
     for a in range(s.shape[1]):
-        live = s[:, a] != 0
-        if not live.any():
+        if not columns[a].any():
             break
-        match = ((s[:, a, None, None] == t) & fill).astype(np.float32)
-        total += np.float32(decay**2) * (match * state[-1][..., :-1]).sum(2)
+        match = ((columns[a][None] == t) & fill).astype(np.float32)
+        total += (match * state[-1, :-1]).sum(0)
         for i in range(order - 2, -1, -1):
-            seen = match if i == 0 else match * state[i - 1][..., :-1]
             state[i] *= np.float32(decay)
-            state[i][..., 1:] += seen @ spread
-    return total
+            state[i, 1:] += spread @ (match if i == 0 else match * state[i - 1, :-1])
+    return np.float32(decay**2) * total
 
 
 def _shared(s: np.ndarray, marks: list[str]) -> np.ndarray:
@@ -97,19 +107,22 @@ def kernel(units: list[str], marks: list[str], order: int, decay: float) -> np.n
     out = np.zeros((len(units), len(marks)), np.float32)
     if not units or not marks:
         return out
-    t = _codes(marks, max(map(len, marks)))
-    own_t = _kernel(t, t[:, None, :], order, decay)[:, 0]
+    rows = [_codes([m], len(m)) for m in marks]
+    own_t = [float(_kernel(t, t.T, order, decay)[0]) for t in rows]
     by_length = sorted(range(len(units)), key=lambda i: len(units[i]))
-    for at in range(0, len(units), 4096):
-        part = np.array(by_length[at : at + 4096])
+    for at in range(0, len(units), 8192):
+        part = np.array(by_length[at : at + 8192])
         s = _codes([units[i] for i in part], max(1, len(units[part[-1]])))
-        row, mark = np.nonzero(_shared(s, marks) >= order)
-        if not len(row):
+        near = _shared(s, marks) >= order
+        some = np.flatnonzero(near.any(1))
+        if not len(some):
             continue
-        some, back = np.unique(row, return_inverse=True)
-        own = _kernel(s[some], s[some][:, None, :], order, decay)[:, 0]
-        both = _kernel(s[row], t[mark][:, None, :], order, decay)[:, 0]
-        out[part[row], mark] = both / np.sqrt(np.maximum(own[back] * own_t[mark], 1e-30))
+        own = np.zeros(len(part), np.float32)
+        own[some] = _kernel(s[some], np.ascontiguousarray(s[some].T), order, decay)
+        for j, t in enumerate(rows):
+            row = np.flatnonzero(near[:, j])
+            if len(row):
+                out[part[row], j] = _kernel(s[row], t.T, order, decay) / np.sqrt(np.maximum(own[row] * own_t[j], 1e-30))
     return out
 
 
@@ -128,7 +141,7 @@ class Model:
     def margins(self, units: list[str]) -> np.ndarray:
         return self.features(units) @ self.plane + self.bias if units else np.zeros(0)
 
-    def fit_plane(self, units: list[str], label: np.ndarray, weight: np.ndarray, cost: float = 1.0, rounds: int = 60) -> None:
+    def fit_plane(self, units: list[str], label: np.ndarray, weight: np.ndarray, cost: float = 10.0, rounds: int = 60) -> None:
         """Dual coordinate descent for the weighted hinge loss."""
         x = np.hstack([self.features(units), np.ones((len(units), 1))])
         y = np.where(label > 0, 1.0, -1.0)
@@ -166,7 +179,8 @@ class Model:
 
 def _worst(cache: Cache, batch_texts: list[str], floor: float) -> np.ndarray:
     """Each text's greatest margins of distinct tokens, greatest first; ``floor`` where there are fewer."""
-    lists = [t.split() + spelled(t) for t in batch_texts]
+    lists = [t.split() for t in batch_texts]
+    lists = [x + spelled(x) for x in lists]
     cache.fill(lists)
     out = np.full((len(lists), WORST), floor)
     for i, tokens in enumerate(lists):
@@ -187,7 +201,7 @@ def _token_margins(model: Model):
     return work
 
 
-def fit(docs: DataFrame, labels: DataFrame, mod: int = 3, rest: int = 1, train_rows: int = 20_000, landmarks: int = 26, order: int = 4, decay: float = 0.8, unit_rows: int = 6_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, mod: int = 3, rest: int = 1, train_rows: int = 20_000, landmarks: int = 64, order: int = 4, decay: float = 0.8, unit_rows: int = 6_000) -> Model:
     """Learn from labelled documents whose crc32(doc_id as text) mod ``mod`` is not ``rest``.
 
     At most ``train_rows`` labelled documents are used, half of each label at most, chosen by a hash of the id; at most
@@ -210,7 +224,7 @@ def fit(docs: DataFrame, labels: DataFrame, mod: int = 3, rest: int = 1, train_r
             for text, toxic in zip(texts(batch), batch.column(2).to_pylist(), strict=True):
                 found = set()
                 for sentence in _SENTENCE.split(text):
-                    for token in sentence.split() + spelled(sentence):
+                    for token in (tokens := sentence.split()) + spelled(tokens):
                         found.update(units_of(token))
                 count[toxic > 0].update(found)
             names = list(count[0].keys() | count[1].keys())
