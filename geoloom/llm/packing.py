@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoloom.llm.arrow import slices, texts
-from geoloom.llm.chunks import Cache, spaced_chunks
+from geoloom.llm.chunks import Cache, spaced_chunks, spelling
 from geoloom.session import stage
 
 #: Rows of (id, cuts) that are sent to every executor at most; beyond it both sides are shuffled.
@@ -117,19 +118,33 @@ def solve_patterns(lengths: np.ndarray, demand: np.ndarray, size: int, pivots: i
 # -- tokens ----------------------------------------------------------------------------------------------------------
 
 _caches: dict[str, Cache] = {}
+#: Fixed value: the split that byte-level tokenizers of this family make before merging.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def _cache(path: str) -> Cache:
+    """Chunk -> ids of a byte-level BPE tokenizers file.
+
+    Ids of such a file are merge ranks, so the quicker tiktoken coder gives the library's ids from the file's own
+    vocabulary (the tests hold both against each other). Chunks with a special token's string go to the library.
+    """
     if path not in _caches:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
+        import tiktoken
         from tokenizers import Tokenizer
 
         library = Tokenizer.from_file(path)
+        special = [t.content for t in library.get_added_tokens_decoder().values()]
+        byte = {c: b for b, c in spelling().items()}
+        ranks = {bytes(byte[c] for c in t): i for t, i in library.get_vocab(with_added_tokens=False).items() if t not in special}
+        quick = tiktoken.Encoding("file", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
-        def work(chunks: list[str]) -> list[bytes]:
-            return [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch_fast(chunks, add_special_tokens=False)]
+        def ids(chunk: str) -> list[int]:
+            if "<" in chunk and any(s in chunk for s in special):
+                return library.encode(chunk, add_special_tokens=False).ids
+            return quick(chunk)
 
-        _caches[path] = Cache(work)
+        _caches[path] = Cache(lambda chunks: [array("I", ids(c)).tobytes() for c in chunks])
     return _caches[path]
 
 

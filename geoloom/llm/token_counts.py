@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.llm.arrow import slices, texts
-from geoloom.llm.chunks import Cache, bare_chunks
+from geoloom.llm.chunks import Cache, bare_chunks, spelling
 
 _NONE = np.iinfo(np.int64).max
 
@@ -91,9 +91,7 @@ class WordTokenizer:
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pattern = regex.compile(pattern)
-        # printable stand-ins of bytes, as byte-level vocabularies spell them
-        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        spell = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in plain)}
+        spell = spelling()
         self.inner = np.array([vocab[spell[b]] for b in range(256)], np.int64)
         self.last = np.array([vocab[spell[b] + end] for b in range(256)], np.int64)
         self.bytes_of = {c: b for b, c in spell.items()}
