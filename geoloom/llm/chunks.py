@@ -24,10 +24,17 @@ def spelling() -> dict[int, str]:
 class Cache(dict):
     """chunk -> result, filled for many chunks at once; emptied when it holds ``limit`` chunks, so memory is bounded."""
 
+    #: The cache in use: a worker that serves several operators in turn holds one filled cache at a time.
+    used: "Cache | None" = None
+
     def __init__(self, work: Callable[[list[str]], Iterable], limit: int = 700_000):
         self.work, self.limit = work, limit
 
     def fill(self, lists: list[list[str]]) -> None:
+        if Cache.used is not self:
+            if Cache.used is not None:
+                Cache.used.clear()
+            Cache.used = self
         need = set().union(*lists)
         if len(self) > self.limit:
             self.clear()
