@@ -1,4 +1,4 @@
-"""The request-log stream: JSON files in, deduplicated within a watermark, merged into a table by key."""
+"""The request-log stream: JSON files in, deduplicated against all that has landed, appended to a table by batch."""
 
 from __future__ import annotations
 
@@ -19,14 +19,18 @@ def retained(df: DataFrame, days: int, as_of: str) -> DataFrame:
     return df.where(F.col("server_timestamp") >= F.expr(f"timestamp'{as_of}' - interval {days} days"))
 
 
-def land(stream: DataFrame, target: str, checkpoint: str, late: str = "1 hour") -> None:
-    """Run the stream over all that has landed: repeats within ``late`` go, batches are appended once each.
+def land(stream: DataFrame, target: str, checkpoint: str) -> None:
+    """Run the stream over all that has landed: a request_id lands once, however late; rows without one all land.
 
-    A batch writes to a folder of its own number, so a replay after a lost driver overwrites what it wrote before.
+    A batch writes to a folder of its own number and looks for repeats in the batches before it, so a replay after a
+    lost driver overwrites what it wrote before with the same rows. Only the landed ids are read.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
+        fresh = batch.where("request_id is not null").dropDuplicates(["request_id"])
+        if number:
+            landed = batch.sparkSession.read.schema("request_id string, batch long").parquet(target).where(F.col("batch") < number)
+            fresh = fresh.join(landed.select("request_id"), "request_id", "left_anti")
+        fresh.unionByName(batch.where("request_id is null")).write.mode("overwrite").parquet(f"{target}/batch={number}")
 
-    once = stream.withWatermark("server_timestamp", late).dropDuplicatesWithinWatermark(["request_id"])
-    once.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

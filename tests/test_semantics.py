@@ -12,6 +12,7 @@ from geoloom.functions.rules import oneway_fits
 from geoloom.operators import geocode, graph, incremental, merge, quality
 from geoloom.operators.components import connected_components
 from geoloom.sources import elements, export
+from geoloom.streaming import logs
 
 CLEAN = [
     ("  123  N  Main St ,  Chicago , IL ", "123 N MAIN ST, CHICAGO, IL"),
@@ -210,3 +211,23 @@ def test_simplify(spark):
 
     x, y = np.arange(6.0), np.array([0, 0.1, 0, 5, 0, 0])
     assert export.simplify_points(x, y, 0.5).tolist() == [True, False, True, True, True, True]
+
+
+def test_late_requests_land_once(spark, tmp_path):
+    """More files than a few batches take, newest first, with repeats in the same and in other batches."""
+    import datetime
+    import json
+    import os
+
+    (tmp_path / "in").mkdir()
+    at = lambda i: (datetime.datetime(2024, 3, 28, tzinfo=datetime.UTC) - datetime.timedelta(hours=6 * i)).isoformat(timespec="microseconds")
+    for i in range(320):
+        lines = [{"request_id": f"r{k}", "server_timestamp": at(k), "source_ip": "x"} for k in (i, i, i // 3)] + [{"server_timestamp": at(i)}]
+        f = tmp_path / "in" / f"{i:03d}.json"
+        f.write_text("\n".join(map(json.dumps, lines)))
+        os.utime(f, (1_700_000_000 + i, 1_700_000_000 + i))
+    logs.land(logs.route_log_stream(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "state"))
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.select("batch").distinct().count() == 4
+    assert sorted(r["request_id"] for r in got.where("request_id is not null").collect()) == sorted(f"r{i}" for i in range(320))
+    assert got.where("request_id is null").count() == 320
