@@ -84,7 +84,7 @@ def _routing(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def route_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges, penalties = _routing(spark, sf_dir)
-    return G.route_batch(_requests(spark, sf_dir), edges, penalties, 6)
+    return G.route_batch(_requests(spark, sf_dir), edges, penalties)
 
 
 def route_shape(spark: SparkSession, sf_dir: str) -> DataFrame:

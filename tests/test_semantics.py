@@ -231,3 +231,44 @@ def test_late_requests_land_once(spark, tmp_path):
     assert got.select("batch").distinct().count() == 4
     assert sorted(r["request_id"] for r in got.where("request_id is not null").collect()) == sorted(f"r{i}" for i in range(320))
     assert got.where("request_id is null").count() == 320
+
+
+def test_registered_routes_are_complete(spark, monkeypatch):
+    """The registered query over near and far requests against a search over (node, previous node) states."""
+    import os
+
+    from geoloom.plans import graph as plans
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("no test tables")
+    edges, penalties = plans._routing(spark, sf)
+    out, p = {}, {(r["a"], r["b"], r["c"]): r["penalty"] for r in penalties.collect()}
+    for r in edges.select("u", "v", "cost").collect():
+        out.setdefault(r["u"], []).append((r["v"], r["cost"]))
+
+    def least(o, d):
+        heap, done = [(0.0, o, -1)], set()
+        while heap:
+            c, x, prev = heapq.heappop(heap)
+            if x == d:
+                return c
+            if (x, prev) not in done:
+                done.add((x, prev))
+                for v, w in out.get(x, ()):
+                    if prev < 0 or (prev, x, v) in p:
+                        heapq.heappush(heap, (c + w + p.get((prev, x, v), 0.0), v, x))
+        return None
+
+    asked = [(i, i * 5 % 200, (i * 83 + 49) % 200) for i in range(40)] + [(40, 0, 49), (41, 49, 50), (42, 7, 7)]
+    monkeypatch.setattr(plans, "_requests", lambda *_: spark.createDataFrame(asked, "pair long, origin long, destination long"))
+    rows = plans.route_batch(spark, sf).collect()
+    assert len(rows) == len(asked) and max(len(r["path"]) for r in rows if r["path"]) > 40
+    cost = {(u, v): w for u, to in out.items() for v, w in to}
+    for r in rows:
+        want = least(r["origin"], r["destination"])
+        assert r["converged"] and (r["cost"] is None) == (want is None), r
+        if want is not None:
+            assert abs(r["cost"] - want) < 1e-3, r
+            walk = sum(cost[e] for e in zip(r["path"], r["path"][1:])) + sum(p[t] for t in zip(r["path"], r["path"][1:], r["path"][2:]))
+            assert abs(walk - want) < 1e-3
