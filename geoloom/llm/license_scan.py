@@ -1,17 +1,19 @@
-"""License scans: winnowed fingerprints in an inverted index, then banded sequence alignment.
+"""License scans: an inverted index of template words, an exact count filter, then banded sequence alignment.
 
-Template notices are read as words (lower-cased, parted by white space and ASCII punctuation). Their k-word grams are hashed and
-winnowed (the least of each ``span`` consecutive ones), and an inverted index lists which template has which
-fingerprint where. A document's grams are winnowed the same way, so any run of k + span - 1 shared words has a shared
-fingerprint. Each hit names a template and a diagonal; hits on near diagonals that lie close form a candidate region.
-There the template is aligned to the document's words within a band around the diagonal (match 2, mismatch and gap -1,
-free ends), and the alignment's matched words give coverage, and its ends the span.
+Template notices are read as words (lower-cased, parted by white space and ASCII punctuation), and an inverted index
+lists which template has which word where. An alignment within the band spans at most the template's words and twice
+the band more of the document, and what it matches are template words; so only texts with a window of that size that
+holds enough words of a template can have its notice. There every diagonal is a candidate whose band meets enough
+different places of the template. On each of them the template is aligned to the document's words within the band
+(match 2, mismatch and gap -1, free ends), and the alignment's matched words give coverage, and its ends the span.
+Both filters are necessary conditions, so the result is that of aligning every template on every diagonal.
 
 The index grows with the templates only, never with the corpus, so it goes out with the task.
 """
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.arrow import Words, gram_hashes, slices
+from geoloom.llm.arrow import Words, slices
 
 #: Wording of common public license notices.
 TEMPLATES = {
@@ -33,8 +35,29 @@ TEMPLATES = {
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "mit-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction.",
     "unlicense": "This is free and unencumbered software released into the public domain.",
+    "apache-2.0-header": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance
+        with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable
+        law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR
+        CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and
+        limitations under the License.""",
+    "gpl-3.0-header": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
+        License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+        This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+        MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.""",
+    "mit-text": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+        files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify,
+        merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished
+        to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all
+        copies or substantial portions of the Software.""",
+    "bsd-text": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+        conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the
+        following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the
+        following disclaimer in the documentation and/or other materials provided with the distribution.""",
+    "mpl-2.0-header": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+        distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
 }
 
+
 def words_of(text: str) -> list[str]:
     batch = pa.RecordBatch.from_arrays([pa.array([text], pa.string())], ["text"])
     words = Words(batch, lower=True, punctuation=True)
@@ -81,86 +104,100 @@ def align(doc: list[str], template: list[str], diagonal: int, band: int) -> tupl
     return matched, first if first is not None else 0, last
 
 
+def disjoint(found: list[tuple[str, float, int, int, int]]) -> list[tuple[str, float, int, int, int]]:
+    """Where notices overlap the one with more matched words, then more coverage, stays."""
+    kept: list[tuple[int, tuple[str, float, int, int, int]]] = []  # by first word; they never overlap
+    for r in sorted(set(found), key=lambda r: (-r[2], -r[1], r[3], r[4], r[0])):
+        at = bisect.bisect_left(kept, (r[3],))
+        if (at == 0 or kept[at - 1][1][4] <= r[3]) and (at == len(kept) or kept[at][0] >= r[4]):
+            kept.insert(at, (r[3], r))
+    return [r for _, r in kept]
+
+
 class Index:
-    """Fingerprint -> (template, place) of winnowed template grams."""
-
-    def __init__(self, templates: dict[str, str], k: int, span: int):
-        self.names, self.k, self.span = list(templates), k, span
-        self.words = [words_of(templates[n]) for n in self.names]
-        keys, which, place = [], [], []
-        for t, name in enumerate(self.names):
-            batch = pa.RecordBatch.from_arrays([pa.array([templates[name]], pa.string())], ["text"])
-            h = gram_hashes(Words(batch, lower=True, punctuation=True).hashes(), k)
-            for i in self.winnow(h):
-                keys.append(h[i])
-                which.append(t)
-                place.append(i)
-        order = np.argsort(np.array(keys, np.uint64), kind="stable")
-        self.keys = np.array(keys, np.uint64)[order]
-        self.which, self.place = np.array(which)[order], np.array(place)[order]
-
-    def hit(self, h: np.ndarray) -> np.ndarray:
-        """Places of hashes that the index holds."""
+    """Word -> (template, place) of the templates' words."""
+
+    def __init__(self, templates: dict[str, str], band: int, least: float):
+        self.names, self.band = list(templates), band
+        self.words, hashes = [], []
+        for text in templates.values():
+            words = Words(pa.RecordBatch.from_arrays([pa.array([text], pa.string())], ["text"]), lower=True, punctuation=True)
+            self.words.append([words.word(i).decode() for i in range(len(words.starts))])
+            hashes.append(words.hashes())
+        # the least matched words, by the very test that decides
+        self.need = [next((n for n in range(1, len(w) + 1) if n >= least * len(w)), len(w) + 1) for w in self.words]
+        self.keys, code = np.unique(np.concatenate([*hashes, np.empty(0, np.uint64)]), return_inverse=True)
+        #: for each template its words' numbers among the keys, and which numbers it has (the last stands for other words)
+        self.codes = np.split(code, np.cumsum([len(h) for h in hashes])[:-1]) if hashes else []
+        self.has = np.zeros((len(self.words), len(self.keys) + 1), bool)
+        for t, c in enumerate(self.codes):
+            self.has[t, c] = True
+
+    def code(self, h: np.ndarray) -> np.ndarray:
+        """The number of each word, that of other words for those in no template."""
         if not len(self.keys):
-            return np.empty(0, np.int64)
+            return np.zeros(len(h), np.int32)
         at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-        return np.flatnonzero(self.keys[at] == h)
-
-    def winnow(self, h: np.ndarray) -> np.ndarray:
-        """Places of the last least gram of each ``span`` consecutive ones (of all, if fewer)."""
-        if not len(h):
+        return np.where(self.keys[at] == h, at, len(self.keys)).astype(np.int32)
+
+    def dense(self, t: int, code: np.ndarray) -> np.ndarray:
+        """Places where a window begins that holds enough words of template t."""
+        sums = np.zeros(len(code) + 1, np.int32)
+        np.cumsum(self.has[t][code], out=sums[1:])
+        span = len(self.words[t]) + 2 * self.band
+        return np.flatnonzero(sums[np.minimum(np.arange(len(code)) + span, len(code))] - sums[:-1] >= self.need[t])
+
+    def diagonals(self, t: int, code: np.ndarray) -> np.ndarray:
+        """Diagonals whose band meets enough different places of template t."""
+        m, band = len(self.words[t]), self.band
+        mark = np.zeros(len(code) + 1, np.int32)
+        starts = self.dense(t, code)
+        np.add.at(mark, starts, 1)
+        np.add.at(mark, np.minimum(starts + m + 2 * band, len(code)), -1)
+        i = np.flatnonzero((np.cumsum(mark[:-1]) > 0) & self.has[t][code])
+        a, j = np.nonzero(code[i][:, None] == self.codes[t][None, :])
+        if not len(a):
             return np.empty(0, np.int64)
-        span = min(self.span, len(h))
-        views = np.lib.stride_tricks.sliding_window_view(h, span)[:, ::-1]
-        return np.unique(np.arange(len(views)) + span - 1 - views.argmin(1))
-
-    def scan(self, words: list[str], h: np.ndarray, band: int, least: float) -> list[tuple[str, float, int, int, int]]:
-        """(template, coverage, matched, from word, to word) of each region, best first at overlaps."""
-        at = self.winnow(h)
-        lo, hi = np.searchsorted(self.keys, h[at], "left"), np.searchsorted(self.keys, h[at], "right")
-        seen: dict[int, list[int]] = {}
-        for i, a, b in zip(at, lo, hi, strict=True):
-            for x in range(a, b):
-                seen.setdefault(int(self.which[x]), []).append(int(i - self.place[x]))
+        d = (i[a] - j)[:, None] + np.arange(-band, band + 1)[None, :]
+        met = np.unique((d + m + band) * m + j[:, None])
+        found, n = np.unique(met // m, return_counts=True)
+        return found[n >= self.need[t]] - m - band
+
+    def scan(self, words: list[str], code: np.ndarray, which: list[int]) -> list[tuple[str, float, int, int, int]]:
+        """(template, coverage, matched, from word, to word) of each notice of the templates ``which``."""
         found = []
-        for t, diagonals in seen.items():
-            template, last = self.words[t], None
-            for d in sorted(set(diagonals)):
-                if last is not None and d - last <= band:
-                    continue
-                last = d
-                matched, first, end = align(words, template, d, band)
-                if matched >= least * len(template):
+        for t in which:
+            template = self.words[t]
+            for d in self.diagonals(t, code).tolist():
+                matched, first, end = align(words, template, d, self.band)
+                if matched >= self.need[t]:
                     found.append((self.names[t], matched / len(template), matched, first, end))
-        found.sort(key=lambda r: (-r[2], -r[1], r[3], r[0]))
-        kept: list[tuple[str, float, int, int, int]] = []
-        for r in found:
-            if all(r[4] <= o[3] or r[3] >= o[4] for o in kept):
-                kept.append(r)
-        return sorted(kept, key=lambda r: (r[3], r[0]))
+        return disjoint(found)
 
 
-def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, k: int = 3, span: int = 2, band: int = 4, least: float = 0.8) -> DataFrame:
+def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, band: int = 4, least: float = 0.8) -> DataFrame:
     """One row per notice found: doc_id, license, coverage (matched / template words), matched, start_word, end_word.
 
     Words are numbered over the whole text from 0; end_word is exclusive. Notices that cover at least ``least`` of a
     template are reported; where two overlap the one with more matched words stays. Null and empty texts, and texts
     without a notice, have no rows; null ids stay null; repeated rows are each scanned; an empty table gives no rows;
-    other columns are not read. Templates of fewer than ``k`` words are never found.
+    other columns are not read. Templates without words are never found.
     """
-    index = Index(TEMPLATES if templates is None else templates, k, span)
+    index = Index(TEMPLATES if templates is None else templates, band, least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             rows: list[tuple] = []
             words = Words(batch, lower=True, punctuation=True)
-            grams = gram_hashes(words.hashes(), index.k)
-            # texts that hold any fingerprint; only these are winnowed and aligned
-            of = np.searchsorted(words.first, index.hit(grams), "right") - 1
-            for r in np.unique(of):
+            code = index.code(words.hashes())
+            # texts that may hold a template's notice; a window may run into the next text, which only adds a candidate
+            which: dict[int, list[int]] = {}
+            for t in range(len(index.names)):
+                for r in np.unique(np.searchsorted(words.first, index.dense(t, code), "right") - 1).tolist():
+                    which.setdefault(r, []).append(t)
+            for r in sorted(which):
                 a, b = words.first[r], words.first[r + 1]
-                if b - a >= index.k:
-                    rows += [(batch.column(0)[int(r)].as_py(), *x) for x in index.scan([words.word(i).decode(errors="replace") for i in range(a, b)], grams[a : b - index.k + 1], band, least)]
+                rows += [(batch.column(0)[r].as_py(), *x) for x in index.scan([words.word(i).decode(errors="replace") for i in range(a, b)], code[a:b], which[r])]
             cols = list(zip(*rows, strict=True)) or [()] * 6
             types = [pa.int64(), pa.string(), pa.float64(), pa.int32(), pa.int32(), pa.int32()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], ["doc_id", "license", "coverage", "matched", "start_word", "end_word"])

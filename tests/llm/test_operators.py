@@ -13,7 +13,7 @@ import pytest
 
 from geoloom.llm.byte_bpe import decode, encode, round_trip
 from geoloom.llm.exact_dedup import exact_dedup
-from geoloom.llm.license_scan import TEMPLATES, license_scan
+from geoloom.llm.license_scan import TEMPLATES, align, disjoint, license_scan, words_of
 from geoloom.llm.lm_score import lm_score
 from geoloom.llm.near_dedup import near_dedup
 from geoloom.llm.packing import pack, solve_patterns
@@ -148,6 +148,33 @@ def test_license_scan(spark):
     assert set(found) == set(range(n + 2))
 
 
+def test_license_scan_one_word_edits(spark):
+    """Every one-word edit at every place of the short templates, some of the long ones, and scattered insertions, against all alignments."""
+    r, texts = random.Random(5), ["Released under an MIT License", "Released a under b the c MIT d License", "the license under the software"]
+    for t in TEMPLATES.values():
+        w = words_of(t)
+        for at in range(len(w)) if len(w) <= 8 else r.sample(range(len(w)), 3):
+            for edit in ([*w[:at], "edited", *w[at + 1 :]], [*w[:at], "added", *w[at:]], w[:at] + w[at + 1 :]):
+                texts.append(" ".join(["before", *edit, "after"]))
+    want = []
+    for i, text in enumerate(texts):
+        words, found = words_of(text), []
+        for name, t in TEMPLATES.items():
+            w = words_of(t)
+            if 0.8 * len(w) > len(words):
+                continue
+            for d in range(-len(w), len(words)):
+                n, first, end = align(words, w, d, 4)
+                if n >= 0.8 * len(w):
+                    found.append((name, n / len(w), n, first, end))
+        want += [(i, *x) for x in disjoint(found)]
+    got = [tuple(x) for x in license_scan(frame(spark, texts)).collect()]
+    assert sorted(got) == sorted(want)
+    assert {0, 1} <= {x[0] for x in got} and 2 not in {x[0] for x in got}
+    edited = {x[0] for x in got}
+    assert edited == set(range(len(texts))) - {2}
+
+
 def test_exact_dedup(docs):
     rows = docs.collect()
     groups = collections.defaultdict(list)
