@@ -418,6 +418,23 @@ def test_near_dedup_crowd(spark):
     assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in rows} == brute_components(dict(enumerate(texts)))
 
 
+def test_near_dedup_crowd_under_the_bar(spark):
+    """A crowd that shares most of a template, each just under the bar with all others but for planted pairs."""
+    r = random.Random(17)
+    template = [f"t{i}" for i in range(100)]
+    texts = []
+    for k in range(1200):
+        own = [f"d{k}w{i}" for i in range(r.randint(18, 26))]
+        texts.append(" ".join(template + own))
+        if k % 15 == 0:  # a partner that shares all but 16 words
+            texts.append(" ".join(template + own[:-16] + [f"p{k}w{i}" for i in range(16)]))
+    r.shuffle(texts)
+    rows = near_dedup(frame(spark, texts).repartition(3)).collect()
+    want = brute_components(dict(enumerate(texts)))
+    assert 40 <= sum(i != c for i, (_, c) in want.items()) <= 80
+    assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in rows} == want
+
+
 def brute_topk(vectors, k, every):
     ints = {i: [int(np.floor(64.0 * float(np.float32(x)))) for x in v] for i, v in vectors.items() if v is not None and all(x is not None and np.isfinite(x) for x in v)}
     out = set()
