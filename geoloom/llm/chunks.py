@@ -22,7 +22,8 @@ def spelling() -> dict[int, str]:
 
 
 class Cache(dict):
-    """chunk -> result, filled for many chunks at once; emptied when it holds ``limit`` chunks, so memory is bounded."""
+    """chunk -> result, filled for many chunks at once; beyond ``limit`` chunks only those just asked for stay, so memory
+    is bounded."""
 
     #: The cache in use: a worker that serves several operators in turn holds one filled cache at a time.
     used: "Cache | None" = None
@@ -37,7 +38,9 @@ class Cache(dict):
             Cache.used = self
         need = set().union(*lists)
         if len(self) > self.limit:
+            last = {x: self[x] for x in need if x in self}
             self.clear()
+            self.update(last)
         need = [x for x in need if x not in self]
         self.update(zip(need, self.work(need), strict=True))
 
