@@ -4,12 +4,14 @@ Pre-tokens of a batch lie in one flat array of symbol ids with row offsets (a ra
 finds the lowest merge rank among its neighbouring pairs, all rows merge all places of that pair at once, and rows
 without a mergeable pair leave. What is left of a row is its token count. A merge makes a symbol whose own pairs rank
 later than the pair it came from, so merging all places of the lowest pair at once equals the library's one by one.
+Long rows are linked lists instead, and a round touches only the places of one rank and their neighbours.
 
 Counts are kept per distinct white-space-free chunk in a bounded worker cache; a document's count is their sum.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 from collections.abc import Iterator
@@ -24,6 +26,14 @@ from geoloom.llm.arrow import slices, texts
 from geoloom.llm.chunks import Cache, bare_chunks, spelling
 
 _NONE = np.iinfo(np.int64).max
+#: Rows of more symbols are merged rank by rank.
+_LONG = 64
+
+
+def _every_second(new_run: np.ndarray) -> np.ndarray:
+    """In a run of overlapping hits (a a a) every second one merges, from the left."""
+    place = np.arange(len(new_run))
+    return (place - np.maximum.accumulate(np.where(new_run, place, 0))) % 2 == 0
 
 
 class Merger:
@@ -39,8 +49,64 @@ class Merger:
         at = np.minimum(np.searchsorted(self.keys, want), len(self.keys) - 1)
         return np.where(self.keys[at] == want, self.order[at], _NONE)
 
-    def merge(self, flat: np.ndarray, lens: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Yields (rows, their symbols, their lengths) as rows end; every row once."""
+    def sizes(self, flat: np.ndarray, lens: np.ndarray) -> np.ndarray:
+        """Symbols left of each row."""
+        out, long = np.zeros(len(lens), np.int64), lens > _LONG
+        of = np.repeat(long, lens)
+        out[long] = self._merge_long(flat[of], lens[long])
+        where = np.flatnonzero(~long)
+        for rows, left in self._merge_short(flat[~of], lens[~long]):
+            out[where[rows]] = left
+        return out
+
+    def _merge_long(self, flat: np.ndarray, lens: np.ndarray) -> np.ndarray:
+        """All rows at once, rank by rank. A merge makes pairs of later ranks only, so each rank comes once, and a round
+        touches the places of its pair and their neighbours: the work grows with the symbols, not with rounds x symbols."""
+        n = len(flat)
+        if not n:
+            return np.zeros(len(lens), np.int64)
+        nxt, prv = np.arange(1, n + 1), np.arange(-1, n - 1)
+        ends = np.cumsum(lens)
+        nxt[ends - 1], prv[ends - lens] = n, -1
+        symbol = np.append(flat, -1)  # place n (and -1) lies beyond every row
+        live, rank = np.ones(n, bool), np.full(n + 1, _NONE)
+        waiting: dict[int, list[np.ndarray]] = {}
+        heap: list[int] = []
+
+        def put(places: np.ndarray) -> None:
+            """Rank the pairs that begin at ``places``."""
+            now = self.ranks(symbol[places], symbol[nxt[places]])
+            rank[places] = now
+            order = np.argsort(now, kind="stable")
+            places, now = places[order], now[order]
+            cut = np.flatnonzero(np.diff(now, prepend=-1))
+            for r, part in zip(now[cut].tolist(), np.split(places, cut[1:]), strict=True):
+                if r != _NONE:
+                    if r not in waiting:
+                        waiting[r] = []
+                        heapq.heappush(heap, r)
+                    waiting[r].append(part)
+
+        put(np.arange(n))
+        while heap:
+            r = heapq.heappop(heap)
+            at = np.unique(np.concatenate(waiting.pop(r)))
+            at = at[live[at] & (rank[at] == r)]
+            if not len(at):
+                continue
+            at = at[_every_second(np.append(True, nxt[at[:-1]] != at[1:]))]
+            gone = nxt[at]
+            symbol[at] = self.made[r]
+            live[gone], rank[gone] = False, _NONE
+            nxt[at] = nxt[gone]
+            some = nxt[at] < n
+            prv[nxt[at[some]]] = at[some]
+            before = prv[at]
+            put(np.union1d(at, before[before >= 0]))
+        return np.add.reduceat(live.astype(np.int64), ends - lens)
+
+    def _merge_short(self, flat: np.ndarray, lens: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Yields (rows, symbols left of each) as rows end; every row once."""
         rows = np.arange(len(lens))
         while len(rows):
             heads = np.cumsum(lens) - lens
@@ -52,7 +118,7 @@ class Merger:
             ended = least == _NONE
             of = np.repeat(np.arange(len(lens)), lens)
             if ended.any():
-                yield rows[ended], flat[ended[of]], lens[ended]
+                yield rows[ended], lens[ended]
                 live = ~ended[of]
                 flat, rank, of = flat[live], rank[live], of[live]
                 rows, lens, least = rows[~ended], lens[~ended], least[~ended]
@@ -60,12 +126,8 @@ class Merger:
                 if not len(rows):
                     return
             hit = rank == least[of]
-            # in a run of overlapping hits (a a a) every second one merges, from the left
             at = np.flatnonzero(hit)
-            new_run = np.ones(len(at), bool)
-            new_run[1:] = np.diff(at) > 1
-            begun = np.maximum.accumulate(np.where(new_run, np.arange(len(at)), 0))
-            at = at[(np.arange(len(at)) - begun) % 2 == 0]
+            at = at[_every_second(np.diff(at, prepend=-2) > 1)]
             flat[at] = self.made[rank[at]]
             keep = np.ones(len(flat), bool)
             keep[at + 1] = False
@@ -123,9 +185,7 @@ class WordTokenizer:
             flat = self.inner[raw]
             ends = np.cumsum(lens) - 1
             flat[ends] = self.last[raw[ends]]
-            size = np.zeros(len(words), np.int64)
-            for rows, _, left in self.merger.merge(flat, lens):
-                size[rows] = left
+            size = self.merger.sizes(flat, lens)
             counts += np.bincount(of, weights=size[uses], minlength=len(chunks)).astype(np.int64)
         return counts.tolist()
 
@@ -133,6 +193,13 @@ class WordTokenizer:
 _caches: dict[str, Cache] = {}
 
 
+def _cache(path: str) -> Cache:
+    """The counts of a vocabulary's chunks; one for all tasks of a worker."""
+    if path not in _caches:
+        _caches[path] = Cache(WordTokenizer(path).count)
+    return _caches[path]
+
+
 def token_counts(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_tokens, over_limit (n_tokens > ``limit``).
 
@@ -141,7 +208,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _caches.get(path) or _caches.setdefault(path, Cache(WordTokenizer(path).count))
+        cache = _cache(path)
         for batch in slices(batches):
             chunks = [bare_chunks(t) for t in texts(batch)]
             cache.fill(chunks)
