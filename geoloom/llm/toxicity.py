@@ -1,7 +1,8 @@
 """Toxicity scores by a support vector machine on a gap-weighted subsequence kernel, with Nystroem landmarks.
 
-The units are words without punctuation, lower-cased, and runs of single characters read as one word ("i d i o t",
-"i.d.i.o.t"); units longer than ``span`` are read in overlapping windows. The kernel of two units counts the
+The units of a sentence are its words without punctuation, lower-cased, and runs of single characters read as one word
+("i d i o t", "i.d.i.o.t"); units longer than ``span`` are read in overlapping windows. In labelled sentences a unit
+counts once between the same two neighbours, so a text copied or edited a thousand times weighs little. The kernel of two units counts the
 subsequences of ``order`` characters they share, each discounted by the length it spans, so inserted characters and
 gaps cost little; it is normalised. Landmarks are units that mark toxic sentences; a unit's kernel values with them,
 whitened by the landmarks' own kernel matrix, are its features; some landmarks are clean units that look like them. A
@@ -11,8 +12,10 @@ margins, fitted on labelled documents, gives the document's score.
 
 from __future__ import annotations
 
+import heapq
+import math
 import re
-from collections import Counter
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +32,8 @@ _PLAIN = re.compile(r"[\W_]+")
 _START = "^"
 #: Tokens of a document that its score looks at: the worst ones.
 WORST = 3
+#: Units whose kernels are worked out together, and rows in one array step (they fit a core's cache).
+_TOGETHER, _ROWS = 1 << 16, 4096
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
@@ -42,7 +47,8 @@ def units_of(token: str, span: int = 24) -> list[str]:
 
 def spelled(tokens: list[str]) -> list[str]:
     """Words spelled out in three or more single characters, one a token ("s t u p i d", "m. o. r."), joined."""
-    single = [i for i, t in enumerate(tokens) if len(t) < 3 and (len(t) == 1 or not t.isalnum())]
+    lens = np.fromiter(map(len, tokens), np.int64, len(tokens))
+    single = [i for i in np.flatnonzero(lens < 3).tolist() if len(tokens[i]) == 1 or not tokens[i].isalnum()]
     out: list[str] = []
     run: list[str] = []
     last = -2
@@ -57,16 +63,16 @@ def spelled(tokens: list[str]) -> list[str]:
 
 
 def _codes(units: list[str], length: int) -> np.ndarray:
-    out = np.zeros((len(units), length), np.int32)
-    for i, u in enumerate(units):
-        out[i, : len(u)] = np.frombuffer(u.encode("utf-32-le"), np.int32)
-    return out
+    raw = "".join([u.ljust(length, "\0") for u in units]).encode("utf-32-le", "surrogatepass")
+    return np.frombuffer(raw, np.int32).reshape(len(units), length)
 
 
 def _kernel(s: np.ndarray, t: np.ndarray, order: int, decay: float) -> np.ndarray:
-    """Subsequence kernel of each row of codes s (n, L) with t: (T, 1), one text for all, or (T, n), one for each; 0 pads.
+    """Subsequence kernel of each row of codes s (n, L), shortest first, with t: (T, 1), one text for all, or (T, n), one
+    for each; 0 pads.
 
-    The usual recursion over the characters of s; rows lie along the last axis, so every step is a few long products.
+    The usual recursion over the characters of s; rows lie along the last axis, so every step is a few long products,
+    over those rows that still have a character.
     """
     n, size = len(s), len(t)
     place = np.arange(size)
@@ -74,17 +80,19 @@ def _kernel(s: np.ndarray, t: np.ndarray, order: int, decay: float) -> np.ndarra
     spread = np.where(gap >= 0, np.float32(decay) ** (gap + 2), 0).astype(np.float32)  # a match at b' seen from the prefix that ends at b
     fill = t != 0
     columns = np.ascontiguousarray(s.T)
+    ended = np.searchsorted((s != 0).sum(1), np.arange(s.shape[1]), "right")
     # state[i][b]: subsequences of i + 1 characters with a match in the first b characters of t, discounted to its end
     state = np.zeros((order - 1, size + 1, n), np.float32)
     total = np.zeros(n, np.float32)
-    for a in range(s.shape[1]):
-        if not columns[a].any():
+    for a, lo in enumerate(ended.tolist()):
+        if lo == n:
             break
-        match = ((columns[a][None] == t) & fill).astype(np.float32)
-        total += (match * state[-1, :-1]).sum(0)
+        own, some = (t, fill) if t.shape[1] == 1 else (t[:, lo:], fill[:, lo:])
+        match = ((columns[a, lo:][None] == own) & some).astype(np.float32)
+        total[lo:] += (match * state[-1, :-1, lo:]).sum(0)
         for i in range(order - 2, -1, -1):
-            state[i] *= np.float32(decay)
-            state[i, 1:] += spread @ (match if i == 0 else match * state[i - 1, :-1])
+            state[i, :, lo:] *= np.float32(decay)
+            state[i, 1:, lo:] += spread @ (match if i == 0 else match * state[i - 1, :-1, lo:])
     return np.float32(decay**2) * total
 
 
@@ -109,23 +117,27 @@ def kernel(units: list[str], marks: list[str], order: int, decay: float) -> np.n
         return out
     rows = [_codes([m], len(m)) for m in marks]
     own_t = [float(_kernel(t, t.T, order, decay)[0]) for t in rows]
-    by_length = sorted(range(len(units)), key=lambda i: len(units[i]))
-    for at in range(0, len(units), 8192):
-        part = np.array(by_length[at : at + 8192])
-        s = _codes([units[i] for i in part], max(1, len(units[part[-1]])))
-        near = _shared(s, marks) >= order
-        some = np.flatnonzero(near.any(1))
-        if not len(some):
-            continue
+    by_length = np.array(sorted(range(len(units)), key=lambda i: len(units[i])))
+    for at in range(0, len(units), _TOGETHER):
+        part = by_length[at : at + _TOGETHER]
+        s = _codes([units[i] for i in part.tolist()], max(1, len(units[part[-1]])))
+        near = np.vstack([_shared(s[i : i + _ROWS], marks) >= order for i in range(0, len(s), _ROWS)])
         own = np.zeros(len(part), np.float32)
-        own[some] = _kernel(s[some], np.ascontiguousarray(s[some].T), order, decay)
+        for row in _blocks(near.any(1)):
+            own[row] = _kernel(s[row], np.ascontiguousarray(s[row].T), order, decay)
         for j, t in enumerate(rows):
-            row = np.flatnonzero(near[:, j])
-            if len(row):
+            for row in _blocks(near[:, j]):
                 out[part[row], j] = _kernel(s[row], t.T, order, decay) / np.sqrt(np.maximum(own[row] * own_t[j], 1e-30))
     return out
 
 
+def _blocks(chosen: np.ndarray) -> Iterator[np.ndarray]:
+    """The chosen places, ``_ROWS`` at a time."""
+    found = np.flatnonzero(chosen)
+    for i in range(0, len(found), _ROWS):
+        yield found[i : i + _ROWS]
+
+
 class Model:
     """Landmarks, the map to features, the separating plane and the logistic curve."""
 
@@ -135,6 +147,10 @@ class Model:
         self.whiten = vector @ np.diag(np.where(value > 0.15, 1 / np.sqrt(np.maximum(value, 0.15)), 0)) @ vector.T  # directions with little in them go
         self.plane, self.bias, self.curve = np.zeros(len(marks)), -1.0, np.array([1.0] + [0.0] * WORST)
 
+    def key(self) -> bytes:
+        """What the margins of units depend on."""
+        return np.append(self.plane, self.bias).tobytes() + "|".join(self.marks).encode()
+
     def features(self, units: list[str]) -> np.ndarray:
         return kernel(units, self.marks, self.order, self.decay) @ self.whiten
 
@@ -184,7 +200,7 @@ def _worst(cache: Cache, batch_texts: list[str], floor: float) -> np.ndarray:
     cache.fill(lists)
     out = np.full((len(lists), WORST), floor)
     for i, tokens in enumerate(lists):
-        top = sorted(map(cache.__getitem__, set(tokens)))[: -WORST - 1 : -1]
+        top = heapq.nlargest(WORST, map(cache.__getitem__, set(tokens)))
         out[i, : len(top)] = top
     return out
 
@@ -201,12 +217,13 @@ def _token_margins(model: Model):
     return work
 
 
-def fit(docs: DataFrame, labels: DataFrame, mod: int = 3, rest: int = 1, train_rows: int = 20_000, landmarks: int = 64, order: int = 4, decay: float = 0.8, unit_rows: int = 6_000) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, mod: int = 3, rest: int = 1, train_rows: int = 20_000, landmarks: int = 64, order: int = 4, decay: float = 0.8, unit_rows: int = 6_000, bar: float = 24.0) -> Model:
     """Learn from labelled documents whose crc32(doc_id as text) mod ``mod`` is not ``rest``.
 
     At most ``train_rows`` labelled documents are used, half of each label at most, chosen by a hash of the id; at most
     ``unit_rows`` units of each kind train the plane. Rows that repeat a doc_id in ``labels`` count as toxic if any is;
-    null labels are left out. Without labelled documents of both kinds the model scores everything as clean.
+    null labels are left out. Without labelled documents of both kinds the model scores everything as clean. A unit marks
+    toxic sentences if its evidence passes ``bar``, or is beyond chance and among the strongest ``landmarks`` / 4.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("int").alias("toxic")).where(F.col("id").isNotNull() & F.col("toxic").isNotNull() & ~held(F.col("id"), mod, rest))
     known = known.groupBy("id").agg(F.max("toxic").alias("toxic"))
@@ -217,28 +234,34 @@ def fit(docs: DataFrame, labels: DataFrame, mod: int = 3, rest: int = 1, train_r
     chosen = F.broadcast(stage(chosen))  # at most train_rows rows
     sample = stage(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(chosen, F.col("doc_id") == F.col("id")).select("doc_id", "text", "toxic"))
 
-    def sentences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Units of labelled sentences with the documents of each label that hold them."""
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Units of labelled sentences, each with a number for the words on either side of it."""
         for batch in slices(batches):
-            count = (Counter(), Counter())
+            found = set()
             for text, toxic in zip(texts(batch), batch.column(2).to_pylist(), strict=True):
-                found = set()
                 for sentence in _SENTENCE.split(text):
-                    for token in (tokens := sentence.split()) + spelled(tokens):
-                        found.update(units_of(token))
-                count[toxic > 0].update(found)
-            names = list(count[0].keys() | count[1].keys())
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([count[1][u] for u in names], pa.int64()), pa.array([count[0][u] for u in names], pa.int64())], ["unit", "toxic", "clean"])
-
-    totals = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    bad, good = totals.get(1, 0), totals.get(0, 0)
+                    tokens = sentence.split()
+                    sums = [0, *(zlib.crc32(t.encode()) for t in tokens), 0]
+                    beside = [(t, sums[i] << 31 ^ sums[i + 2]) for i, t in enumerate(tokens)]
+                    beside += [(t, zlib.crc32(sentence.encode())) for t in spelled(tokens)]
+                    found.update((u, x, int(toxic > 0)) for t, x in beside for u in units_of(t))
+            cols = list(zip(*found, strict=True)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int32()), strict=True)], ["unit", "beside", "toxic"])
+
+    # a unit counts once between the same two words, so copies of a sentence add little; what a clean text holds is clean
+    contexts = sample.mapInArrow(read, "unit string, beside long, toxic int").where(F.length("unit") >= order).groupBy("unit", "beside").agg(F.min("toxic").alias("toxic"))
+    units = stage(contexts.groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean")))
+    bad, good = (x or 0 for x in units.agg(F.sum("toxic"), F.sum("clean")).first())
     if not bad or not good:
         return Model([], order, decay)
-    units = sample.mapInArrow(sentences, "unit string, toxic long, clean long").groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).where(F.length("unit") >= order)
     odds = F.log((F.col("toxic") + 0.5) / (bad + 1)) - F.log((F.col("clean") + 0.5) / (good + 1))
-    units = stage(units.withColumn("odds", odds))
-    # toxic * odds is about half a likelihood ratio statistic: chance doesn't reach the bar in millions of units
-    marks = units.where("odds > 1.5 and toxic * odds > 24").orderBy(F.desc(F.col("toxic") * F.col("odds")), "unit").limit(unit_rows).collect()
+    units = units.withColumn("odds", odds)
+    # toxic * odds is about half a likelihood ratio statistic. Chance hardly goes beyond 1 + log(units); edited copies may
+    # count again, so more than the strongest few must pass a higher bar
+    strength = F.col("toxic") * F.col("odds")
+    chance = 1 + math.log(max(1, units.count()))
+    marks = units.withColumn("strength", strength).where((F.col("odds") > 1.5) & (F.col("strength") > chance)).orderBy(F.desc("strength"), "unit").limit(unit_rows).collect()
+    marks = [r for i, r in enumerate(marks) if i < landmarks // 4 or r["strength"] > bar]
     # landmarks: the strongest marks that are unlike each other
     names: list[str] = []
 
@@ -269,8 +292,10 @@ def fit(docs: DataFrame, labels: DataFrame, mod: int = 3, rest: int = 1, train_r
     weight[label == 1] *= weight[label == 0].sum() / weight[label == 1].sum() / 4
     model.fit_plane(list(rows), label, weight / weight.mean())
 
+    key = model.key()
+
     def worst(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = Cache(_token_margins(model))
+        cache = _cache(key, model)
         for batch in slices(batches):
             margins = _worst(cache, texts(batch), float(model.bias))
             yield pa.RecordBatch.from_arrays([pa.array(list(margins), pa.list_(pa.float64())), batch.column(2)], ["margins", "toxic"])
@@ -283,6 +308,14 @@ def fit(docs: DataFrame, labels: DataFrame, mod: int = 3, rest: int = 1, train_r
 _caches: dict[bytes, Cache] = {}
 
 
+def _cache(key: bytes, model: Model) -> Cache:
+    """The margins of a model's tokens; one for all tasks of a worker."""
+    if key not in _caches:
+        _caches.clear()
+        _caches[key] = Cache(_token_margins(model), 900_000)
+    return _caches[key]
+
+
 def toxicity(docs: DataFrame, model: Model, mod: int = 3, rest: int = 1, bar: float = 0.7) -> DataFrame:
     """One row per document: doc_id, held_out, score (0 to 1), predicted (1 if score >= ``bar``).
 
@@ -290,16 +323,14 @@ def toxicity(docs: DataFrame, model: Model, mod: int = 3, rest: int = 1, bar: fl
     Null ids stay null and count as the text '' in held_out; repeated rows are each scored; an empty table gives no
     rows; other columns are not read. Nothing but the text is an input of the score.
     """
-    key = np.concatenate([model.plane, [model.bias], model.curve]).tobytes() + "|".join(model.marks).encode()
+    key = model.key()
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        if key not in _caches:
-            _caches.clear()
-            _caches[key] = Cache(_token_margins(m), 900_000)
+        cache = _cache(key, m)
         for batch in slices(batches):
-            score = m.score(_worst(_caches[key], texts(batch), float(m.bias)))
+            score = m.score(_worst(cache, texts(batch), float(m.bias)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64())], ["doc_id", "score"])
 
     scored = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double")
