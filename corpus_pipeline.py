@@ -20,42 +20,77 @@ from geoloom.llm.toxicity import fit, toxicity
 from geoloom.session import ship_package, stage
 
 
-def _keep(docs: DataFrame, decided: DataFrame, keep: str) -> DataFrame:
-    """Rows of ``docs`` whose document a stage keeps; rows without an id stay."""
-    gone = stage(decided.where(f"not ({keep})").select(F.col("doc_id").alias("_gone")).where("_gone is not null").distinct())
-    return docs.join(gone, docs.doc_id == gone._gone, "left_anti")
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` doesn't have."""
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
+def _numbered(docs: DataFrame, many: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a column that tells its rows apart: the doc_id, or a row number where ids repeat or are missing."""
+    row = _free(docs, "row")
+    if many.isEmpty():
+        return docs.withColumn(row, F.col("doc_id").cast("long")), row
+    return stage(docs.withColumn(row, F.monotonically_increasing_id())), row
+
+
+def _repeated(docs: DataFrame) -> DataFrame:
+    """doc_ids of several rows, and null."""
+    return stage(docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").select(F.col("doc_id").alias("many")))
+
+
+def _without(docs: DataFrame, row: str, gone: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose number is not in ``gone`` (num)."""
+    gone = stage(gone.distinct())
+    return docs.join(gone, docs[row] == gone.num, "left_anti").drop(row)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go. The model learns from labelled documents among ``docs``."""
     ship_package(spark)
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return _keep(docs, toxicity(docs, model), "predicted = 0")
+    docs, row = _numbered(docs, _repeated(docs))
+    return _without(docs, row, toxicity(docs, model, carry=row).where("predicted = 1").select(F.col(row).alias("num")))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the largest doc_id stays."""
+    """Of equal texts one row with the largest doc_id stays (a null id is smaller than any)."""
     ship_package(spark)
-    return _keep(docs, exact_dedup(docs), "kept")
+    docs, row = _numbered(docs, _repeated(docs))
+    return _without(docs, row, exact_dedup(docs, carry=row).where("not kept").select(F.col(row).alias("num")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest doc_id stays."""
+    """Of each group of near copies the document with the smallest doc_id stays; rows whose id repeats or is missing
+    come after all others."""
     ship_package(spark)
-    return _keep(docs, near_dedup(docs), "kept")
+    many = _repeated(docs)
+    docs, row = _numbered(docs, many)
+    if not many.isEmpty():
+        most = docs.agg(F.max(F.col("doc_id").cast("long"))).first()[0] or 0
+        late = F.lit(max(most, 0) + 1) + F.col(row)
+        plain = many.where("many is not null").select(F.col("many").alias("doc_id"))
+        own = docs.where("doc_id is not null").join(plain, "doc_id", "left_anti").select(F.col(row).alias("num"), F.col("doc_id").cast("long").alias("of"))
+        other = docs.where("doc_id is null").select(row, late.alias("of")).union(docs.join(plain, "doc_id", "left_semi").select(row, late.alias("of")))
+        ids = stage(own.union(other))
+        docs = stage(docs.join(ids, docs[row] == ids.num).select(*[docs[c] for c in docs.columns if c != row], ids.of.alias(row)))
+    decided = near_dedup(docs.select(F.col(row).alias("doc_id"), "text"))
+    return _without(docs, row, decided.where("not kept").select(F.col("doc_id").alias("num")))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words and more that an earlier document has go; untouched texts stay as they are."""
     ship_package(spark)
-    cut = stage(remove_repeats(docs).where("n_removed > 0").select(F.col("doc_id").alias("_id"), F.col("kept_text").alias("_text")).dropDuplicates(["_id"]))
+    cut = remove_repeats(docs).where("n_removed > 0").select(F.col("doc_id").alias("cut_id"), F.col("mark").alias("cut_mark"), F.col("kept_text").alias("cut_text"))
+    cut = stage(cut.dropDuplicates(["cut_id", "cut_mark"]))
     columns = docs.columns
-    joined = docs.join(cut, docs.doc_id == cut._id, "left")
-    text = F.when(F.col("_id").isNotNull(), F.col("_text")).otherwise(F.col("text"))
-    changed = {"text": text}
+    joined = docs.join(cut, (docs.doc_id == cut.cut_id) & (F.xxhash64(docs.text.cast("string")) == cut.cut_mark), "left")
+    was = cut.cut_id.isNotNull()
+    changed = {"text": F.when(was, cut.cut_text).otherwise(docs.text)}
     if "n_chars" in columns:
-        changed["n_chars"] = F.when(F.col("_id").isNotNull(), F.length("_text").cast("long")).otherwise(F.col("n_chars"))
-    return joined.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in columns])
+        changed["n_chars"] = F.when(was, F.length(cut.cut_text).cast(docs.schema["n_chars"].dataType)).otherwise(docs.n_chars)
+    return joined.select(*[changed[c].alias(c) if c in changed else docs[c] for c in columns])
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
