@@ -5,8 +5,8 @@ another one, and splits its group by it. Groups of one are done; groups whose te
 compared as they are, so equality needs no digest. Digits widen from round to round: most texts part within the
 first, and a text of n characters needs about log2(n) rounds.
 
-Every count is pre-aggregated before its shuffle, and the group's fate is joined back over salted keys, so a group
-that holds a third of all rows is spread over tasks.
+Every count is pre-aggregated before its shuffle, and a large group's rows learn its fate over salted keys, so a group
+that holds a third of all rows is spread over all tasks.
 """
 
 from __future__ import annotations
@@ -14,11 +14,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from geoloom.llm.skew import spread
 from geoloom.session import stage
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Tasks over which the rows of one group are spread when they learn their group's fate.
-SALTS = 16
 
 
 def lower_ascii(text: Column) -> Column:
@@ -41,14 +40,14 @@ def exact_groups(docs: DataFrame, first_digit: int = 32, widen: int = 8) -> Data
             F.substring("rest", 1, width).alias("digit"),
             (F.length("rest") <= width).alias("ended"),
             "rest",
-            F.pmod(F.hash("doc_id"), F.lit(SALTS)).alias("salt"),
         )
         groups = stage(
             keyed.groupBy("gid", "digit", "ended")
             .agg(F.count(F.lit(1)).alias("group_size"), F.max("doc_id").alias("keep_id"))
             .where("group_size > 1")
             .withColumn("group", F.monotonically_increasing_id())
-        ).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        )
+        keyed, groups = spread(keyed, groups, ["gid", "digit", "ended"], "group_size", F.col("doc_id"))
         # a shuffle join at every size: the group table grows with the corpus
         split = keyed.join(groups.hint("merge"), ["gid", "digit", "ended", "salt"])
         out = split.select(
@@ -72,28 +71,29 @@ def exact_groups(docs: DataFrame, first_digit: int = 32, widen: int = 8) -> Data
     return found
 
 
-def exact_dedup(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
+def exact_dedup(docs: DataFrame, carry: str | None = None) -> DataFrame:
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, and the column ``carry`` of its row.
 
     Texts are equal when identical after lower-casing A-Z. The largest doc_id of equal texts stays. Null text is the
-    empty text, so null and empty texts are copies of each other. Rows that repeat a doc_id are each counted and
-    returned; with equal text they share keep_id. A row with a null doc_id is grouped like any other and never kept
-    while a numbered copy exists. An empty table gives no rows. Other columns are not read.
+    empty text, so null and empty texts are copies of each other. A null doc_id is smaller than any number. Of each group
+    exactly one row stays: rows that repeat both doc_id and text are each counted and returned, and one of them is kept.
+    An empty table gives no rows. Other columns are not read.
     """
-    docs = docs.select("doc_id", "text")
+    more = [F.col(carry).alias("carried")] if carry else []
+    docs = docs.select("doc_id", "text", *more)
     copies = exact_groups(docs).dropDuplicates(["doc_id", "text_sha256"])
     copies = copies.select(F.col("doc_id").alias("d"), F.col("text_sha256").alias("s"), "keep_id", "group_size").hint("merge")
-    return (
-        docs.select("doc_id", F.sha2(lower_ascii(F.col("text")), 256).alias("text_sha256"))
+    found = stage(
+        docs.select("doc_id", F.sha2(lower_ascii(F.col("text")), 256).alias("text_sha256"), *docs.columns[2:])
         .join(copies, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_sha256") == F.col("s")), "left")
-        .select(
-            "doc_id",
-            F.when(F.col("s").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
-            F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-            F.coalesce(F.col("doc_id") == F.when(F.col("s").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")), F.col("s").isNull()).alias("kept"),
-            "text_sha256",
-        )
+        .select("doc_id", "text_sha256", F.when(F.col("s").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), *docs.columns[2:])
+        .withColumn("row", F.monotonically_increasing_id())
     )
+    # several rows with the id that stays: the first of them
+    last = found.where("group_size > 1 and doc_id <=> keep_id")
+    ties = last.groupBy("keep_id", "text_sha256").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("keep_id").alias("k"), F.col("text_sha256").alias("t"), "first")
+    late = last.join(ties, F.col("keep_id").eqNullSafe(F.col("k")) & (F.col("text_sha256") == F.col("t"))).where("row > first").select("row", F.lit(True).alias("late"))
+    return found.join(late, "row", "left").select("doc_id", "keep_id", "group_size", (F.expr("doc_id <=> keep_id") & F.col("late").isNull()).alias("kept"), "text_sha256", *([F.col("carried").alias(carry)] if carry else []))
 
 
 ORACLE = f"""

@@ -316,8 +316,9 @@ def _cache(key: bytes, model: Model) -> Cache:
     return _caches[key]
 
 
-def toxicity(docs: DataFrame, model: Model, mod: int = 3, rest: int = 1, bar: float = 0.7) -> DataFrame:
-    """One row per document: doc_id, held_out, score (0 to 1), predicted (1 if score >= ``bar``).
+def toxicity(docs: DataFrame, model: Model, mod: int = 3, rest: int = 1, bar: float = 0.7, carry: str | None = None) -> DataFrame:
+    """One row per document: doc_id, held_out, score (0 to 1), predicted (1 if score >= ``bar``), and its row's ``carry``
+    (a column of whole numbers).
 
     Whole texts are read; null and empty texts, and texts without letters or digits, get the score of the model's bias.
     Null ids stay null and count as the text '' in held_out; repeated rows are each scored; an empty table gives no
@@ -331,7 +332,9 @@ def toxicity(docs: DataFrame, model: Model, mod: int = 3, rest: int = 1, bar: fl
         cache = _cache(key, m)
         for batch in slices(batches):
             score = m.score(_worst(cache, texts(batch), float(m.bias)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64())], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score, pa.float64()), batch.column(2)], ["doc_id", "score", "carried"])
 
-    scored = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, score double")
-    return scored.select("doc_id", held(F.col("doc_id"), mod, rest).alias("held_out"), "score", (F.col("score") >= bar).cast("int").alias("predicted"))
+    carried = (F.col(carry) if carry else F.lit(None)).cast("long").alias("carried")
+    scored = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), carried).mapInArrow(run, "doc_id long, score double, carried long")
+    more = [F.col("carried").alias(carry)] if carry else []
+    return scored.select("doc_id", held(F.col("doc_id"), mod, rest).alias("held_out"), "score", (F.col("score") >= bar).cast("int").alias("predicted"), *more)
