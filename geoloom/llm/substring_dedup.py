@@ -6,8 +6,8 @@ gives about 2 anchors per 41 words, each with the run of windows that chose it.
 an anchor that occurs in two documents can lie in a repeat.
 
 Extension. Around each shared anchor the match is extended over the windows of its run to the left and to the right:
-every window is hashed as a whole, and the least doc_id that holds it is found by a pre-aggregated count, so no pairs
-of documents are made, however many share a passage. Windows first seen in a smaller document merge into maximal
+every window is hashed as a whole (96 bits), and the least doc_id that holds it is found by a pre-aggregated count, so no
+pairs of documents are made, however many share a passage. Windows first seen in a smaller document merge into maximal
 repeats (runs of windows), whose words go.
 """
 
@@ -21,11 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.arrow import Words, gram_hashes, slices
+from geoloom.llm.arrow import Words, gram_hashes, mix, slices
+from geoloom.llm.skew import spread
 from geoloom.session import stage
 
 #: Bytes of ranges that are sent to every executor at most; beyond it both sides are shuffled.
 BROADCAST_BYTES = 32 << 20
+#: Turns word hashes into those of the second, 32-bit check on windows.
+_OTHER = np.uint64(0x5851F42D4C957F2D)
 
 
 def window_anchors(grams: np.ndarray, span: int) -> np.ndarray:
@@ -57,7 +60,7 @@ def window_anchors(grams: np.ndarray, span: int) -> np.ndarray:
 
 
 def _anchors(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """doc_id, anchor (hash), first (first window of the run), n (windows in the run)."""
+    """doc_id, mark, anchor (hash), first (first window of the run), n (windows in the run). docs: doc_id, mark, text."""
     span = window - gram + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,70 +80,81 @@ def _anchors(docs: DataFrame, window: int, gram: int) -> DataFrame:
                 firsts.append(begin)
                 counts.append(np.diff(begin, append=len(chosen)))
             if rows:
-                ids = batch.column(0).take(pa.array(np.concatenate(rows)))
+                at = pa.array(np.concatenate(rows))
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(firsts), pa.int32()), pa.array(np.concatenate(counts), pa.int32())],
-                    ["doc_id", "anchor", "first", "n"],
+                    [batch.column(0).take(at), batch.column(1).take(at), pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(firsts), pa.int32()), pa.array(np.concatenate(counts), pa.int32())],
+                    ["doc_id", "mark", "anchor", "first", "n"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, anchor long, first int, n int")
+    return docs.mapInArrow(run, "doc_id long, mark long, anchor long, first int, n int")
 
 
 def _beside(docs: DataFrame, ranges: DataFrame, how: str) -> DataFrame:
-    """docs with the ranges (id, runs) of each; the ranges travel whole only while they are few bytes."""
-    size = ranges.agg(F.sum(F.size("runs") * 8 + 16)).first()[0] or 0
-    return docs.join(F.broadcast(ranges) if size <= BROADCAST_BYTES else ranges, docs.doc_id == ranges.id, how)
+    """docs with the ranges (id, of, runs) of each; the ranges travel whole only while they are few bytes in memory."""
+    size = ranges.agg(F.sum(F.size("runs") * 40 + 64)).first()[0] or 0
+    return docs.join(F.broadcast(ranges) if size <= BROADCAST_BYTES else ranges.hint("merge"), (docs.doc_id == ranges.id) & (docs.mark == ranges.of), how)
+
+
+def _shared(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows and those of their keys that several doc_ids have (lo: the least), salted for a join."""
+    groups = stage(rows.groupBy(*keys).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("rows")).where("lo < hi").select(*keys, "lo", "rows"))
+    rows, groups = spread(rows, groups, keys, "rows", F.col("doc_id"))
+    return rows, groups.drop("rows")
 
 
 def repeats(docs: DataFrame, window: int = 50, gram: int = 10) -> DataFrame:
-    """id, runs: for each document the runs (first, n) of windows that also start in a document with a smaller id."""
+    """id, of, runs: for each row of ``docs`` (doc_id, mark, text) the runs (first, n) of windows that also start in a row
+    with a smaller doc_id. ``of`` is the row's mark, a number for its text, so rows that repeat a doc_id stay apart."""
     anchors = stage(_anchors(docs.where("doc_id is not null"), window, gram))
-    shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor")
-    seeds = anchors.join(shared, "anchor", "left_semi")
-    seeds = stage(seeds.groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("first", "n")).alias("runs")))
+    rows, shared = _shared(anchors, ["anchor"])
+    seeds = rows.join(shared, ["anchor", "salt"], "left_semi")
+    seeds = stage(seeds.groupBy(F.col("doc_id").alias("id"), F.col("mark").alias("of")).agg(F.collect_set(F.struct("first", "n")).alias("runs")))
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             words = Words(batch, lower=False)
-            whole = gram_hashes(words.hashes(), window)
+            h = words.hashes()
+            whole, check = gram_hashes(h, window), gram_hashes(mix(h ^ _OTHER), window)
             rows, at = [], []
-            for r, runs in enumerate(batch.column(2).to_pylist()):
+            for r, runs in enumerate(batch.column(3).to_pylist()):
                 size = words.first[r + 1] - words.first[r]
                 wanted = np.unique(np.concatenate([np.arange(x["first"], x["first"] + x["n"]) for x in runs]))
                 wanted = wanted[wanted <= size - window]
                 rows.append(np.full(len(wanted), r))
                 at.append(wanted)
             rows, at = np.concatenate(rows), np.concatenate(at)
+            place, of = words.first[rows] + at, pa.array(rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows)), pa.array(whole[words.first[rows] + at].view(np.int64)), pa.array(at, pa.int32())], ["doc_id", "window", "at"]
+                [batch.column(0).take(of), batch.column(1).take(of), pa.array(whole[place].view(np.int64)), pa.array((check[place] >> np.uint64(32)).astype(np.uint32).view(np.int32)), pa.array(at, pa.int32())],
+                ["doc_id", "mark", "window", "check", "at"],
             )
 
-    windows = _beside(docs, seeds, "inner").select("doc_id", "text", "runs").mapInArrow(extend, "doc_id long, window long, at int")
-    windows = stage(windows)
-    least = windows.groupBy("window").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("window", "lo")
-    late = windows.join(least, "window").where("doc_id > lo").groupBy(F.col("doc_id").alias("id")).agg(F.collect_set("at").alias("at"))
+    windows = _beside(docs, seeds, "inner").select("doc_id", "mark", "text", "runs").mapInArrow(extend, "doc_id long, mark long, window long, check int, at int")
+    rows, least = _shared(stage(windows), ["window", "check"])
+    late = rows.join(least, ["window", "check", "salt"]).where("doc_id > lo").groupBy(F.col("doc_id").alias("id"), F.col("mark").alias("of")).agg(F.collect_set("at").alias("at"))
 
     def maximal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             runs = []
-            for at in batch.column(1).to_pylist():
+            for at in batch.column(2).to_pylist():
                 at = np.sort(np.array(at, np.int64))
                 begin = np.flatnonzero(np.diff(at, prepend=-2) > 1)
                 runs.append([{"first": int(at[i]), "n": int(n)} for i, n in zip(begin, np.diff(begin, append=len(at)), strict=True)])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(runs, pa.list_(pa.struct([("first", pa.int32()), ("n", pa.int32())])))], ["id", "runs"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(runs, pa.list_(pa.struct([("first", pa.int32()), ("n", pa.int32())])))], ["id", "of", "runs"])
 
-    return stage(late.mapInArrow(maximal, "id long, runs array<struct<first:int,n:int>>"))
+    return stage(late.mapInArrow(maximal, "id long, of long, runs array<struct<first:int,n:int>>"))
 
 
 def remove_repeats(docs: DataFrame, window: int = 50, gram: int = 10) -> DataFrame:
-    """One row per document: doc_id, n_words, n_removed, kept_text, kept_sha256 (of kept words joined by one space).
+    """One row per document: doc_id, mark (a number for its text), n_words, n_removed, kept_text, kept_sha256 (of kept
+    words joined by one space).
 
     A word goes if a window of ``window`` words that covers it also starts in a document with a smaller doc_id, judged
     on the input. kept_text is null where nothing is removed (the text stays as it is). Null text has no words. Rows
-    that repeat a doc_id never count against each other, and what is removed from one is removed from the other's same
-    places; a row with a null doc_id loses nothing and takes nothing. An empty table gives no rows.
+    that repeat a doc_id never count against each other, and each loses only what windows of its own text cover; a row
+    with a null doc_id loses nothing and takes nothing. An empty table gives no rows. Other columns are not read.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    docs = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")).alias("mark"), F.col("text").cast("string"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -158,16 +172,16 @@ def remove_repeats(docs: DataFrame, window: int = 50, gram: int = 10) -> DataFra
                 kept.append(joined.decode() if gone[-1] else None)
                 sha.append(hashlib.sha256(joined).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string()), pa.array(sha)], ["doc_id", "n_words", "n_removed", "kept_text", "kept_sha256"]
+                [batch.column(0), batch.column(3), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string()), pa.array(sha)], ["doc_id", "mark", "n_words", "n_removed", "kept_text", "kept_sha256"]
             )
 
-    both = _beside(docs, repeats(docs, window, gram), "left").select("doc_id", "text", "runs")
-    return both.mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string")
+    both = _beside(docs, repeats(docs, window, gram), "left").select("doc_id", "text", "runs", "mark")
+    return both.mapInArrow(cut, "doc_id long, mark long, n_words long, n_removed long, kept_text string, kept_sha256 string")
 
 
 def substring_dedup(docs: DataFrame, window: int = 50, gram: int = 10) -> DataFrame:
     """The digest columns of :func:`remove_repeats`: doc_id, n_words, n_removed, kept_sha256."""
-    return remove_repeats(docs, window, gram).drop("kept_text")
+    return remove_repeats(docs, window, gram).drop("kept_text", "mark")
 
 
 ORACLE = r"""

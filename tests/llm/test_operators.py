@@ -88,7 +88,10 @@ def test_null_ids_and_repeated_rows(spark, name):
     texts = ["same text here", "same text here", None, "", "x y z", "x y z", "other"]
     got = OPS[name](frame(spark, texts, [7, 7, None, None, 9, 9, None])).collect()
     if name == "pack":
-        assert sum(r["length"] for r in got) == sum(collections.Counter({r["doc_tokens"]: 0 for r in got})) or len(got) >= len(texts)
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+        assert sum(r["length"] for r in got) == sum(len(library.encode(t or "", add_special_tokens=False).ids) + 1 for t in texts)
     elif name != "license_scan":
         assert len(got) == len(texts)
 
@@ -188,6 +191,15 @@ def test_exact_dedup(docs):
             assert (r["keep_id"], r["group_size"], r["kept"], r["text_sha256"]) == (max(ids), len(ids), i == max(ids), hashlib.sha256(text).hexdigest())
 
 
+def test_exact_dedup_null_and_repeated_ids(spark):
+    """One row of each group stays, whatever its ids."""
+    texts = ["same", "SAME", "x", "X", "x", "y", "y", "alone"]
+    ids = [None, None, 5, 9, 9, None, 3, None]
+    rows = exact_dedup(frame(spark, texts, ids)).collect()
+    kept = sorted(((r["keep_id"] is None, r["keep_id"] or 0, r["group_size"]) for r in rows if r["kept"]))
+    assert len(rows) == 8 and kept == [(False, 3, 2), (False, 9, 3), (True, 0, 1), (True, 0, 2)]
+
+
 def test_exact_dedup_long_shared_starts(spark):
     base = "x" * 3000
     texts = [base + c for c in "abca"] + [base, base, base[:32], base[:32], "É", "é"]
@@ -365,6 +377,23 @@ def test_substring_dedup(spark, seed):
     assert got == brute_removed(texts)
 
 
+def test_substring_dedup_repeated_ids(spark):
+    """What is cut from one row of an id is not cut from another."""
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts = [passage, "head " + passage, "short text", passage + " tail", None]
+    got = sorted((r["n_words"], r["n_removed"]) for r in substring_dedup(frame(spark, texts, [1, 5, 5, None, 5])).collect())
+    assert got == [(0, 0), (2, 0), (60, 0), (61, 0), (61, 60)]
+
+
+def test_hot_groups_are_split(spark):
+    """A passage that every document has, and thousands of equal texts."""
+    texts = [f"{i} " + " ".join(f"p{k}" for k in range(55)) for i in range(2500)] + ["equal text"] * 2500
+    df = frame(spark, texts)
+    got = substring_dedup(df).collect()
+    assert all(r["n_removed"] == (55 if 0 < r["doc_id"] < 2500 else 0) for r in got)
+    assert sum(r["kept"] for r in exact_dedup(df).collect()) == 2501
+
+
 def test_untouched_texts_stay(spark):
     got = remove_repeats(frame(spark, ["a  b\n c", None])).collect()
     assert [r["kept_text"] for r in got] == [None, None]
@@ -435,6 +464,47 @@ def test_near_dedup_crowd_under_the_bar(spark):
     assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in rows} == want
 
 
+def stage_input(spark, rows):
+    """Documents with extra columns whose names the stages use as well."""
+    return spark.createDataFrame([(i, t, "en", "s", len(t or ""), 1, "z", "z") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, row int, num string, many string")
+
+
+@pytest.mark.parametrize("rows", [[], [(5, "head"), (None, None), (5, "")]])
+def test_stages_on_small_tables(spark, rows):
+    import corpus_pipeline
+
+    for name, step in corpus_pipeline.STAGES:
+        docs = stage_input(spark, rows)
+        got = step(spark, docs, SF)
+        if name == "packing":
+            assert got.count() == len(rows)
+        else:
+            assert got.columns == docs.columns and got.count() == (len(rows) - 1 if name == "exact_dedup" and rows else len(rows))
+
+
+def test_stages_keep_rows_of_repeated_ids(spark):
+    import corpus_pipeline
+
+    steps = dict(corpus_pipeline.STAGES)
+    passage = " ".join(f"p{i}" for i in range(60))
+    docs = stage_input(spark, [(1, passage), (5, "head " + passage), (5, "an unrelated short text of its own"), (None, passage)])
+    got = {(r["doc_id"], r["text"]) for r in steps["substring_dedup"](spark, docs, SF).collect()}
+    assert got == {(1, passage), (5, "head"), (5, "an unrelated short text of its own"), (None, passage)}
+    docs = stage_input(spark, [(5, "same text"), (9, "same text"), (5, "only copy of this other text"), (None, "lost"), (None, "LOST"), (7, "twin"), (7, "twin")])
+    got = sorted(((r["doc_id"] or 0, r["text"].lower()) for r in steps["exact_dedup"](spark, docs, SF).collect()))
+    assert got == [(0, "lost"), (5, "only copy of this other text"), (7, "twin"), (9, "same text")]
+    near = passage.replace("p59", "q")
+    docs = stage_input(spark, [(5, passage), (5, near), (3, near + " z"), (5, "only copy of this other text"), (None, "lost"), (None, passage)])
+    got = sorted(((r["doc_id"] or 0, r["text"]) for r in steps["near_dedup"](spark, docs, SF).collect()))
+    assert got == [(0, "lost"), (3, near + " z"), (5, "only copy of this other text")]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    kept = steps["toxicity"](spark, docs, SF)
+    toxic = docs.join(kept, "doc_id", "left_anti").select("doc_id").first()[0]
+    more = docs.limit(1).selectExpr(f"cast({toxic} as bigint) as doc_id", "'a clean text of its own' as text", *docs.columns[2:])
+    got = [r["text"] for r in steps["toxicity"](spark, docs.union(more), SF).where(f"doc_id = {toxic}").collect()]
+    assert got == ["a clean text of its own"]
+
+
 def brute_topk(vectors, k, every):
     ints = {i: [int(np.floor(64.0 * float(np.float32(x)))) for x in v] for i, v in vectors.items() if v is not None and all(x is not None and np.isfinite(x) for x in v)}
     out = set()
