@@ -1,4 +1,5 @@
-"""Planar and spherical geometry on columns. A line is an array of structs (x, y); everything stays in generated code."""
+"""Planar and spherical geometry on columns. A line is an array of structs (x, y). Functions on numbers stay in generated code;
+those that walk a line's legs use higher-order functions, which Spark interprets."""
 
 from __future__ import annotations
 

@@ -5,9 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FILLERS = ["the", "of", "and", "by", "for", "in", "to", "a", "an", "or", "with", "on", "at"]
-ABBREVIATIONS = {"estimate": "est", "margin": "moe", "population": "pop", "household": "hh", "households": "hhs", "percent": "pct", "number": "num", "standard": "std", "economy": "econ", "promotional": "promo", "medium": "med"}
+#: Words that say nothing in a column name, label segments without meaning, the longest name.
+FILLERS = ["the", "of", "and", "or", "in", "to", "for", "by"]
+STRUCTURAL = ["estimate", "margin of error", "total", "annotation of estimate", "annotation of margin of error"]
 MOST = 63
+#: Short forms of common census words; callers pass longer tables as a parameter. An empty form drops the word.
+ABBREVIATIONS = {
+    "estimate": "est", "margin": "mrgn", "error": "err", "total": "tot", "percent": "pct", "median": "med", "aggregate": "agg", "average": "avg",
+    "number": "num", "population": "pop", "female": "f", "male": "m", "years": "yr", "under": "un", "over": "ov", "white": "wht", "black": "blk",
+    "african": "afr", "american": "amer", "asian": "asn", "hispanic": "hisp", "latino": "lat", "native": "nat", "alone": "aln", "foreign": "frgn",
+    "born": "brn", "employed": "emp", "unemployed": "unemp", "income": "inc", "earnings": "earn", "poverty": "pov", "occupation": "occ",
+    "transportation": "transpo", "education": "edu", "health": "hlth", "service": "srvc", "workers": "wrkrs", "housing": "hous", "household": "hh",
+    "households": "hh", "owner": "own", "renter": "rnt", "occupied": "occ", "vacant": "vac", "rent": "rnt", "rooms": "rms", "vehicles": "veh",
+    "value": "val", "means": "", "drove": "drv", "carpooled": "crpl", "public": "pub", "walked": "wlk", "bicycle": "bike", "worked": "wrkd",
+    "home": "hm", "travel": "trvl", "time": "tm", "minutes": "min", "with": "w", "without": "wo", "children": "chld", "families": "fam", "family": "fam",
+}
 
 
 def variable_filter(df: DataFrame) -> DataFrame:
@@ -18,29 +30,36 @@ def variable_filter(df: DataFrame) -> DataFrame:
 
 
 def _words(text: Column, abbreviations: dict[str, str]) -> Column:
-    """Lower-case words without filler, abbreviated, consecutive repeats once."""
-    table = F.create_map(*[F.lit(x) for kv in abbreviations.items() for x in kv])
-    raw = F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: (w != "") & ~w.isin(FILLERS))
-    short = F.transform(raw, lambda w: F.coalesce(table[w], w))
-    return F.filter(F.transform(short, lambda w, i: F.struct(w.alias("w"), F.when(i > 0, F.get(short, i - 1)).alias("p"))), lambda s: s["p"].isNull() | (s["p"] != s["w"]))
+    """Lower-case words of letters and digits (other characters vanish), without filler, abbreviated."""
+    table = F.create_map(*[F.lit(x) for kv in abbreviations.items() for x in kv]) if abbreviations else F.create_map().cast("map<string,string>")
+    raw = F.filter(F.split(F.regexp_replace(F.lower(text), r"[^a-z0-9\s]", ""), r"\s+"), lambda w: (w != "") & ~w.isin(FILLERS))
+    return F.filter(F.transform(raw, lambda w: F.coalesce(table[w], w)), lambda w: w != "")
+
+
+def _once(words: Column) -> Column:
+    """Of consecutive equal words one."""
+    return F.transform(F.filter(F.transform(words, lambda w, i: F.struct(w.alias("w"), F.when(i > 0, F.get(words, i - 1)).alias("p"))), lambda s: s["p"].isNull() | (s["p"] != s["w"])), lambda s: s["w"])
 
 
 def _fit(words: Column, room: Column) -> Column:
     """As many whole words, joined by '_', as fit."""
-    texts = F.transform(words, lambda s: s["w"])
-    sizes = F.sequence(F.size(texts), F.lit(0), F.lit(-1))
-    return F.filter(F.transform(sizes, lambda n: F.array_join(F.slice(texts, 1, n), "_")), lambda s: F.length(s) <= room)[0]
+    sizes = F.sequence(F.size(words), F.lit(0), F.lit(-1))
+    return F.filter(F.transform(sizes, lambda n: F.array_join(F.slice(words, 1, n), "_")), lambda s: F.length(s) <= F.greatest(room, F.lit(0)))[0]
 
 
-def compress_labels(df: DataFrame, abbreviations: dict[str, str] | None = None, structural: tuple[str, ...] = ("Estimate", "Margin of Error", "Total:", "Total")) -> DataFrame:
-    """variable and column_name: concept__label_{est|moe}_{code}, at most 63 characters; the code is never cut."""
+def compress_labels(df: DataFrame, abbreviations: dict[str, str] | None = None) -> DataFrame:
+    """variable and column_name: concept__label_{est|moe}_{variable}, at most 63 characters. The variable is never cut; the
+    concept loses its last words first, then the label. A label without words is 'tot'. Variables that end neither in E nor
+    in M after their number have no name and no row."""
     table = ABBREVIATIONS if abbreviations is None else abbreviations
-    parts = F.filter(F.split("label", "!!"), lambda p: ~p.isin(*structural))
-    label, concept = _words(F.array_join(parts, " "), table), _words(F.col("concept"), table)
-    code = F.lower(F.substring("variable", 1, F.length("variable") - 1))
-    tail = F.concat(F.when(F.col("variable").endswith("M"), "_moe_").otherwise("_est_"), code)
-    out = df.withColumns({"_label": label, "_concept": concept, "_tail": tail})
-    room = F.lit(MOST) - F.length("_tail") - 2
-    out = out.withColumn("_l", _fit(F.col("_label"), room))
-    out = out.withColumn("_c", _fit(F.col("_concept"), F.greatest(room - F.length("_l"), F.lit(0))))
-    return out.select("variable", F.concat("_c", F.lit("__"), "_l", "_tail").alias("column_name"))
+    ending = F.regexp_extract("variable", r"[0-9]([A-Z]+)$", 1)
+    segments = F.transform(F.split(F.coalesce("label", F.lit("")), "!!"), lambda p: F.regexp_replace(F.trim(p), ":+$", ""))
+    label = _once(F.flatten(F.transform(F.filter(segments, lambda p: ~F.lower(p).isin(STRUCTURAL)), lambda p: _words(p, table))))
+    out = df.where(ending.isin("E", "M")).withColumns(
+        {"_label": label, "_concept": _once(_words(F.coalesce("concept", F.lit("")), table)), "_tail": F.concat(F.when(ending == "M", "_moe_").otherwise("_est_"), F.col("variable"))}
+    )
+    out = out.withColumn("_label", F.when(F.size("_label") == 0, F.array(F.lit("tot"))).otherwise(F.col("_label")))
+    room = F.lit(MOST - 2) - F.length("_tail")
+    out = out.withColumn("_c", _fit(F.col("_concept"), room - F.length(F.array_join("_label", "_"))))
+    out = out.withColumn("_l", _fit(F.col("_label"), room - F.length("_c")))
+    return out.select("variable", F.concat(F.array_join(F.filter(F.array("_c", "_l"), lambda x: x != ""), "__"), "_tail").alias("column_name"))

@@ -67,12 +67,19 @@ def severity(fatal: Column, incapacitating: Column, non_incapacitating: Column,
     return first_match([(fatal > 0, 5), (incapacitating > 0, 4), (non_incapacitating > 0, 3), (not_evident > 0, 2)], 1)
 
 
+def side_tag(name: str) -> Column:
+    """A cycleway's tag (buffer, separation, shared_lane) given for its left, right or both sides, or plainly."""
+    return F.coalesce(*[F.col(f"cycleway_{side}{name}") for side in ("left_", "right_", "both_", "")])
+
+
 def infra_columns() -> tuple[Column, Column]:
-    """(category, type) of an edge's bicycle infrastructure from its tags."""
+    """(category, type) of an edge's bicycle infrastructure from its tags. The right side counts before the left one; a
+    side without a tag of its own has that of both sides, or the plain one. Fixed values: tag values and classes."""
     c = F.col
-    way = F.coalesce(c("cycleway_right"), c("cycleway_left"), c("cycleway_both"), c("cycleway"), F.lit(""))
-    separated = c("cycleway_separation").isNotNull() & ~c("cycleway_separation").isin("no", "none")
-    buffered, marked = c("cycleway_buffer").isNotNull(), c("cycleway_shared_lane").isNotNull()
+    way = F.coalesce(c("cycleway_right"), c("cycleway_both"), c("cycleway"), c("cycleway_left"), F.lit(""))
+    separation = side_tag("separation")
+    separated = separation.isNotNull() & ~separation.isin("no", "none")
+    buffered, marked = side_tag("buffer").isNotNull(), side_tag("shared_lane").isNotNull()
     street = F.coalesce((c("bicycle_road") == "yes") | (c("cyclestreet") == "yes"), F.lit(False))
     track, lane, shared = way.isin("track", "separate"), way.isin("lane", "exclusive"), way.isin("shared_lane", "shared")
     on, allowed = c("highway"), c("bicycle")

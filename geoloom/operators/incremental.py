@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable, Iterable
+from datetime import datetime, timezone
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -29,7 +32,7 @@ def high_water(df: DataFrame, column: str) -> DataFrame:
 
 
 def skip_seen(df: DataFrame, column: str, mark: str) -> DataFrame:
-    """Rows after the mark and rows without a date, and how many were skipped (same on every row)."""
+    """Rows after the mark and rows without a date."""
     return df.where(F.col(column).isNull() | (F.col(column) > F.lit(mark).cast("timestamp")))
 
 
@@ -59,9 +62,45 @@ def run_history(log: DataFrame, source: str) -> DataFrame:
     return log.where(F.col("source") == source).select("run_id", "dataset_id", "mode", "status", F.round((F.unix_timestamp("completed_at") - F.unix_timestamp("started_at")).cast("double"), 6).alias("seconds"))
 
 
-def log_run(unit, name: str) -> tuple[DataFrame | None, dict]:
-    """Run one unit of work; an error becomes a failed log entry instead of ending the other units."""
-    try:
-        return unit(), {"unit": name, "status": "success", "error": None}
-    except Exception as e:  # the entry keeps what went wrong
-        return None, {"unit": name, "status": "failed", "error": str(e)[:200]}
+class PartialLoad(RuntimeError):
+    """A load broke off; ``merged`` is the target with what was staged before."""
+
+    def __init__(self, message: str, merged: DataFrame):
+        super().__init__(message)
+        self.merged = merged
+
+
+def merge_pages(pages: Iterable[Callable[[], DataFrame]], target: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> DataFrame:
+    """Stage page after page, then ``merge(target, staged)``. If a page fails, what was staged is merged all the same, and
+    :class:`PartialLoad` is raised with the result; the failed page and those after it are left for the next run."""
+    staged = None
+    for number, page in enumerate(pages):
+        try:
+            got = page()
+        except Exception as error:
+            raise PartialLoad(f"page {number}: {error}", target if staged is None else merge(target, staged)) from error
+        staged = got if staged is None else staged.unionByName(got)
+    return target if staged is None else merge(target, staged)
+
+
+LOG = "source string, unit string, mode string, status string, rows_staged long, rows_merged long, error string, high_water_mark string, started_at timestamp, completed_at timestamp"
+
+
+def run_units(spark: SparkSession, log_path: str, source: str, mode: str, units: dict[str, Callable[[], dict]]) -> DataFrame:
+    """Run every unit of work and append its log entry to the table at ``log_path``, whether it succeeds or not.
+
+    A unit returns what it knows of rows_staged, rows_merged and high_water_mark. A unit that fails leaves the others
+    running; its entry says what went wrong. Returns the entries of this run.
+    """
+    entries = []
+    for unit, work in units.items():
+        began, known, error = datetime.now(timezone.utc), {}, None
+        try:
+            known = work() or {}
+        except Exception as e:  # the entry keeps what went wrong
+            error = str(e)[:500]
+        finally:
+            entry = (source, unit, mode, "failed" if error is not None else "success", known.get("rows_staged"), known.get("rows_merged"), error, known.get("high_water_mark"), began, datetime.now(timezone.utc))
+            entries.append(entry)
+            spark.createDataFrame([entry], LOG).write.mode("append").parquet(log_path)
+    return spark.createDataFrame(entries, LOG)

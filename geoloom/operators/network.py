@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoloom.functions.geo import azimuth, point_line
-from geoloom.functions.rules import ROAD_CLASSES, ROUTE_INFRA, ROUTE_RANKS, control_penalty, infra_columns, lookup, oneway_fits, road_rank, safety_factors, severity
+from geoloom.functions.rules import ROAD_CLASSES, ROUTE_INFRA, ROUTE_RANKS, control_penalty, infra_columns, lookup, oneway_fits, road_rank, safety_factors, severity, side_tag
 from geoloom.functions.text import either_contains
 from geoloom.operators.spatial import line_line_within, point_line_within
 
@@ -51,7 +51,7 @@ def with_crash_scores(edges: DataFrame, crashes: DataFrame, eps: float, as_of: s
 def classify(edges: DataFrame, keep_all: bool = False) -> DataFrame:
     """infra_category and infra_type of edges that have any."""
     category, kind = infra_columns()
-    out = edges.withColumns({"infra_category": category, "infra_type": kind, "has_buffer": F.col("cycleway_buffer").isNotNull(), "is_lit": F.col("lit").isNotNull() & (F.col("lit") != "no")})
+    out = edges.withColumns({"infra_category": category, "infra_type": kind, "has_buffer": side_tag("buffer").isNotNull(), "is_lit": F.col("lit").isNotNull() & (F.col("lit") != "no")})
     return out if keep_all else out.where("infra_category is not null")
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.functions.geo import cell_of, line_line, local_metres, point_line
+from geoloom.functions.geo import cell_of, line_line, local_metres, point_line, point_segment, segment_segment
 from geoloom.session import stage
 
 CELL = 0.002
@@ -21,8 +21,20 @@ def _cells(lo: Column, hi: Column, cell: float) -> Column:
     return F.explode(F.sequence(cell_of(lo, cell), cell_of(hi, cell)))
 
 
+def _ends(line: str) -> list[Column]:
+    """x0, y0, x1, y1 of a line's first leg, as plain numbers."""
+    a, b = F.element_at(line, 1), F.element_at(line, 2)
+    return [a["x"], a["y"], b["x"], b["y"]]
+
+
 def line_cells(lines: DataFrame, line: str, eps: float, cell: float) -> DataFrame:
-    """Lines once for each cell (cx, cy) that a leg's box, widened by eps, touches."""
+    """Lines once for each cell (cx, cy) that a leg's box, widened by eps, touches; with the line's widened box (_x0, _y0,
+    _x1, _y1), and for lines of one leg its ends (_ax, _ay, _bx, _by)."""
+    one = lines.where(F.size(line) == 2).withColumns(dict(zip(("_ax", "_ay", "_bx", "_by"), _ends(line), strict=True)))
+    one = one.withColumns(
+        {"_x0": F.least("_ax", "_bx") - eps, "_y0": F.least("_ay", "_by") - eps, "_x1": F.greatest("_ax", "_bx") + eps, "_y1": F.greatest("_ay", "_by") + eps}
+    )
+    one = one.withColumn("cx", _cells(F.col("_x0"), F.col("_x1"), cell)).withColumn("cy", _cells(F.col("_y0"), F.col("_y1"), cell))
     legs = F.zip_with(F.slice(line, 1, F.size(line) - 1), F.slice(line, 2, F.size(line) - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
 
     def of_leg(s: Column) -> Column:
@@ -30,14 +42,21 @@ def line_cells(lines: DataFrame, line: str, eps: float, cell: float) -> DataFram
         ys = F.sequence(cell_of(F.least(s["a"]["y"], s["b"]["y"]) - eps, cell), cell_of(F.greatest(s["a"]["y"], s["b"]["y"]) + eps, cell))
         return F.flatten(F.transform(xs, lambda x: F.transform(ys, lambda y: F.struct(x.alias("cx"), y.alias("cy")))))
 
-    return lines.withColumn("_cell", F.explode(F.array_distinct(F.flatten(F.transform(legs, of_leg))))).select("*", "_cell.*").drop("_cell")
+    many = lines.where(F.size(line) > 2).withColumns({f"_{k}": v for k, v in _box(line, eps).items()})
+    many = many.withColumn("_cell", F.explode(F.array_distinct(F.flatten(F.transform(legs, of_leg))))).select("*", "_cell.*").drop("_cell")
+    return one.unionByName(many, allowMissingColumns=True)
 
 
 def point_line_within(points: DataFrame, lines: DataFrame, eps: float, x: str = "px", y: str = "py", line: str = "line", cell: float = CELL) -> DataFrame:
-    """Inner join of points and lines at most eps apart, with the distance."""
+    """Inner join of points and lines at most eps apart, with the distance. Boxes are tested first; for lines of one leg
+    the distance is plain arithmetic on numbers."""
     located = points.withColumns({"cx": cell_of(F.col(x), cell), "cy": cell_of(F.col(y), cell)})
-    met = located.join(line_cells(lines, line, eps, cell), ["cx", "cy"]).drop("cx", "cy")
-    return met.withColumn("distance", F.round(point_line(F.col(x), F.col(y), F.col(line)), 9)).where(F.col("distance") <= eps)
+    # distances are rounded to 9 places, so boxes are a little wider
+    met = located.join(line_cells(lines, line, eps + 1e-9, cell), ["cx", "cy"]).where(F.col(x).between(F.col("_x0"), F.col("_x1")) & F.col(y).between(F.col("_y0"), F.col("_y1")))
+    own = [F.col(c) for c in ("_ax", "_ay", "_bx", "_by")]
+    distance = F.when(F.col("_ax").isNotNull(), point_segment(F.col(x), F.col(y), *own)).otherwise(point_line(F.col(x), F.col(y), F.col(line)))
+    extra = ("cx", "cy", "_ax", "_ay", "_bx", "_by", "_x0", "_y0", "_x1", "_y1")
+    return met.withColumn("distance", F.round(distance, 9)).where(F.col("distance") <= eps).drop(*extra)
 
 
 def _box(line: str, wide: float) -> dict[str, Column]:
@@ -52,11 +71,14 @@ def line_line_within(left: DataFrame, right: DataFrame, eps: float, left_line: s
         df = df.withColumns({f"_{tag}{k}": v for k, v in _box(line, wide).items()})
         return df.withColumn("cx", _cells(F.col(f"_{tag}x0"), F.col(f"_{tag}x1"), cell)).withColumn("cy", _cells(F.col(f"_{tag}y0"), F.col(f"_{tag}y1"), cell))
 
-    met = spread(left, left_line, eps, "l").join(spread(right, right_line, 0.0, "r"), ["cx", "cy"])
+    met = spread(left, left_line, eps + 1e-9, "l").join(spread(right, right_line, 0.0, "r"), ["cx", "cy"])
     here = (F.col("cx") == cell_of(F.greatest("_lx0", "_rx0"), cell)) & (F.col("cy") == cell_of(F.greatest("_ly0", "_ry0"), cell))
     touch = (F.col("_lx0") <= F.col("_rx1")) & (F.col("_rx0") <= F.col("_lx1")) & (F.col("_ly0") <= F.col("_ry1")) & (F.col("_ry0") <= F.col("_ly1"))
     met = met.where(here & touch).drop("cx", "cy", *[f"_{t}{k}" for t in "lr" for k in ("x0", "x1", "y0", "y1")])
-    return met.withColumn("distance", F.round(line_line(F.col(left_line), F.col(right_line)), 9)).where(F.col("distance") <= eps)
+    # lines of one leg each need no arrays
+    plain = segment_segment(_ends(left_line), _ends(right_line))
+    distance = F.when((F.size(left_line) == 2) & (F.size(right_line) == 2), plain).otherwise(line_line(F.col(left_line), F.col(right_line)))
+    return met.withColumn("distance", F.round(distance, 9)).where(F.col("distance") <= eps)
 
 
 def near_pairs(nodes: DataFrame, metres: float, mean_latitude: float, key: str = "osmid") -> DataFrame:
@@ -70,14 +92,17 @@ def near_pairs(nodes: DataFrame, metres: float, mean_latitude: float, key: str =
     return a.join(b, ["cx", "cy"]).where("a < b").withColumn("metres", F.round(gap, 6)).where(F.col("metres") <= metres).select("a", "b", "metres")
 
 
-def nearest_node(points: DataFrame, nodes: DataFrame, key: str, cell: float = CELL, rings: int = 12) -> DataFrame:
+def nearest_node(points: DataFrame, nodes: DataFrame, key: str, cell: float = CELL) -> DataFrame:
     """Each point's nearest node (ties to the smaller id): rings of cells double until a node is sure to be the nearest.
 
-    points: key, px, py. nodes: osmid, x, y. Points farther than the last ring from every node get no row.
+    points: key, px, py. nodes: osmid, x, y. The rings end at the extent of both tables, so every located point gets a row
+    if there is a node; points without coordinates get none.
     """
-    left, found, reach = points.select(key, "px", "py"), None, 1
-    n = nodes.select("osmid", F.col("x").alias("nx"), F.col("y").alias("ny"))
-    for _ in range(rings):
+    left, found, reach = points.select(key, "px", "py").where("px is not null and py is not null"), None, 1
+    n = nodes.select("osmid", F.col("x").alias("nx"), F.col("y").alias("ny")).where("nx is not null and ny is not null")
+    both = left.select(F.col("px").alias("x"), F.col("py").alias("y")).union(n.select("nx", "ny")).agg(F.max("x") - F.min("x"), F.max("y") - F.min("y")).first()
+    extent = (both[0] or 0.0) + (both[1] or 0.0)
+    while True:
         wide = cell * reach
         p = left.withColumns({"cx": cell_of(F.col("px"), wide), "cy": cell_of(F.col("py"), wide)})
         p = p.withColumn("cx", F.explode(F.array(*[F.col("cx") + d for d in (-1, 0, 1)]))).withColumn("cy", F.explode(F.array(*[F.col("cy") + d for d in (-1, 0, 1)])))
@@ -87,7 +112,6 @@ def nearest_node(points: DataFrame, nodes: DataFrame, key: str, cell: float = CE
         best = stage(best.where(F.col("distance") <= wide))
         found = best if found is None else found.unionByName(best)
         left = left.join(best.select(key), key, "left_anti")
+        if wide > extent or left.isEmpty():
+            return found
         reach *= 2
-        if left.isEmpty():
-            break
-    return found

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.functions.labels import compress_labels, variable_filter
+from geoloom.functions.labels import ABBREVIATIONS, FILLERS, compress_labels, variable_filter
 from geoloom.operators import graph as G
 from geoloom.functions.rules import severity
 from geoloom.plans import lattice as L
@@ -220,6 +220,30 @@ def route_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs.retained(out, 365, "2024-12-31").select("request_id", "server_timestamp", "source_ip", "client_payload")
 
 
+def _sql_words(text: str) -> str:
+    short = "map([" + ", ".join(f"'{k}'" for k in ABBREVIATIONS) + "], [" + ", ".join(f"'{v}'" for v in ABBREVIATIONS.values()) + "])"
+    listed = ", ".join(f"'{w}'" for w in FILLERS)
+    bare = f"[w for w in string_split_regex(regexp_replace(lower({text}), '[^a-z0-9\\s]', '', 'g'), '\\s+') if w <> '' and w not in ({listed})]"
+    return f"[w for w in [coalesce({short}[w], w) for w in {bare}] if w <> '']"
+
+
+def _sql_once(words: str) -> str:
+    return f"[{words}[i] for i in range(1, len({words}) + 1) if i = 1 or {words}[i] <> {words}[i - 1]]"
+
+
+def _sql_fit(words: str, room: str) -> str:
+    return f"[array_to_string({words}[1:n], '_') for n in range(len({words}), -1, -1) if length(array_to_string({words}[1:n], '_')) <= greatest({room}, 0)][1]"
+
+
+LABEL_SQL = f"""with v as (select p_partkey, concat('B', lpad(cast(p_partkey // 4 as varchar), 5, '0'), '_', lpad(cast(p_partkey % 90 as varchar), 3, '0'), ['E', 'M'][p_partkey % 6 + 1]) as variable,
+    [s for s in [p_name, p_type || ' of the ' || p_type || ' Household by Number']] as segments, concat(p_brand, ' for the Population in ', p_brand, ' Households') as concept
+    from part where p_partkey % 6 in (0, 1) and p_partkey % 41 <> 0
+), w as (select distinct variable, flatten([{_sql_words('s')} for s in segments]) as label, {_sql_words('concept')} as concept, case p_partkey % 6 when 0 then '_est_' else '_moe_' end || variable as tail from v
+), o as (select variable, tail, {_sql_once('label')} as l, {_sql_once('concept')} as c from w
+), p as (select variable, tail, l, {_sql_fit('c', "61 - length(tail) - length(array_to_string(l, '_'))")} as concept from o
+), q as (select variable, tail, concept, {_sql_fit('l', '61 - length(tail) - length(concept)')} as label from p)
+select variable, array_to_string([x for x in [concept, label] if x <> ''], '__') || tail as column_name from q"""
+
 QUERIES = (
     components, component_filter, last_edge_wins, edge_endpoints, graph_union, merge_map, contracted_edges, turn_penalties, route_batch, route_shape, route_checks, variables, label_compress, header_array_rows, geojson_features,
     feature_collection, feature_promotion, osm_node_rows, ways, relations, bike_flatten, csv_nulls, wkb_decode, simplify_lines, export_edges, route_log_stream,
@@ -257,6 +281,7 @@ SQL = {
     "variables": """with v as (select concat('B', lpad(cast(p_partkey // 4 as varchar), 5, '0'), '_', lpad(cast(p_partkey % 90 as varchar), 3, '0'), ['E', 'M', 'EA', 'MA', 'PE', 'PM'][p_partkey % 6 + 1]) as variable,
         concat('Estimate!!Total:!!', p_name, '!!', p_type, ' of the ', p_type, ' Household by Number') as label, concat(p_brand, ' for the Population in ', p_brand, ' Households') as concept, p_partkey % 41 = 0 as untyped, p_partkey % 6 as k from part)
       select distinct variable, label, concept from v where k in (0, 1) and not untyped""",
+    "label_compress": LABEL_SQL,
     "header_array_rows": "select p_partkey, cast(i as bigint) as pos, p_brand as name, cast(p_size + i as integer) as b1 from (select *, unnest(range(0, p_partkey % 3 + 1)) as i from part where p_partkey % 11 <> 0)",
     "feature_collection": f"""with {_C} select crash_record_id, severity, case when crash_record_id % 50 = 3 then null else severity * 0.5::double end as weight, 'Point' as gtype, true as is_valid, round(px, 6) as px, round(py, 6) as py from crashes where crash_record_id % 100 <> 7""",
     "feature_promotion": """select p_partkey, case p_partkey % 5 when 0 then 'MultiPoint' when 1 then 'MultiLineString' when 2 then 'MultiPoint' end as gtype, case p_partkey % 5 when 0 then '[[0,0]]' when 1 then '[[[0,0],[1,1]]]' when 2 then '[[0,0]]' end as coordinates from part""",

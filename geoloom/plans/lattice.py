@@ -46,6 +46,15 @@ _TAGS = """
   case when u % 8 = 0 then 'yes' end as cycleway_buffer,
   case u % 10 when 0 then 'bollard' when 1 then 'no' end as cycleway_separation,
   case when u % 29 = 0 then 'pictogram' end as cycleway_shared_lane,
+  case when v % 43 = 0 then 'yes' end as cycleway_left_buffer,
+  case when v % 47 = 0 then '0.5' end as cycleway_right_buffer,
+  case when v % 53 = 0 then 'yes' end as cycleway_both_buffer,
+  case v % 41 when 0 then 'kerb' when 1 then 'none' end as cycleway_left_separation,
+  case v % 59 when 0 then 'bollard' when 1 then 'no' end as cycleway_right_separation,
+  case when v % 61 = 0 then 'planter' end as cycleway_both_separation,
+  case when v % 67 = 0 then 'pictogram' end as cycleway_left_shared_lane,
+  case when v % 71 = 0 then 'advisory' end as cycleway_right_shared_lane,
+  case when v % 73 = 0 then 'yes' end as cycleway_both_shared_lane,
   case v % 4 when 0 then 'designated' when 1 then 'yes' when 2 then 'no' end as bicycle,
   case when v % 31 = 0 then 'yes' end as bicycle_road,
   case when v % 37 = 0 then 'yes' end as cyclestreet,

@@ -16,20 +16,26 @@ _N, _E, _C, _R, _S = L.NODES, L.EDGES, L.CRASHES, L.ROUTES, L.SUPPLEMENT
 _SEG = ("e.x0", "e.y0", "e.x1", "e.y1")
 _ROUTE = ("r.rx0", "r.ry", "r.rx1", "r.ry")
 
-_WAY = "coalesce(cycleway_right, cycleway_left, cycleway_both, cycleway, '')"
-_SEP = "(cycleway_separation is not null and cycleway_separation not in ('no', 'none'))"
-_CLASSIFIED = f"""classified as (
-  select *, {_WAY} as way, lit is not null and lit <> 'no' as is_lit, cycleway_buffer is not null as has_buffer,
-    case when highway in ('cycleway', 'path', 'pedestrian') or {_WAY} in ('track', 'separate') or {_SEP} then 'separated'
-      when {_WAY} in ('lane', 'exclusive') or cycleway_buffer is not null then 'on_road'
-      when {_WAY} in ('shared_lane', 'shared', 'share_busway') or cycleway_shared_lane is not null or bicycle_road = 'yes' or cyclestreet = 'yes' then 'shared'
+# Written from the published tag rules: each side's effective tag first, then the right side before the left one.
+_CLASSIFIED = """sides as (
+  select *, coalesce(cycleway_left, cycleway_both, cycleway) as left_way, coalesce(cycleway_right, cycleway_both, cycleway) as right_way,
+    coalesce(cycleway_left_buffer, cycleway_right_buffer, cycleway_both_buffer, cycleway_buffer) is not null as has_buffer,
+    coalesce(cycleway_left_separation, cycleway_right_separation, cycleway_both_separation, cycleway_separation) as separation,
+    coalesce(cycleway_left_shared_lane, cycleway_right_shared_lane, cycleway_both_shared_lane, cycleway_shared_lane) as shared_mark
+  from edges
+), one_way as (select *, coalesce(right_way, left_way, '') as way, coalesce(separation not in ('no', 'none'), false) as separated from sides
+), classified as (
+  select *, lit is not null and lit <> 'no' as is_lit,
+    case when highway in ('cycleway', 'path', 'pedestrian') or way in ('track', 'separate') or separated then 'separated'
+      when way in ('lane', 'exclusive') or has_buffer then 'on_road'
+      when way in ('shared_lane', 'shared', 'share_busway') or shared_mark is not null or bicycle_road = 'yes' or cyclestreet = 'yes' then 'shared'
       when highway in ('footway', 'bridleway', 'steps') and bicycle in ('yes', 'designated', 'permissive') then 'path'
       when bicycle in ('designated', 'yes') then 'shared' end as infra_category,
-    case when {_SEP} and {_WAY} in ('track', 'lane', 'separate') then 'protected_lane' when highway = 'cycleway' or {_WAY} in ('track', 'separate') then 'track'
-      when cycleway_buffer is not null then 'buffered_lane' when {_WAY} in ('lane', 'exclusive') then 'bike_lane' when {_WAY} in ('shared_lane', 'shared') or cycleway_shared_lane is not null then 'sharrow'
-      when bicycle_road = 'yes' or cyclestreet = 'yes' then 'bicycle_road' when {_WAY} = 'share_busway' then 'share_busway'
+    case when separated and way in ('track', 'lane', 'separate') then 'protected_lane' when highway = 'cycleway' or way in ('track', 'separate') then 'track'
+      when has_buffer then 'buffered_lane' when way in ('lane', 'exclusive') then 'bike_lane' when way in ('shared_lane', 'shared') or shared_mark is not null then 'sharrow'
+      when bicycle_road = 'yes' or cyclestreet = 'yes' then 'bicycle_road' when way = 'share_busway' then 'share_busway'
       when highway in ('path', 'footway', 'bridleway', 'pedestrian', 'steps') then 'shared_path' when bicycle = 'designated' then 'designated_path' end as infra_type
-  from edges)"""
+  from one_way)"""
 
 _PL = L.sql_point_segment("c.px", "c.py", *_SEG)
 _NEAR_CELL = "c.px between least(e.x0, e.x1) - 0.001 and greatest(e.x0, e.x1) + 0.001 and c.py between least(e.y0, e.y1) - 0.001 and greatest(e.y0, e.y1) + 0.001"
@@ -97,7 +103,7 @@ def bbox_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def edge_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = L.edges(spark, sf_dir).where("greatest(x0, x1) >= -87.96D and least(x0, x1) <= -87.88D and greatest(y0, y1) >= 41.63D and least(y0, y1) <= 42.05D")
-    return e.select(*KEY, F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in KEY])).alias("segment_id"), F.round("length_m", 6).alias("length_m"), F.coalesce("oneway", F.lit("no")).alias("oneway"))
+    return e.select(*KEY, F.md5(F.concat(F.col("u").cast("string"), F.lit("|"), F.col("v").cast("string"), F.lit("|"), F.col("key").cast("string"))).alias("segment_id"), F.round("length_m", 6).alias("length_m"), F.coalesce("oneway", F.lit("no")).alias("oneway"))
 
 
 def infra_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,7 +208,7 @@ SQL = {
       max(severity) as max_severity, cast(sum(case when severity >= 4 then 1 else 0 end) as bigint) as severe_count, min(crash_date) as first_crash, max(crash_date) as last_crash from crashes group by 1, 2""",
     "bbox_stage": f"""with {_C} select crash_record_id, round(px, 6) as px, round(py, 6) as py, to_timestamp(1700000000 + crash_record_id) at time zone 'UTC' as stolen_at from crashes
       where px >= -87.95::double and px <= -87.90::double and py >= 41.64::double and py <= 41.69::double""",
-    "edge_stage": f"""with {_N}, {_E} select u, v, key, md5(concat_ws('|', u, v, key)) as segment_id, round(length_m, 6) as length_m, coalesce(oneway, 'no') as oneway from edges
+    "edge_stage": f"""with {_N}, {_E} select u, v, key, md5(u::varchar || '|' || v::varchar || '|' || key::varchar) as segment_id, round(length_m, 6) as length_m, coalesce(oneway, 'no') as oneway from edges
       where greatest(x0, x1) >= -87.96::double and least(x0, x1) <= -87.88::double and greatest(y0, y1) >= 41.63::double and least(y0, y1) <= 42.05::double""",
     "infra_classify": f"with {_N}, {_E}, {_CLASSIFIED} select u, v, key, infra_category, infra_type, is_lit, has_buffer from classified where infra_category is not null",
     "route_type_map": """select s_suppkey as route_segment_id, md5(concat('STREET ', s_suppkey % 40, '|', '', '|', s_suppkey % 40, '|', t)) as route_key, t as display_route_type,

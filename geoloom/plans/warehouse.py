@@ -305,13 +305,10 @@ def partial_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
     pages = [lambda k=k: e.where(F.col("event_id") % 4 == k) if k != 2 else (_ for _ in ()).throw(OSError("page 2")) for k in range(4)]
     target = e.where("event_id % 8 = 1").withColumn("event_type", F.lit("old"))
-    staged = None
-    for k, page in enumerate(pages):
-        got, entry = I.log_run(page, f"page {k}")
-        if entry["status"] == "failed":
-            break
-        staged = got if staged is None else staged.unionByName(got)
-    return M.upsert(target, staged, ["event_id"])
+    try:
+        return I.merge_pages(pages, target, lambda old, new: M.upsert(old, new, ["event_id"]))
+    except I.PartialLoad as broken:
+        return broken.merged
 
 
 # -- text, time, quality ---------------------------------------------------------------------------------------------

@@ -272,3 +272,72 @@ def test_registered_routes_are_complete(spark, monkeypatch):
             assert abs(r["cost"] - want) < 1e-3, r
             walk = sum(cost[e] for e in zip(r["path"], r["path"][1:])) + sum(p[t] for t in zip(r["path"], r["path"][1:], r["path"][2:]))
             assert abs(walk - want) < 1e-3
+
+
+def test_label_names(spark):
+    """Structural segments in any case, filler words, short forms, repeated words, cut at words, codes as they are."""
+    from geoloom.functions.labels import compress_labels
+
+    concept = "MEANS OF TRANSPORTATION TO WORK (BLACK OR AFRICAN AMERICAN ALONE)"
+    rows = [
+        ("B08105B_001E", "Estimate!!Total:", concept),
+        ("B08105B_004M", "Margin of Error!!TOTAL:!!Public transportation (excluding taxicab):", concept),
+        ("B08105B_002E", "Annotation of Estimate!!Total:!!Car, truck, or van - drove alone", "Sex by sex"),
+        ("B24012_010E", "Estimate!!Total:!!" + "management " * 3 + "business science and arts occupations computer engineering", concept),
+        ("B00001_001E", "Estimate!!" + " ".join(f"word{i}" for i in range(20)), "C"),
+        ("B00001_001EA", "x", "y"),
+        ("B00001_002E", None, None),
+    ]
+    got = {r[0]: r[1] for r in compress_labels(spark.createDataFrame(rows, "variable string, label string, concept string")).collect()}
+    assert got["B08105B_001E"] == "transpo_work_blk_afr_amer_aln__tot_est_B08105B_001E"
+    assert got["B08105B_004M"].endswith("__pub_transpo_excluding_taxicab_moe_B08105B_004M")
+    assert got["B08105B_002E"] == "sex__car_truck_van_drv_aln_est_B08105B_002E"
+    assert got["B00001_002E"] == "tot_est_B00001_002E"
+    assert got["B00001_001E"].startswith("word0_word1_") and got["B00001_001E"].endswith("_est_B00001_001E")
+    assert "B00001_001EA" not in got and all(len(x) <= 63 for x in got.values())
+
+
+def test_side_tags(spark):
+    """The right side, then both, the plain tag and the left side; buffers and separations of any side count."""
+    from geoloom.operators.network import classify
+
+    names = ["cycleway_right", "cycleway_both", "cycleway", "cycleway_left", "highway", "bicycle", "bicycle_road", "cyclestreet", "lit"]
+    names += [f"cycleway_{s}{t}" for s in ("left_", "right_", "both_", "") for t in ("buffer", "separation", "shared_lane")]
+    cases = [{"cycleway_both": "lane", "cycleway_left": "track"}, {"cycleway_left": "track"}, {"cycleway_right": "lane", "cycleway_left_separation": "kerb"}, {"cycleway_right_buffer": "yes"}, {"cycleway_both_shared_lane": "yes"}, {"cycleway": "lane", "cycleway_left": "track"}]
+    df = spark.createDataFrame([(i, *[c.get(n) for n in names]) for i, c in enumerate(cases)], "id int, " + ", ".join(f"{n} string" for n in names))
+    got = {r["id"]: (r["infra_category"], r["infra_type"]) for r in classify(df, keep_all=True).collect()}
+    assert got == {0: ("on_road", "bike_lane"), 1: ("separated", "track"), 2: ("separated", "protected_lane"), 3: ("on_road", "buffered_lane"), 4: ("shared", "sharrow"), 5: ("on_road", "bike_lane")}
+
+
+def test_partial_load_merges_and_raises(spark):
+    from geoloom.operators import incremental as I
+    from geoloom.operators import merge as M
+
+    target = spark.createDataFrame([(1, "old"), (2, "old")], "id long, v string")
+
+    def broken():
+        raise OSError("no answer")
+
+    pages = [lambda: spark.createDataFrame([(2, "new"), (3, "new")], "id long, v string"), broken, lambda: spark.createDataFrame([(4, "late")], "id long, v string")]
+    with pytest.raises(I.PartialLoad) as e:
+        I.merge_pages(pages, target, lambda old, new: M.upsert(old, new, ["id"]))
+    assert "no answer" in str(e.value) and {tuple(r) for r in e.value.merged.collect()} == {(1, "old"), (2, "new"), (3, "new")}
+
+
+def test_run_units_keeps_a_log(spark, tmp_path):
+    from geoloom.operators import incremental as I
+
+    path = f"{tmp_path}/log"
+    seen = I.run_units(spark, path, "portal", "incremental", {"a": lambda: {"rows_staged": 5, "rows_merged": 4, "high_water_mark": "2024"}, "b": lambda: 1 / 0, "c": lambda: None})
+    assert [(r["unit"], r["status"]) for r in seen.collect()] == [("a", "success"), ("b", "failed"), ("c", "success")]
+    I.run_units(spark, path, "portal", "full", {"d": lambda: {}})
+    log = {r["unit"]: r for r in spark.read.parquet(path).collect()}
+    assert set(log) == set("abcd") and log["a"]["rows_merged"] == 4 and "division" in log["b"]["error"] and log["d"]["completed_at"] >= log["d"]["started_at"]
+
+
+def test_nearest_node_far_away(spark):
+    from geoloom.operators.spatial import nearest_node
+
+    nodes = spark.createDataFrame([(1, 0.0, 0.0), (2, 0.1, 0.0)], "osmid long, x double, y double")
+    points = spark.createDataFrame([(7, 60.0, 10.0), (8, 0.09, 0.0), (9, None, 1.0)], "id long, px double, py double")
+    assert {r["id"]: r["osmid"] for r in nearest_node(points, nodes, "id").collect()} == {7: 2, 8: 2}
