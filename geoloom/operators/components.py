@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.session import stage
+from geoloom.session import free, stage
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -19,7 +19,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     loops = pairs.where("x = y").select(F.col("x").alias("u"))
     now = pairs.where("x <> y").select(F.greatest("x", "y").alias("u"), F.least("x", "y").alias("v")).distinct()
     nodes = pairs.select(F.col("x").alias("u")).union(pairs.select(F.col("y").alias("u"))).union(loops).distinct()
-    last = None
+    last, before = None, []
     while True:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -27,6 +27,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
         least = star.groupBy("u").agg(F.min("v").alias("m"))
         small = star.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         now = stage(small.union(least.select("u", F.col("m").alias("v"))).distinct())
+        if before:
+            free(*before)
+        before = [now]
         mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == last:
             break

@@ -46,22 +46,34 @@ def shared_dir(spark: SparkSession) -> str:
 def stage(df: DataFrame, *partition_by: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: cuts lineage, survives lost executors.
 
-    The files go when the application ends.
+    The files go with :func:`free`, or when the application ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
     writer = df.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     _staged.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def free(*staged: DataFrame) -> None:
+    """Remove the files of staged tables that nothing reads any more: all that came of them is itself staged."""
+    for df in staged:
+        _delete(df.sparkSession, df.staged_at)
+        _staged.remove((df.sparkSession, df.staged_at))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 @atexit.register
 def _clean() -> None:
     for spark, path in _staged:
         try:
-            jvm = spark.sparkContext._jvm
-            p = jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(spark, path)
         except Exception:  # the JVM may be gone already
             return
