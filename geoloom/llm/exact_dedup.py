@@ -29,15 +29,15 @@ def exact_groups(docs: DataFrame, first_digit: int = 32, widen: int = 8) -> Data
 
     text_sha256 only names the row's text when results are put back; it decides nothing.
     """
-    norm = lower_ascii(F.col("text"))
-    live = docs.select("doc_id", F.lit(0).cast("long").alias("gid"), norm.alias("rest"))
+    # lower-casing keeps every place, so a first digit is read from the text as it is, and whole texts of copies only
+    live = docs.select("doc_id", F.lit(0).cast("long").alias("gid"), F.coalesce("text", F.lit("")).alias("rest"))
     at, width, done = 0, first_digit, []
     while True:
         keyed = live.select(
             "doc_id",
             *([] if at == 0 else ["text_sha256"]),
             "gid",
-            F.substring("rest", 1, width).alias("digit"),
+            lower_ascii(F.substring("rest", 1, width)).alias("digit"),
             (F.length("rest") <= width).alias("ended"),
             "rest",
         )
@@ -47,12 +47,12 @@ def exact_groups(docs: DataFrame, first_digit: int = 32, widen: int = 8) -> Data
             .where("group_size > 1")
             .withColumn("group", F.monotonically_increasing_id())
         )
-        keyed, groups = spread(keyed, groups, ["gid", "digit", "ended"], "group_size", F.col("doc_id"))
+        keyed, groups, keys = spread(keyed, groups, ["gid", "digit", "ended"], "group_size", F.col("doc_id"))
         # a shuffle join at every size: the group table grows with the corpus
-        split = keyed.join(groups.hint("merge"), ["gid", "digit", "ended", "salt"])
+        split = keyed.join(groups.hint("merge"), keys)
         out = split.select(
             "doc_id",
-            (F.sha2(F.col("rest"), 256) if at == 0 else F.col("text_sha256")).alias("text_sha256"),
+            (F.sha2(lower_ascii(F.col("rest")), 256) if at == 0 else F.col("text_sha256")).alias("text_sha256"),
             F.col("group").alias("gid"),
             F.expr(f"substring(rest, {width + 1})").alias("rest"),
             "ended",
@@ -89,11 +89,14 @@ def exact_dedup(docs: DataFrame, carry: str | None = None) -> DataFrame:
         .select("doc_id", "text_sha256", F.when(F.col("s").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), *docs.columns[2:])
         .withColumn("row", F.monotonically_increasing_id())
     )
+    kept = F.expr("doc_id <=> keep_id")
     # several rows with the id that stays: the first of them
-    last = found.where("group_size > 1 and doc_id <=> keep_id")
-    ties = last.groupBy("keep_id", "text_sha256").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("keep_id").alias("k"), F.col("text_sha256").alias("t"), "first")
-    late = last.join(ties, F.col("keep_id").eqNullSafe(F.col("k")) & (F.col("text_sha256") == F.col("t"))).where("row > first").select("row", F.lit(True).alias("late"))
-    return found.join(late, "row", "left").select("doc_id", "keep_id", "group_size", (F.expr("doc_id <=> keep_id") & F.col("late").isNull()).alias("kept"), "text_sha256", *([F.col("carried").alias(carry)] if carry else []))
+    last = found.where(F.col("group_size") > 1).where(kept)
+    ties = stage(last.groupBy("keep_id", "text_sha256").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("keep_id").alias("k"), F.col("text_sha256").alias("t"), "first"))
+    if not ties.isEmpty():
+        late = last.join(ties, F.col("keep_id").eqNullSafe(F.col("k")) & (F.col("text_sha256") == F.col("t"))).where("row > first").select("row", F.lit(True).alias("late"))
+        found, kept = found.join(late, "row", "left"), kept & F.col("late").isNull()
+    return found.select("doc_id", "keep_id", "group_size", kept.alias("kept"), "text_sha256", *([F.col("carried").alias(carry)] if carry else []))
 
 
 ORACLE = f"""

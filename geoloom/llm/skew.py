@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def spread(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, by: Column) -> tuple[DataFrame, DataFrame]:
-    """Both sides with a ``salt``: joined on ``keys`` and ``salt``, a large group's rows lie in many tasks.
+def spread(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, by: Column) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides and the columns to join them on: where there are large groups, ``keys`` and a ``salt`` that deals a large
+    group's rows to all tasks.
 
     A group is large if it holds more than half a task's even share of all rows, so at most twice as many groups as
     there are shuffle partitions are: only these groups' 64-bit hashes are broadcast. Other groups keep one salt.
@@ -18,7 +19,8 @@ def spread(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, by: C
     number = F.xxhash64(*keys)
     hot = [r[0] for r in groups.where(F.col(size) > max(1000, total // (2 * parts))).select(number.alias("h")).distinct().collect()]
     if not hot:
-        return rows.withColumn("salt", F.lit(0)), groups.withColumn("salt", F.lit(0))
+        return rows, groups, keys
     is_hot = number.isin(hot)
     salted = rows.withColumn("salt", F.when(is_hot, F.pmod(F.xxhash64(by), F.lit(parts)).cast("int")).otherwise(F.lit(0)))
-    return salted, groups.withColumn("salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))))
+    dealt = groups.withColumn("salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))))
+    return salted, dealt, [*keys, "salt"]

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from geoloom.llm.arrow import Words, gram_hashes, mix, slices
 from geoloom.llm.skew import spread
-from geoloom.session import stage
+from geoloom.session import free, stage
 
 #: Bytes of ranges that are sent to every executor at most; beyond it both sides are shuffled.
 BROADCAST_BYTES = 32 << 20
@@ -95,20 +95,23 @@ def _beside(docs: DataFrame, ranges: DataFrame, how: str) -> DataFrame:
     return docs.join(F.broadcast(ranges) if size <= BROADCAST_BYTES else ranges.hint("merge"), (docs.doc_id == ranges.id) & (docs.mark == ranges.of), how)
 
 
-def _shared(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows and those of their keys that several doc_ids have (lo: the least), salted for a join."""
+def _shared(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Rows, those of their keys that several doc_ids have (lo: the least), and what to join both on."""
     groups = stage(rows.groupBy(*keys).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("rows")).where("lo < hi").select(*keys, "lo", "rows"))
-    rows, groups = spread(rows, groups, keys, "rows", F.col("doc_id"))
-    return rows, groups.drop("rows")
+    rows, groups, on = spread(rows, groups, keys, "rows", F.col("doc_id"))
+    return rows, groups.drop("rows"), on
 
 
 def repeats(docs: DataFrame, window: int = 50, gram: int = 10) -> DataFrame:
     """id, of, runs: for each row of ``docs`` (doc_id, mark, text) the runs (first, n) of windows that also start in a row
     with a smaller doc_id. ``of`` is the row's mark, a number for its text, so rows that repeat a doc_id stay apart."""
     anchors = stage(_anchors(docs.where("doc_id is not null"), window, gram))
-    rows, shared = _shared(anchors, ["anchor"])
-    seeds = rows.join(shared, ["anchor", "salt"], "left_semi")
+    rows, shared, on = _shared(anchors, ["anchor"])
+    seeds = rows.join(shared, on, "left_semi")
     seeds = stage(seeds.groupBy(F.col("doc_id").alias("id"), F.col("mark").alias("of")).agg(F.collect_set(F.struct("first", "n")).alias("runs")))
+    free(anchors)
+    # where no doc_id repeats, windows need no marks; the ranges get them back from the seeds
+    several = not seeds.groupBy("id").count().where("count > 1").isEmpty()
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -129,9 +132,12 @@ def repeats(docs: DataFrame, window: int = 50, gram: int = 10) -> DataFrame:
                 ["doc_id", "mark", "window", "check", "at"],
             )
 
-    windows = _beside(docs, seeds, "inner").select("doc_id", "mark", "text", "runs").mapInArrow(extend, "doc_id long, mark long, window long, check int, at int")
-    rows, least = _shared(stage(windows), ["window", "check"])
-    late = rows.join(least, ["window", "check", "salt"]).where("doc_id > lo").groupBy(F.col("doc_id").alias("id"), F.col("mark").alias("of")).agg(F.collect_set("at").alias("at"))
+    own = F.col("mark") if several else F.lit(0).cast("long")
+    windows = stage(_beside(docs, seeds, "inner").select("doc_id", own.alias("mark"), "text", "runs").mapInArrow(extend, "doc_id long, mark long, window long, check int, at int"))
+    rows, least, on = _shared(windows, ["window", "check"])
+    late = rows.join(least, on).where("doc_id > lo").groupBy(F.col("doc_id").alias("id"), F.col("mark").alias("of")).agg(F.collect_set("at").alias("at"))
+    if not several:
+        late = late.select("id", "at").join(seeds.select("id", "of"), "id").select("id", "of", "at")
 
     def maximal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,7 +148,9 @@ def repeats(docs: DataFrame, window: int = 50, gram: int = 10) -> DataFrame:
                 runs.append([{"first": int(at[i]), "n": int(n)} for i, n in zip(begin, np.diff(begin, append=len(at)), strict=True)])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(runs, pa.list_(pa.struct([("first", pa.int32()), ("n", pa.int32())])))], ["id", "of", "runs"])
 
-    return stage(late.mapInArrow(maximal, "id long, of long, runs array<struct<first:int,n:int>>"))
+    out = stage(late.mapInArrow(maximal, "id long, of long, runs array<struct<first:int,n:int>>"))
+    free(windows, seeds)
+    return out
 
 
 def remove_repeats(docs: DataFrame, window: int = 50, gram: int = 10) -> DataFrame:
