@@ -10,8 +10,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Bytes of text that a task works on at once.
-SLICE_BYTES = 4 << 20
+from geoloom.llm.chunks import Cache
+
+#: Bytes of text that a task works on at once; less where every byte becomes several 64-bit numbers.
+SLICE_BYTES, WORD_BYTES = 4 << 20, 2 << 20
 
 #: Lower-cases A-Z and nothing else.
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -74,7 +76,8 @@ class Words:
     """The words of a slice of texts, as arrays: byte ranges, 64-bit hashes and the text each belongs to."""
 
     def __init__(self, batch: pa.RecordBatch, lower: bool, column: str = "text", punctuation: bool = False):
-        """``punctuation``: ASCII punctuation parts words too."""
+        """``punctuation``: ASCII punctuation parts words too. Operators on words keep no chunks."""
+        Cache.use(None)
         flat, offsets = flat_bytes(batch, column)
         self.flat = flat = _LOWER[flat] if lower else flat
         inside = ~(_BREAK if punctuation else _SPACE)[flat]

@@ -31,11 +31,16 @@ class Cache(dict):
     def __init__(self, work: Callable[[list[str]], Iterable], limit: int = 700_000):
         self.work, self.limit = work, limit
 
-    def fill(self, lists: list[list[str]]) -> None:
-        if Cache.used is not self:
+    @staticmethod
+    def use(own: "Cache | None") -> None:
+        """From now on the worker holds this cache alone, or none."""
+        if Cache.used is not own:
             if Cache.used is not None:
                 Cache.used.clear()
-            Cache.used = self
+            Cache.used = own
+
+    def fill(self, lists: list[list[str]]) -> None:
+        Cache.use(self)
         need = set().union(*lists)
         if len(self) > self.limit:
             last = {x: self[x] for x in need if x in self}

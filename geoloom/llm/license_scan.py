@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.arrow import Words, slices
+from geoloom.llm.arrow import WORD_BYTES, Words, slices
 
 #: Wording of common public license notices.
 TEMPLATES = {
@@ -186,7 +186,7 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, band:
     index = Index(TEMPLATES if templates is None else templates, band, least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=WORD_BYTES):
             rows: list[tuple] = []
             words = Words(batch, lower=True, punctuation=True)
             code = index.code(words.hashes())

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.arrow import Words, gram_hashes, mix, slices
+from geoloom.llm.arrow import WORD_BYTES, Words, gram_hashes, mix, slices
 from geoloom.llm.skew import spread
 from geoloom.session import free, stage
 
@@ -64,7 +64,7 @@ def _anchors(docs: DataFrame, window: int, gram: int) -> DataFrame:
     span = window - gram + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=WORD_BYTES):
             words = Words(batch, lower=False)
             grams = gram_hashes(words.hashes(), gram)
             rows, hashes, firsts, counts = [], [], [], []
@@ -114,7 +114,7 @@ def repeats(docs: DataFrame, window: int = 50, gram: int = 10) -> DataFrame:
     several = not seeds.groupBy("id").count().where("count > 1").isEmpty()
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, limit=WORD_BYTES):
             words = Words(batch, lower=False)
             h = words.hashes()
             whole, check = gram_hashes(h, window), gram_hashes(mix(h ^ _OTHER), window)

@@ -33,7 +33,7 @@ _START = "^"
 #: Tokens of a document that its score looks at: the worst ones.
 WORST = 3
 #: Units whose kernels are worked out together, and rows in one array step (they fit a core's cache).
-_TOGETHER, _ROWS = 1 << 16, 4096
+_TOGETHER, _ROWS = 1 << 15, 4096
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
@@ -237,19 +237,25 @@ def fit(docs: DataFrame, labels: DataFrame, mod: int = 3, rest: int = 1, train_r
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Units of labelled sentences, each with a number for the words on either side of it."""
         for batch in slices(batches):
-            found = set()
-            for text, toxic in zip(texts(batch), batch.column(2).to_pylist(), strict=True):
+            found, known = set(), {}
+
+            def look(token: str, known: dict = known) -> tuple[int, list[str]]:
+                if token not in known:
+                    known[token] = zlib.crc32(token.encode()), units_of(token)
+                return known[token]
+
+            for text, toxic in zip(texts(batch), (x > 0 for x in batch.column(2).to_pylist()), strict=True):
                 for sentence in _SENTENCE.split(text):
                     tokens = sentence.split()
-                    sums = [0, *(zlib.crc32(t.encode()) for t in tokens), 0]
-                    beside = [(t, sums[i] << 31 ^ sums[i + 2]) for i, t in enumerate(tokens)]
-                    beside += [(t, zlib.crc32(sentence.encode())) for t in spelled(tokens)]
-                    found.update((u, x, int(toxic > 0)) for t, x in beside for u in units_of(t))
+                    seen = [look(t) for t in tokens]
+                    sums = [0, *(x for x, _ in seen), 0]
+                    found.update([(u, sums[i] << 31 ^ sums[i + 2], toxic) for i, (_, units) in enumerate(seen) for u in units])
+                    found.update([(u, zlib.crc32(sentence.encode()), toxic) for t in spelled(tokens) for u in look(t)[1]])
             cols = list(zip(*found, strict=True)) or [()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int32()), strict=True)], ["unit", "beside", "toxic"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.bool_()), strict=True)], ["unit", "beside", "toxic"])
 
     # a unit counts once between the same two words, so copies of a sentence add little; what a clean text holds is clean
-    contexts = sample.mapInArrow(read, "unit string, beside long, toxic int").where(F.length("unit") >= order).groupBy("unit", "beside").agg(F.min("toxic").alias("toxic"))
+    contexts = sample.mapInArrow(read, "unit string, beside long, toxic boolean").where(F.length("unit") >= order).groupBy("unit", "beside").agg(F.min(F.col("toxic").cast("int")).alias("toxic"))
     units = stage(contexts.groupBy("unit").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean")))
     bad, good = (x or 0 for x in units.agg(F.sum("toxic"), F.sum("clean")).first())
     if not bad or not good:
@@ -312,7 +318,7 @@ def _cache(key: bytes, model: Model) -> Cache:
     """The margins of a model's tokens; one for all tasks of a worker."""
     if key not in _caches:
         _caches.clear()
-        _caches[key] = Cache(_token_margins(model), 900_000)
+        _caches[key] = Cache(_token_margins(model), 400_000)
     return _caches[key]
 
 
