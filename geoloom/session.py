@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 _staged: list[tuple[SparkSession, str]] = []
+_tables: list[tuple[SparkSession, str]] = []
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -58,6 +59,20 @@ def stage(df: DataFrame, *partition_by: str) -> DataFrame:
     return out
 
 
+def stage_bucketed(df: DataFrame, key: str) -> DataFrame:
+    """:func:`stage` as a table bucketed by ``key``: what is joined to it by the key need not move it.
+
+    It has as many buckets as shuffles have partitions. The table goes when the application ends.
+    """
+    spark = df.sparkSession
+    name = f"stage_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{name}"
+    df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).option("path", path).saveAsTable(name)
+    _staged.append((spark, path))
+    _tables.append((spark, name))
+    return spark.table(name)
+
+
 def free(*staged: DataFrame) -> None:
     """Remove the files of staged tables that nothing reads any more: all that came of them is itself staged."""
     for df in staged:
@@ -70,10 +85,15 @@ def _delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def _drop(spark: SparkSession, name: str) -> None:
+    spark.sql(f"drop table if exists {name}")
+
+
 @atexit.register
 def _clean() -> None:
-    for spark, path in _staged:
+    for drop, held in ((_drop, _tables), (_delete, _staged)):
         try:
-            _delete(spark, path)
+            for spark, what in held:
+                drop(spark, what)
         except Exception:  # the JVM may be gone already
             return
