@@ -1,18 +1,20 @@
 """Language-model scores by a probabilistic suffix tree over tokens.
 
-Symbols are tokens; a context is up to ``depth`` tokens before one, in its document. A context is a candidate if it
-holds at least the share ``least`` of all training tokens. It stays if its next-symbol distribution diverges from that
-of its longest proper suffix (a G test against ``divergence`` for each symbol seen often in it); suffixes of contexts
-that stay stay too. Distributions are smoothed by absolute discounting towards the parent's, down to single-token
-frequencies, whose mass for unknown tokens is the share of tokens seen once. Like the base score, the model's events
-are the known tokens and one more for any unknown token. A token is scored in the longest suffix state of its past.
-
-All counts cover all training documents. Documents are read once into blocks of about ``block_bytes`` of text, each
-with its own small vocabulary. Token totals come from one shuffle of (token, block) and go back to the blocks in a
-second; a token has one row in a block at most, so none is hot, and what is shuffled grows with the input. Frequent
-token runs are found by partition: a run with the share ``least`` of all tokens has that share in some block, so blocks
-name candidates and then count all candidates exactly. At most (depth + 1) / least runs can be that frequent, whatever
-the corpus: only these, 48 bytes each, go through the driver and out as a broadcast.
+Symbols are tokens; a context is one or two tokens before one, in its document. Every run of two or three tokens that
+occurs twice in the training documents is learned, whatever the size of the corpus, so the tree grows with it. A context
+stays if its next-symbol distribution diverges from that of its longest proper suffix: a lower bound of the G statistic
+over its runs must be over ``divergence`` for each of them. Distributions are smoothed by absolute discounting towards
+the next shorter context that stayed, down to single-token frequencies, whose mass for unknown tokens is the share of
+tokens seen once. Like the base score, the model's events are the known tokens and one more for any unknown token. A
+token is scored in the longest suffix state of its past.
+
+Documents are read once into blocks of about ``block_bytes`` of text, each with its own vocabulary, in a table bucketed
+by block. The tree lies nowhere whole. Blocks ask and get answers by shuffles: a question is a packed row of sorted key
+hashes with the block's counts, one for each range of hashes; whoever holds a range sums all blocks' counts, and the
+answers go back in the same order. Three questions are asked: the counts of tokens and pairs; the counts of triples whose
+pairs both occur twice; and, of every context, the sums over its runs (one block speaks for each run) that the divergence
+test and the discounted mass need. A key has one entry in a block at most, so no key is hot. Only five totals reach the
+driver.
 """
 
 from __future__ import annotations
@@ -22,7 +24,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -30,20 +31,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.llm.arrow import LOWER, held, mix, slices
-from geoloom.session import stage
+from geoloom.session import stage, stage_bucketed
 
 #: The end token; no word holds a line feed.
 END = b"\n"
+#: What is asked: totals of tokens, pairs and triples; sums of contexts of one and of two tokens.
+TOKEN, PAIR, TRIPLE, ONE, TWO = range(5)
 _NEXT = np.uint64(0xA24BAED4963EE407)
-_BLOCK = "block long, docs array<long>, held array<boolean>, lens binary, codes binary, tokens long, hashes binary, code int, token binary, train long, level int, run long, ctx long, parent long, n long, floor long"
+#: Gains are summed as whole numbers of this part, so that sums do not depend on their order.
+_UNIT = 1 / 64
+_BLOCK = "block long, docs array<long>, held array<boolean>, lens binary, codes binary, tokens long, train long, high binary, low binary"
+_ASK = "kind int, bucket long, block long, keys binary, low binary, nums binary"
+_ANSWER = "kind int, bucket long, block long, nums binary, known long, once long"
+_SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _find(keys: np.ndarray, want: np.ndarray) -> np.ndarray:
-    """The place of each wanted number in sorted keys, or -1."""
-    if not len(keys):
-        return np.full(len(want), -1)
-    at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
-    return np.where(keys[at] == want, at, -1)
+def _pack(x: np.ndarray) -> bytes:
+    """64-bit numbers, compressed byte plane by byte plane."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T).tobytes())
+
+
+def _unpack(data: bytes, kind: type = np.int64) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Mostly rising hashes, by their differences."""
+    return _pack(np.diff(keys, prepend=np.uint64(0)))
+
+
+def _unpack_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(data, np.uint64), dtype=np.uint64)
 
 
 def _longer(run: np.ndarray, token: np.ndarray) -> np.ndarray:
@@ -51,68 +70,28 @@ def _longer(run: np.ndarray, token: np.ndarray) -> np.ndarray:
     return mix(run * _NEXT + token)
 
 
-def _frequent_runs(hashes: np.ndarray, rows: np.ndarray, floor: int, depth: int) -> list[tuple[int, np.ndarray, ...]]:
-    """(level, run, ctx, parent, n) of the runs of 2 to depth + 1 tokens inside a row that occur ``floor`` times."""
-    found = []
-    kinds, inverse, n = np.unique(hashes, return_inverse=True, return_counts=True)
-    often = (n >= floor)[inverse]
-    run, at = hashes, np.arange(len(hashes))  # run[i]: the run that begins at at[i]
-    for level in range(1, depth + 1):
-        # both the run without its last token and the one without its first must be frequent
-        begins = np.zeros(len(hashes), bool)
-        begins[at[often]] = True
-        code = np.zeros(len(hashes), np.uint64)
-        code[at] = run
-        go = np.flatnonzero(begins[:-1] & begins[1:])
-        go = go[go + level < len(hashes)]
-        go = go[rows[go] == rows[go + level]]
-        if not len(go):
-            break
-        now = _longer(code[go], hashes[go + level])
-        kinds, first, inverse, n = np.unique(now, return_index=True, return_inverse=True, return_counts=True)
-        keep = n >= floor
-        where = go[first[keep]]
-        found.append((level, kinds[keep], code[where], code[where + 1], n[keep]))
-        run, at, often = now, go, keep[inverse]
-    return found
-
-
-def _blocks(docs: DataFrame, block_bytes: int, least: float, depth: int) -> DataFrame:
-    """Three kinds of rows. Blocks: docs, held, lens and codes of its documents, hashes of its vocabulary. Vocabulary:
-    code, token, train (its count in the block's training documents). Runs: level, run, ctx, parent, n, floor."""
+def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
+    """Blocks: docs, held, lens and codes of the documents, numbers of all and of training tokens, 80-bit hashes of the vocabulary."""
+    types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
     names = [x.split()[0] for x in _BLOCK.split(", ")]
-    kinds = dict(x.split() for x in _BLOCK.split(", "))
-    types = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<boolean>": pa.list_(pa.bool_())}
-
-    def rows(size: int, **cols) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(cols[c], types[kinds[c]]) if c in cols else pa.nulls(size, types[kinds[c]]) for c in names], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, number, size = TaskContext.get().partitionId(), 0, 0
         vocabulary: dict[bytes, int] = {}
         ids, outs, coded = [], [], []
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            block, n = part << 32 | number, len(vocabulary)
-            # Spark's xxhash64 of a binary value is XXH64 with seed 42
-            hashes = np.array([xxhash.xxh64_intdigest(t, seed=42) for t in vocabulary], np.uint64)
+        def flush() -> pa.RecordBatch:
+            raw = np.frombuffer(b"".join(xxhash.xxh3_128_digest(t) for t in vocabulary), ">u8").reshape(-1, 2)
+            high, low = raw[:, 0].astype(np.uint64), (raw[:, 1] & 0xFFFF).astype(np.uint16)
             lens = np.array([len(c) for c in coded], np.int64)
             flat = np.concatenate(coded)
-            # frequent tokens get the small numbers, so that codes pack well
-            order = np.argsort(-np.bincount(flat, minlength=n), kind="stable")
-            rank = np.empty(n, np.int32)
-            rank[order] = np.arange(n)
-            flat, hashes = rank[flat], hashes[order]
-            tokens = list(vocabulary)
-            training = ~np.repeat(np.array(outs, bool), lens)
-            train = flat[training]
-            yield rows(1, block=[block], docs=[ids], held=[outs], lens=[lens.tobytes()], codes=[_packed(flat)], tokens=[int(len(train))], hashes=[hashes.tobytes()])
-            yield rows(n, block=np.full(n, block), code=np.arange(n), token=[tokens[i] for i in order], train=np.bincount(train, minlength=n))
-            floor = max(1, math.ceil(least * len(train)))
-            for level, r, c, p, k in _frequent_runs(hashes[train], np.repeat(np.arange(len(lens)), lens)[training], floor, depth):
-                m = len(r)
-                if m:
-                    yield rows(m, block=np.full(m, block), level=np.full(m, level), run=r.view(np.int64), ctx=c.view(np.int64), parent=p.view(np.int64), n=k, floor=np.full(m, floor))
+            # frequent tokens get small numbers, so that codes pack well; those about as frequent go by hash
+            often = np.frexp(np.bincount(flat, minlength=len(high)))[1]
+            order = np.lexsort([low, high, -often])
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
+            cols = [part << 32 | number, ids, outs, lens.tobytes(), _pack(rank[flat]), len(flat), int(lens[~np.array(outs, bool)].sum()), _pack_keys(high[order]), low[order].tobytes()]
+            return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(cols, types, strict=True)], names)
 
         for batch in slices(batches):
             put = vocabulary.setdefault
@@ -124,205 +103,225 @@ def _blocks(docs: DataFrame, block_bytes: int, least: float, depth: int) -> Data
                 outs.append(out)
                 size += len(text or "")
             if size >= block_bytes:
-                yield from flush()
+                yield flush()
                 vocabulary, ids, outs, coded, number, size = {}, [], [], [], number + 1, 0
         if ids:
-            yield from flush()
+            yield flush()
 
     return docs.mapInArrow(run, _BLOCK)
 
 
-def _packed(codes: np.ndarray) -> bytes:
-    """Numbers as two compressed planes of 16 bits."""
-    pack = zstandard.ZstdCompressor(level=1).compress
-    low = pack((codes & 0xFFFF).astype(np.uint16).tobytes())
-    return len(low).to_bytes(4, "little") + low + pack((codes >> 16).astype(np.uint16).tobytes())
-
-
-def _unpacked(data: bytes) -> np.ndarray:
-    n = int.from_bytes(data[:4], "little") + 4
-    low, high = (np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint16).astype(np.int32) for x in (data[4:n], data[n:]))
-    return low | high << 16
-
-
-def _unpack(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A block's token codes, the document (place in the block) of each, and the documents' lengths."""
-    lens = np.frombuffer(row["lens"], np.int64)
-    return _unpacked(row["codes"]), np.repeat(np.arange(len(lens)), lens), lens
-
-
-class Tree:
-    """Retained contexts: for each level the context hashes with their totals and leftover mass, and the runs (context
-    and next token) with their discounted shares."""
-
-    def __init__(self, levels: list[dict[str, np.ndarray]]):
-        self.levels = levels
-
-    def score(self, p: np.ndarray, hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """log10 probability of every token; p: the root's probabilities."""
-        live = np.arange(len(hashes))
-        state = hashes  # state[i]: the hash of the level's tokens that begin at i
-        for level, tree in enumerate(self.levels, 1):
-            live = live[live >= level]
-            live = live[rows[live] == rows[live - level]]
-            at = _find(tree["ctx"], state[live - level])
-            live, at = live[at >= 0], at[at >= 0]
-            if not len(live):
-                break
-            longer = np.zeros(len(hashes), np.uint64)
-            longer[:-level] = _longer(state[:-level], hashes[level:])
-            entry = _find(tree["run"], longer[live - level])
-            p[live] = np.where(entry >= 0, tree["share"][np.maximum(entry, 0)], 0.0) + tree["left"][at] * p[live]
-            state = longer
-        return np.log10(p)
-
-
-def _prune(tokens: tuple[np.ndarray, np.ndarray], runs: dict[int, tuple[np.ndarray, ...]], total: int, depth: int, divergence: float, discount: float) -> Tree:
-    """The divergence tests. tokens: sorted hashes and counts of frequent tokens; runs: level -> run, ctx, parent, n."""
-    counts = [tokens] + [(runs[k][0], runs[k][3]) for k in range(1, depth + 1) if k in runs]
-    tests = []
-    for level in range(1, len(counts)):
-        run, ctx, parent, n = runs[level]
-        contexts, of = np.unique(ctx, return_inverse=True)
-        at = _find(counts[level - 1][0], contexts)
-        whole = np.maximum(counts[level - 1][1][at], np.bincount(of, weights=n))
-        up = counts[level - 1][1][_find(counts[level - 1][0], parent)]
-        if level == 1:
-            base, parents = np.full(len(run), float(total)), None
+class Block:
+    """A block's tokens and runs, and the answers it got. Keys are hashes of ``width`` bits."""
+
+    def __init__(self, row: dict, width: int, answers: pa.Table | None = None):
+        self.number, self.docs, self.held, self.shift = row["block"], row["docs"], row["held"], np.uint64(64 - width)
+        self.lens = np.frombuffer(row["lens"], np.int64)
+        self.codes = _unpack(row["codes"])
+        self.rows = np.repeat(np.arange(len(self.lens)), self.lens)
+        self.train = ~np.repeat(np.array(self.held, bool), self.lens)
+        self.high, self.low = _unpack_keys(row["high"]), np.frombuffer(row["low"], np.uint16)
+        #: the vocabulary in the order of its hashes
+        self.order = np.lexsort([self.low, self.high])
+        # pairs: where one begins, its number among the distinct ones
+        self.at = np.flatnonzero(self.rows[:-1] == self.rows[1:])
+        self.pair = _longer(self.high[self.codes[self.at]], self.high[self.codes[self.at + 1]])
+        self.pairs, self.first, self.of = np.unique(self.pair >> self.shift, return_index=True, return_inverse=True)
+        if answers is None:
+            return
+        got: dict[int, list[np.ndarray]] = {}
+        order = answers.sort_by([("kind", "ascending"), ("bucket", "ascending")])
+        for kind, nums in zip(order.column("kind").to_pylist(), order.column("nums").to_pylist(), strict=True):
+            got.setdefault(kind, []).append(_unpack(nums).reshape(2 if kind in (ONE, TWO) else 1, -1))
+        self.got = {k: np.concatenate(v, 1) for k, v in got.items()}
+        #: totals of the vocabulary and of the pairs; which pairs this block speaks for
+        self.c = np.empty(len(self.high), np.int64)
+        self.c[self.order] = self._answer(TOKEN) >> 1
+        self.n, self.speaks = self._answer(PAIR) >> 1, self._answer(PAIR) & 1 > 0
+        # triples whose pairs both occur twice
+        pair_at = np.full(len(self.codes) + 1, -1)
+        pair_at[self.at] = np.where(self.n[self.of] > 1, self.of, -1)
+        self.at3 = np.flatnonzero((pair_at[:-1] >= 0) & (pair_at[1:] >= 0))
+        self.before, self.after = pair_at[self.at3], pair_at[self.at3 + 1]
+        whole = np.zeros(len(self.codes), np.uint64)
+        whole[self.at] = self.pair
+        self.triples, self.first3, self.of3 = np.unique(_longer(whole[self.at3], self.high[self.codes[self.at3 + 2]]) >> self.shift, return_index=True, return_inverse=True)
+        #: where a frequent pair is the context of a token
+        follows = np.zeros(len(self.codes), bool)
+        follows[self.at] = True
+        self.at2 = self.at[(pair_at[self.at] >= 0) & follows[np.minimum(self.at + 1, len(self.codes) - 1)]]
+        self.two = pair_at[self.at2]
+
+    def _answer(self, kind: int, part: int = 0) -> np.ndarray:
+        return self.got[kind][part] if kind in self.got else np.empty(0, np.int64)
+
+    def contexts(self) -> tuple[np.ndarray, ...]:
+        """Contexts of one token that occurs twice (codes, keys, the key's number for each) and of two (pair numbers)."""
+        codes = np.unique(self.codes[self.at])
+        codes = codes[self.c[codes] > 1]
+        keys, of = np.unique(mix(self.high[codes]) >> self.shift, return_inverse=True)
+        return codes, keys, of, np.unique(self.two)
+
+    def ask_counts(self, buckets: int) -> Iterator[pa.RecordBatch]:
+        n = np.bincount(self.codes[self.train], minlength=len(self.high))[self.order]
+        yield from self._ask(TOKEN, self.high[self.order], buckets, n[None], 64, self.low[self.order])
+        yield from self._ask(PAIR, self.pairs, buckets, np.bincount(self.of, self.train[self.at], len(self.pairs)).astype(np.int64)[None])
+
+    def ask_triples(self, buckets: int) -> Iterator[pa.RecordBatch]:
+        yield from self._ask(TRIPLE, self.triples, buckets, np.bincount(self.of3, self.train[self.at3], len(self.triples)).astype(np.int64)[None])
+
+    def ask_contexts(self, buckets: int, total: int) -> Iterator[pa.RecordBatch]:
+        """For every context its total, and the sums of gains, kinds and counts over the runs that this block speaks for."""
+        codes, keys, of, two = self.contexts()
+        runs = np.flatnonzero(self.speaks & (self.n > 1))
+        a, x, n = self.codes[self.at[self.first[runs]]], self.codes[self.at[self.first[runs]] + 1], self.n[runs]
+        to = of[np.searchsorted(codes, a)] if len(runs) else a
+        yield from self._ask(ONE, keys, buckets, self._sums(to, n, n / self.c[a] * (total / self.c[x]), np.bincount(of, self.c[codes], len(keys))))
+        v = self._answer(TRIPLE)
+        runs = np.flatnonzero((v & 1 > 0) & (v > 3))
+        at, n = self.first3[runs], v[runs] >> 1
+        up = self.n[self.after[at]] / self.c[self.codes[self.at3[at] + 1]]
+        yield from self._ask(TWO, self.pairs[two], buckets, self._sums(np.searchsorted(two, self.before[at]), n, n / self.n[self.before[at]] / up, self.n[two]))
+
+    @staticmethod
+    def _sums(to: np.ndarray, n: np.ndarray, ratio: np.ndarray, whole: np.ndarray) -> np.ndarray:
+        gain = np.rint(2 * n * np.log(ratio) / _UNIT)
+        return np.stack([np.bincount(to, w, len(whole)).astype(np.int64) for w in (gain, np.ones(len(n)), n)] + [whole.astype(np.int64)])
+
+    def _ask(self, kind: int, keys: np.ndarray, buckets: int, nums: np.ndarray, width: int = 0, low: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+        """One row for each range of (sorted) keys."""
+        top = (keys >> np.uint64(32) if width else keys << self.shift >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+        starts = np.flatnonzero(np.diff(top, prepend=np.uint64(2**63)))
+        for start, end in zip(starts, [*starts[1:], len(keys)], strict=True):
+            row = [kind, int(top[start]), self.number, _pack_keys(keys[start:end]), None if low is None else low[start:end].tobytes(), _pack(np.ascontiguousarray(nums[:, start:end]).ravel())]
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], [c.split()[0] for c in _ASK.split(", ")])
+
+    def scores(self, total: int, known: int, once: int, discount: float) -> pa.Table:
+        unknown, c = max(once, 1) / (total + 1), self.c
+        base = np.log10((c + 1) / (total + 1 * (known + 1)))
+        p = np.where(c > 0, (1 - unknown) * c / max(total, 1), unknown)[self.codes]
+        if total:
+            codes, _, of, two = self.contexts()
+            left, keep = np.ones(len(c)), np.zeros(len(c), bool)
+            keep[codes], left[codes] = self._left(ONE, of, c[codes], discount)
+            a = self.codes[self.at]
+            at = keep[a]
+            n = self.n[self.of[at]]
+            a, where = a[at], self.at[at] + 1
+            p[where] = np.where(n > 1, n - discount, 0) / c[a] + left[a] * p[where]
+            keep, left = self._left(TWO, np.arange(len(two)), self.n[two], discount)
+            share = np.zeros(len(self.codes))
+            n = (self._answer(TRIPLE) >> 1)[self.of3]
+            share[self.at3] = np.where(n > 1, n - discount, 0) / self.n[self.before]
+            to = np.searchsorted(two, self.two)
+            at = keep[to]
+            where = self.at2[at] + 2
+            p[where] = share[where - 2] + left[to[at]] * p[where]
+            score = np.log10(p)
         else:
-            before = runs[level - 1]
-            parents = before[1][_find(before[0], parent)]  # the parent's own context
-            base = counts[level - 2][1][_find(counts[level - 2][0], parents)].astype(float)
-        gain = 2 * n * np.log(n / whole[of] * base / up)
-        g, kinds = np.bincount(of, weights=gain), np.bincount(of)
-        # what is not in a frequent run, as one symbol
-        seen, far = np.bincount(of, weights=n), np.bincount(of, weights=up / base)
-        rest = whole - seen
-        g += np.where(rest > 0, 2 * rest * np.log(np.maximum(rest, 1) / whole / np.maximum(1 - far, 1e-12)), 0)
-        keep = g > divergence * kinds
-        up_ctx = None
-        if parents is not None:
-            up_ctx = np.zeros(len(contexts), np.uint64)
-            up_ctx[of] = parents
-        tests.append([contexts, of, whole, keep, up_ctx])
-    for level in range(len(tests) - 1, 0, -1):  # suffixes of what stays stay
-        contexts, _, _, keep, up_ctx = tests[level]
-        at = _find(tests[level - 1][0], up_ctx[keep])
-        tests[level - 1][3][at[at >= 0]] = True
-    levels = []
-    for level, (contexts, of, whole, keep, _) in enumerate(tests, 1):
-        run, _, _, n = runs[level]
-        held_mass = np.bincount(of, weights=n - discount)
-        stay = keep[of]
-        levels.append({"ctx": contexts[keep], "left": ((whole - held_mass) / whole)[keep], "run": run[stay], "share": ((n - discount) / whole[of])[stay]})
-    return Tree(levels)
-
-
-def lm_score(docs: DataFrame, mod: int = 7, rest: int = 2, depth: int = 3, least: float = 4e-6, divergence: float = 8.0, discount: float = 0.75, block_bytes: int = 16 << 20) -> DataFrame:
+            score = np.zeros(len(p))
+        cut, m = np.cumsum(self.lens)[:-1], len(self.lens)
+        return pa.table(
+            {
+                "doc_id": pa.array(self.docs, pa.int64()),
+                "held_out": pa.array(self.held, pa.bool_()),
+                "n_tokens": pa.array(self.lens),
+                "n_known": pa.array(np.bincount(self.rows, weights=(c > 0)[self.codes], minlength=m).astype(np.int64)),
+                "train_tokens": pa.array(np.full(m, total)),
+                "base_score": pa.array([math.fsum(x) for x in np.split(base[self.codes], cut)], pa.float64()),
+                "score": pa.array([math.fsum(x) for x in np.split(score, cut)], pa.float64()),
+            }
+        )
+
+    def _left(self, kind: int, of: np.ndarray, whole: np.ndarray, discount: float) -> tuple[np.ndarray, np.ndarray]:
+        """Which contexts stay, and the mass each leaves to its suffix."""
+        kinds, seen = self._answer(kind)[of], self._answer(kind, 1)[of]
+        return kinds > 0, (discount * kinds + whole - seen) / np.maximum(whole, 1)
+
+
+def _rows(kind: int, bucket: int, blocks: list[int], nums: list[np.ndarray], known: int = 0, once: int = 0) -> pa.Table:
+    n = len(blocks)
+    cols = [[kind] * n, [bucket] * n, blocks, [_pack(np.ascontiguousarray(x).ravel()) for x in nums], [known] + [0] * (n - 1), [once] + [0] * (n - 1)]
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64()), strict=True)], names=[c.split()[0] for c in _ANSWER.split(", ")])
+
+
+def _read(asked: pa.Table) -> tuple[int, int, list[int], np.ndarray, np.ndarray, np.ndarray]:
+    """A range's questions: kind, bucket, blocks, where each block's keys end, the number of each key, all numbers."""
+    asked = asked.sort_by("block").to_pydict()
+    keys = [_unpack_keys(k) for k in asked["keys"]]
+    flat = np.concatenate(keys)
+    parts = [flat]
+    if asked["low"][0] is not None:
+        parts.insert(0, np.frombuffer(b"".join(asked["low"]), np.uint16))
+    order = np.lexsort(parts)
+    new = np.ones(len(flat), bool)
+    new[1:] = np.any([p[order][1:] != p[order][:-1] for p in parts], axis=0)
+    of = np.empty(len(flat), np.int64)
+    of[order] = np.cumsum(new) - 1
+    nums = np.concatenate([_unpack(n).reshape(-1, len(k)) for n, k in zip(asked["nums"], keys, strict=True)], 1)
+    return asked["kind"][0], asked["bucket"][0], asked["block"], np.cumsum([len(k) for k in keys])[:-1], of, nums
+
+
+def _totals(asked: pa.Table) -> pa.Table:
+    """Twice the total of each key, and one more where the block is the first to name it; 0 for a run that occurs once."""
+    kind, bucket, blocks, ends, of, nums = _read(asked)
+    n = np.bincount(of, nums[0]).astype(np.int64)
+    first = np.zeros(len(of), np.int64)
+    first[np.unique(of, return_index=True)[1]] = 1
+    v = np.where(n > (0 if kind == TOKEN else 1), 2 * n, 0)[of]
+    counted = (int((n > 0).sum()), int((n == 1).sum())) if kind == TOKEN else (0, 0)
+    return _rows(kind, bucket, blocks, np.split(v + first * (v > 0), ends), *counted)
+
+
+def _tests(asked: pa.Table, divergence: float) -> pa.Table:
+    """The number of kinds and the sum of the runs of each context that stays; 0 kinds for the others."""
+    kind, bucket, blocks, ends, of, nums = _read(asked)
+    gain, kinds, seen = (np.bincount(of, x).astype(np.int64) for x in nums[:3])
+    whole = np.zeros(len(kinds), np.int64)
+    whole[of] = nums[3]
+    rest = whole - seen  # runs that occur once, as one symbol
+    stay = gain * _UNIT + 2 * rest * np.log(np.maximum(rest, 1) / whole) > divergence * kinds
+    return _rows(kind, bucket, blocks, np.split(np.stack([np.where(stay, kinds, 0), seen])[:, of], ends, axis=1))
+
+
+def lm_score(docs: DataFrame, mod: int = 7, rest: int = 2, divergence: float = 8.0, discount: float = 0.75, block_bytes: int = 8 << 20, bucket_tokens: int = 1 << 20, spare_bits: int = 20) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Tokens are words in lower case (A-Z) and one end. Trained on documents whose crc32(doc_id as text) mod ``mod`` is
     not ``rest``. Null and empty texts are the end token alone; a null id counts as the text ''; rows that repeat a
     doc_id are each learned and scored; without training documents nothing is known and every score is 0. An empty
-    table gives no rows. Other columns are not read.
+    table gives no rows. Other columns are not read. Hashes of runs have ``spare_bits`` more bits than the number of
+    tokens (64 at most), so a run is taken for another once in 2**spare_bits at most; tokens have 80-bit hashes.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), held(F.col("doc_id"), mod, rest).alias("held_out"))
-    made = stage(_blocks(docs, block_bytes, least, depth))
-    blocks = made.where("codes is not null").select("block", "docs", "held", "lens", "codes", "hashes")
-
-    # token totals, and the number of each token's rows so that one of them can speak for it
-    uses = made.where("token is not null").select("block", "code", "token", "train")
-    totals = stage(
-        uses.selectExpr(
-            "block",
-            "code",
-            "sum(train) over (partition by token order by block rows between unbounded preceding and unbounded following) as c",
-            "row_number() over (partition by token order by block) = 1 as speaks",
-            "token",
-        ).selectExpr("block", "code", "c", "speaks", "case when speaks and c > 1 then xxhash64(token) end as hash")
-    )
-    one = totals.where("speaks and c > 0").agg(F.count(F.lit(1)), F.sum("c"), F.sum(F.when(F.col("c") == 1, 1))).first()
-    kinds, total, once = int(one[0]), int(one[1] or 0), int(one[2] or 0)
-    floor = max(2, math.ceil(least * total))
-
-    # candidates: what the blocks named, unless even its most favourable total is under the floor
-    named = made.where("run is not null").select("level", "run", "ctx", "parent", "n", "floor")
-    most = made.where("codes is not null").agg(F.sum(F.greatest(F.ceil(F.col("tokens") * least), F.lit(1)) - 1).cast("long")).first()[0] or 0
-    candidates = named.groupBy("level", "run").agg(F.first("ctx").alias("ctx"), F.first("parent").alias("parent"), F.sum("n").alias("n"), F.sum(F.col("floor") - 1).alias("f"))
-    candidates = stage(candidates.where(F.col("n") + most - F.col("f") >= floor).select("level", "run", "ctx", "parent"))
-    table = candidates.toArrow()
-    wanted = {}
-    for level in range(1, depth + 1):
-        part = table.filter(pc.equal(table.column("level"), level))
-        run, ctx, parent = (part.column(c).to_numpy().view(np.uint64) for c in ("run", "ctx", "parent"))
-        order = np.argsort(run)
-        wanted[level] = run[order], ctx[order], parent[order]
-    sent = spark.sparkContext.broadcast({k: v[0] for k, v in wanted.items()})
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Exact counts of the candidates in each block."""
+    blocks = stage_bucketed(_blocks(docs, block_bytes), "block")
+    tokens, total = (int(x or 0) for x in blocks.agg(F.sum("tokens"), F.sum("train")).first())
+    width, buckets = min(64, tokens.bit_length() + spare_bits), min(1 << 31, -(-tokens // bucket_tokens))
+
+    def ask_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                codes, rows, lens = _unpack(row)
-                hashes = np.frombuffer(row["hashes"], np.uint64)
-                training = ~np.repeat(np.array(row["held"], bool), lens)
-                codes, rows = codes[training], rows[training]
-                flat = hashes[codes]
-                out, state = [], flat
-                for level, keys in sent.value.items():
-                    if len(flat) <= level or not len(keys):
-                        break
-                    state = _longer(state[:-1], flat[level:])
-                    at = _find(keys, state)
-                    at = at[(at >= 0) & (rows[:-level] == rows[level:])]
-                    n = np.bincount(at, minlength=len(keys))
-                    hit = np.flatnonzero(n)
-                    out.append((level, keys[hit], n[hit]))
-                for level, keys, n in out:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), level), pa.int32()), pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], ["level", "run", "n"])
-
-    exact = blocks.select("held", "lens", "codes", "hashes").mapInArrow(count, "level int, run long, n long").groupBy("level", "run").agg(F.sum("n").alias("n")).where(F.col("n") >= floor)
-    frequent = totals.where(F.col("hash").isNotNull() & (F.col("c") >= floor)).select(F.lit(0).alias("level"), F.col("hash").alias("run"), F.col("c").alias("n"))
-    table = exact.union(frequent).toArrow()
-    got = {}
-    for level in range(depth + 1):
-        part = table.filter(pc.equal(table.column("level"), level))
-        run, n = part.column("run").to_numpy().view(np.uint64), part.column("n").to_numpy()
-        order = np.argsort(run)
-        got[level] = run[order], n[order]
-    runs = {}
-    for level in range(1, depth + 1):
-        run, n = got[level]
-        if not len(run):
-            break
-        at = _find(wanted[level][0], run)
-        runs[level] = run, wanted[level][1][at], wanted[level][2][at], n
-    tree = spark.sparkContext.broadcast(_prune(got[0], runs, total, depth, divergence, discount))
-    unknown = max(once, 1) / (total + 1)
-
-    def add(left: pa.Table, right: pa.Table) -> pa.Table:
-        """A block's documents with the totals of its tokens."""
-        row = left.to_pylist()[0]
-        codes, rows, lens = _unpack(row)
-        c = np.zeros(right.num_rows, np.int64)
-        c[right.column("code").to_numpy()] = right.column("c").to_numpy()
-        base = np.log10((c + 1) / (total + 1 * (kinds + 1)))
-        root = np.where(c > 0, (1 - unknown) * c / max(total, 1), unknown)
-        score = tree.value.score(root[codes], np.frombuffer(row["hashes"], np.uint64)[codes], rows) if total else np.zeros(len(codes))
-        cut = np.cumsum(lens)[:-1]
-        n = len(lens)
-        return pa.table(
-            {
-                "doc_id": pa.array(row["docs"], pa.int64()),
-                "held_out": pa.array(row["held"], pa.bool_()),
-                "n_tokens": pa.array(lens),
-                "n_known": pa.array(np.bincount(rows, weights=(c > 0)[codes], minlength=n).astype(np.int64)),
-                "train_tokens": pa.array(np.full(n, total)),
-                "base_score": pa.array([math.fsum(x) for x in np.split(base[codes], cut)], pa.float64()),
-                "score": pa.array([math.fsum(x) for x in np.split(score, cut)], pa.float64()),
-            }
-        )
+            for i in range(batch.num_rows):
+                yield from Block(batch.slice(i, 1).to_pylist()[0], width).ask_counts(buckets)
+
+    def asks(what):
+        def run(left: pa.Table, right: pa.Table) -> pa.Table:
+            return pa.Table.from_batches(what(Block(left.to_pylist()[0], width, right)), schema) if left.num_rows else schema.empty_table()
+
+        schema = pa.schema([("kind", pa.int32()), ("bucket", pa.int64()), ("block", pa.int64()), ("keys", pa.binary()), ("low", pa.binary()), ("nums", pa.binary())])
+        return run
+
+    def met(answers: DataFrame):
+        return blocks.groupBy("block").cogroup(answers.select("kind", "bucket", "block", "nums").groupBy("block"))
+
+    def answer(asked: DataFrame, how) -> DataFrame:
+        return stage(asked.groupBy("kind", "bucket").applyInArrow(how, _ANSWER))
+
+    counts = answer(blocks.mapInArrow(ask_counts, _ASK), _totals)
+    known, once = (int(x or 0) for x in counts.agg(F.sum("known"), F.sum("once")).first())
+    counts = counts.union(answer(met(counts).applyInArrow(asks(lambda b: b.ask_triples(buckets)), _ASK), _totals))
+    tests = answer(met(counts).applyInArrow(asks(lambda b: b.ask_contexts(buckets, total)), _ASK), lambda t: _tests(t, divergence))
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        return Block(left.to_pylist()[0], width, right).scores(total, known, once, discount)
 
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return blocks.groupBy("block").cogroup(totals.select("block", "code", "c").groupBy("block")).applyInArrow(add, schema)
+    return met(counts.union(tests)).applyInArrow(score, _SCORED)

@@ -353,6 +353,68 @@ def test_lm_score_does_not_depend_on_blocks(spark):
     assert all(abs(a[i] - b[i]) < 1e-6 * max(1, abs(a[i])) for i in a)
 
 
+def brute_scores(tokens, training, divergence=8.0, discount=0.75):
+    """log10 probability of each document's tokens by a suffix tree in plain dictionaries."""
+    n = [collections.Counter() for _ in range(3)]  # runs of 1, 2 and 3 tokens
+    for i in training:
+        for k in range(3):
+            n[k].update(tuple(tokens[i][j : j + k + 1]) for j in range(len(tokens[i]) - k))
+    total, once = sum(n[0].values()), sum(v == 1 for v in n[0].values())
+    unknown = max(once, 1) / (total + 1)
+    tree = {}
+    for k in (1, 2):
+        runs = collections.defaultdict(list)
+        for run, v in n[k].items():
+            if v > 1:
+                runs[run[:-1]].append((run, v))
+        for ctx, found in runs.items():
+            whole = n[k - 1][ctx]
+            up = lambda run: n[k - 1][run[1:]] / (total if k == 1 else n[k - 2][run[1:-1]])  # noqa: B023, E731
+            rest = whole - sum(v for _, v in found)
+            g = sum(2 * v * np.log(v / whole / up(run)) for run, v in found) + 2 * rest * np.log(max(rest, 1) / whole)
+            if g > divergence * len(found):
+                tree[ctx] = (discount * len(found) + rest) / whole
+    out = []
+    for t in tokens:
+        score = 0.0
+        for j, w in enumerate(t):
+            p = (1 - unknown) * n[0][(w,)] / total if n[0][(w,)] else unknown
+            for k in (1, 2):
+                run = tuple(t[j - k : j + 1]) if j >= k else ()
+                if run and run[:-1] in tree:
+                    v = n[k][run]
+                    p = (v - discount if v > 1 else 0) / n[k - 1][run[:-1]] + tree[run[:-1]] * p
+            score += np.log10(p)
+        out.append(score)
+    return out, tree
+
+
+def test_lm_score_equals_a_plain_suffix_tree(spark):
+    rng = random.Random(5)
+    names = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choice(names[: rng.choice((6, 60))]) for _ in range(rng.randint(0, 120))) for _ in range(60)]
+    texts += [f"{texts[3]} a tail of its own", "one passage that comes twice with words of its own", None, "one passage that comes twice with words of its own", "never seen", ""]
+    tokens = [[*(t or "").encode().split(), b"\n"] for t in texts]
+    held = {i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 7 == 2}
+    want, tree = brute_scores(tokens, [i for i in range(len(texts)) if i not in held])
+    assert {len(ctx) for ctx in tree} == {1, 2}
+    for parts, size in ((1, 1 << 20), (4, 2_000)):
+        got = {r["doc_id"]: r["score"] for r in lm_score(frame(spark, texts).repartition(parts), block_bytes=size, bucket_tokens=1_000).collect()}
+        assert all(abs(got[i] - w) < 1e-6 * max(1, -w) for i, w in enumerate(want))
+
+
+def test_lm_score_learns_whatever_comes_twice(spark):
+    """A passage that occurs twice is learned however much other text there is."""
+    twice = " ".join(f"rare{i}" for i in range(40))
+    gains = []
+    for size in (50, 2_000):
+        texts = [*corpus(9, size), f"{twice} here", f"{twice} there"]
+        ids = [i for i in range(len(texts) * 7) if zlib.crc32(str(i).encode()) % 7 != 2][: len(texts)]
+        rows = lm_score(spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id long, text string")).where(f"doc_id = {ids[-1]}").collect()
+        gains.append(rows[0]["score"] - rows[0]["base_score"])
+    assert min(gains) > 60, gains
+
+
 def brute_removed(texts, window=50):
     first = {}
     for i in sorted(texts):
