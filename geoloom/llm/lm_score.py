@@ -39,7 +39,7 @@ END = b"\n"
 TOKEN, PAIR, TRIPLE, ONE, TWO = range(5)
 _NEXT = np.uint64(0xA24BAED4963EE407)
 #: Gains are summed as whole numbers of this part, so that sums do not depend on their order.
-_UNIT = 1 / 64
+_UNIT = 1 / 16
 _BLOCK = "block long, docs array<long>, held array<boolean>, lens binary, codes binary, tokens long, train long, high binary, low binary"
 _ASK = "kind int, bucket long, block long, keys binary, low binary, nums binary"
 _ANSWER = "kind int, bucket long, block long, nums binary, known long, once long"
@@ -134,9 +134,10 @@ class Block:
         for kind, nums in zip(order.column("kind").to_pylist(), order.column("nums").to_pylist(), strict=True):
             got.setdefault(kind, []).append(_unpack(nums).reshape(2 if kind in (ONE, TWO) else 1, -1))
         self.got = {k: np.concatenate(v, 1) for k, v in got.items()}
-        #: totals of the vocabulary and of the pairs; which pairs this block speaks for
+        #: totals of the vocabulary and of the pairs; which of them this block speaks for
         self.c = np.empty(len(self.high), np.int64)
-        self.c[self.order] = self._answer(TOKEN) >> 1
+        self.c[self.order] = self._answer(TOKEN)
+        self.tells, self.c = self.c & 1, self.c >> 1
         self.n, self.speaks = self._answer(PAIR) >> 1, self._answer(PAIR) & 1 > 0
         # triples whose pairs both occur twice
         pair_at = np.full(len(self.codes) + 1, -1)
@@ -171,17 +172,17 @@ class Block:
         yield from self._ask(TRIPLE, self.triples, buckets, np.bincount(self.of3, self.train[self.at3], len(self.triples)).astype(np.int64)[None])
 
     def ask_contexts(self, buckets: int, total: int) -> Iterator[pa.RecordBatch]:
-        """For every context its total, and the sums of gains, kinds and counts over the runs that this block speaks for."""
+        """For every context the sums of gains, kinds and counts over the runs that this block speaks for, and its total if it speaks for it."""
         codes, keys, of, two = self.contexts()
         runs = np.flatnonzero(self.speaks & (self.n > 1))
         a, x, n = self.codes[self.at[self.first[runs]]], self.codes[self.at[self.first[runs]] + 1], self.n[runs]
         to = of[np.searchsorted(codes, a)] if len(runs) else a
-        yield from self._ask(ONE, keys, buckets, self._sums(to, n, n / self.c[a] * (total / self.c[x]), np.bincount(of, self.c[codes], len(keys))))
+        yield from self._ask(ONE, keys, buckets, self._sums(to, n, n / self.c[a] * (total / self.c[x]), np.bincount(of, (self.c * self.tells)[codes], len(keys))))
         v = self._answer(TRIPLE)
         runs = np.flatnonzero((v & 1 > 0) & (v > 3))
         at, n = self.first3[runs], v[runs] >> 1
         up = self.n[self.after[at]] / self.c[self.codes[self.at3[at] + 1]]
-        yield from self._ask(TWO, self.pairs[two], buckets, self._sums(np.searchsorted(two, self.before[at]), n, n / self.n[self.before[at]] / up, self.n[two]))
+        yield from self._ask(TWO, self.pairs[two], buckets, self._sums(np.searchsorted(two, self.before[at]), n, n / self.n[self.before[at]] / up, (self.n * self.speaks)[two]))
 
     @staticmethod
     def _sums(to: np.ndarray, n: np.ndarray, ratio: np.ndarray, whole: np.ndarray) -> np.ndarray:
@@ -277,14 +278,13 @@ def _tests(asked: pa.Table, divergence: float) -> pa.Table:
     """The number of kinds and the sum of the runs of each context that stays; 0 kinds for the others."""
     kind, bucket, blocks, ends, of, nums = _read(asked)
     gain, kinds, seen = (np.bincount(of, x).astype(np.int64) for x in nums[:3])
-    whole = np.zeros(len(kinds), np.int64)
-    whole[of] = nums[3]
+    whole = np.maximum(np.bincount(of, nums[3]).astype(np.int64), seen)  # only one block tells it
     rest = whole - seen  # runs that occur once, as one symbol
-    stay = gain * _UNIT + 2 * rest * np.log(np.maximum(rest, 1) / whole) > divergence * kinds
+    stay = gain * _UNIT + 2 * rest * np.log(np.maximum(rest, 1) / np.maximum(whole, 1)) > divergence * kinds
     return _rows(kind, bucket, blocks, np.split(np.stack([np.where(stay, kinds, 0), seen])[:, of], ends, axis=1))
 
 
-def lm_score(docs: DataFrame, mod: int = 7, rest: int = 2, divergence: float = 8.0, discount: float = 0.75, block_bytes: int = 8 << 20, bucket_tokens: int = 1 << 20, spare_bits: int = 20) -> DataFrame:
+def lm_score(docs: DataFrame, mod: int = 7, rest: int = 2, divergence: float = 8.0, discount: float = 0.75, block_bytes: int = 8 << 20, bucket_tokens: int = 1 << 21, spare_bits: int = 20) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Tokens are words in lower case (A-Z) and one end. Trained on documents whose crc32(doc_id as text) mod ``mod`` is
