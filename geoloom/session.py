@@ -59,18 +59,28 @@ def stage(df: DataFrame, *partition_by: str) -> DataFrame:
     return out
 
 
-def stage_bucketed(df: DataFrame, key: str) -> DataFrame:
+def stage_bucketed(df: DataFrame, key: str, move: bool = False, more_of: DataFrame | None = None) -> DataFrame:
     """:func:`stage` as a table bucketed by ``key``: what is joined to it by the key need not move it.
 
-    It has as many buckets as shuffles have partitions. The table goes when the application ends.
+    It has as many buckets as shuffles have partitions. Every task writes a file for each bucket it has rows of; with
+    ``move`` rows are shuffled first, so that a bucket is one file. Rows join those of ``more_of``, an earlier
+    result of this function. The table goes when the application ends.
     """
     spark = df.sparkSession
-    name = f"stage_{uuid.uuid4().hex}"
-    path = f"{shared_dir(spark).rstrip('/')}/{name}"
-    df.write.bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).option("path", path).saveAsTable(name)
-    _staged.append((spark, path))
-    _tables.append((spark, name))
-    return spark.table(name)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions")) if more_of is None else more_of.staged_buckets
+    writer = (df.repartition(buckets, key) if move else df).write.bucketBy(buckets, key)
+    if more_of is None:
+        name = f"stage_{uuid.uuid4().hex}"
+        path = f"{shared_dir(spark).rstrip('/')}/{name}"
+        writer.option("path", path).saveAsTable(name)
+        _staged.append((spark, path))
+        _tables.append((spark, name))
+    else:
+        name = more_of.staged_in
+        writer.mode("append").saveAsTable(name)
+    out = spark.table(name)
+    out.staged_in, out.staged_buckets = name, buckets
+    return out
 
 
 def free(*staged: DataFrame) -> None:
