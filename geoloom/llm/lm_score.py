@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.llm.arrow import LOWER, held, mix, slices
-from geoloom.session import stage, stage_bucketed
+from geoloom.session import stage_bucketed
 
 #: The end token; no word holds a line feed.
 END = b"\n"
@@ -275,16 +275,16 @@ def _totals(asked: pa.Table) -> pa.Table:
 
 
 def _tests(asked: pa.Table, divergence: float) -> pa.Table:
-    """The number of kinds and the sum of the runs of each context that stays; 0 kinds for the others."""
+    """The number of kinds and the sum of the runs of each context that stays; 0 for the others."""
     kind, bucket, blocks, ends, of, nums = _read(asked)
     gain, kinds, seen = (np.bincount(of, x).astype(np.int64) for x in nums[:3])
     whole = np.maximum(np.bincount(of, nums[3]).astype(np.int64), seen)  # only one block tells it
     rest = whole - seen  # runs that occur once, as one symbol
     stay = gain * _UNIT + 2 * rest * np.log(np.maximum(rest, 1) / np.maximum(whole, 1)) > divergence * kinds
-    return _rows(kind, bucket, blocks, np.split(np.stack([np.where(stay, kinds, 0), seen])[:, of], ends, axis=1))
+    return _rows(kind, bucket, blocks, np.split(np.where(stay, [kinds, seen], 0)[:, of], ends, axis=1))
 
 
-def lm_score(docs: DataFrame, mod: int = 7, rest: int = 2, divergence: float = 8.0, discount: float = 0.75, block_bytes: int = 8 << 20, bucket_tokens: int = 1 << 21, spare_bits: int = 20) -> DataFrame:
+def lm_score(docs: DataFrame, mod: int = 7, rest: int = 2, divergence: float = 8.0, discount: float = 0.75, block_bytes: int = 12 << 20, bucket_tokens: int = 1 << 21, spare_bits: int = 20) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Tokens are words in lower case (A-Z) and one end. Trained on documents whose crc32(doc_id as text) mod ``mod`` is
@@ -313,15 +313,15 @@ def lm_score(docs: DataFrame, mod: int = 7, rest: int = 2, divergence: float = 8
     def met(answers: DataFrame):
         return blocks.groupBy("block").cogroup(answers.select("kind", "bucket", "block", "nums").groupBy("block"))
 
-    def answer(asked: DataFrame, how) -> DataFrame:
-        return stage(asked.groupBy("kind", "bucket").applyInArrow(how, _ANSWER))
+    def answer(asked: DataFrame, how, more_of: DataFrame | None = None) -> DataFrame:
+        return stage_bucketed(asked.groupBy("kind", "bucket").applyInArrow(how, _ANSWER), "block", move=True, more_of=more_of)
 
     counts = answer(blocks.mapInArrow(ask_counts, _ASK), _totals)
     known, once = (int(x or 0) for x in counts.agg(F.sum("known"), F.sum("once")).first())
-    counts = counts.union(answer(met(counts).applyInArrow(asks(lambda b: b.ask_triples(buckets)), _ASK), _totals))
-    tests = answer(met(counts).applyInArrow(asks(lambda b: b.ask_contexts(buckets, total)), _ASK), lambda t: _tests(t, divergence))
+    answers = answer(met(counts).applyInArrow(asks(lambda b: b.ask_triples(buckets)), _ASK), _totals, counts)
+    answers = answer(met(answers).applyInArrow(asks(lambda b: b.ask_contexts(buckets, total)), _ASK), lambda t: _tests(t, divergence), answers)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         return Block(left.to_pylist()[0], width, right).scores(total, known, once, discount)
 
-    return met(counts.union(tests)).applyInArrow(score, _SCORED)
+    return met(answers).applyInArrow(score, _SCORED)
