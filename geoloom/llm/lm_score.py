@@ -13,7 +13,7 @@ by block. The tree lies nowhere whole. Blocks ask and get answers by shuffles: a
 hashes with the block's counts, one for each range of hashes; whoever holds a range sums all blocks' counts, and the
 answers go back in the same order. Three questions are asked: the counts of tokens and pairs; the counts of triples whose
 pairs both occur twice; and, of every context, the sums over its runs (one block speaks for each run) that the divergence
-test and the discounted mass need. A key has one entry in a block at most, so no key is hot. Only five totals reach the
+test and the discounted mass need. A key has one entry in a block at most, so no key is hot. Only four totals reach the
 driver.
 """
 
