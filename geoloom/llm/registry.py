@@ -13,9 +13,13 @@ from geoloom.llm.exact_dedup import ORACLE as EXACT_SQL
 from geoloom.llm.exact_dedup import exact_dedup
 from geoloom.llm.license_scan import license_scan
 from geoloom.llm.lm_score import lm_score
+from geoloom.llm.mixing import ORACLE as MIXING_SQL
+from geoloom.llm.mixing import mix_plan
 from geoloom.llm.near_dedup import ORACLE as NEAR_SQL
 from geoloom.llm.near_dedup import near_dedup
 from geoloom.llm.packing import pack
+from geoloom.llm.prefix_trie import ORACLE as TRIE_SQL
+from geoloom.llm.prefix_trie import conversation_trie
 from geoloom.llm.substring_dedup import ORACLE as SUBSTRING_SQL
 from geoloom.llm.substring_dedup import substring_dedup
 from geoloom.llm.token_counts import token_counts
@@ -71,10 +75,18 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_plan(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {f.__name__: f for f in (op1_token_counts, op2_license_scan, op3_exact_dedup, op4_packing, op5_toxicity, op6_byte_bpe, op7_lm_score, op8_substring_dedup, op9_vector_topk, op10_near_dedup)}
+    found = {f.__name__: f for f in (op1_token_counts, op2_license_scan, op3_exact_dedup, op4_packing, op5_toxicity, op6_byte_bpe, op7_lm_score, op8_substring_dedup, op9_vector_topk, op10_near_dedup, op11_prefix_trie, op13_mixing)}
     return found | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": EXACT_SQL, "op8_substring_dedup": SUBSTRING_SQL, "op9_vector_topk": TOPK_SQL, "op10_near_dedup": NEAR_SQL}
+    return {"op3_exact_dedup": EXACT_SQL, "op8_substring_dedup": SUBSTRING_SQL, "op9_vector_topk": TOPK_SQL, "op10_near_dedup": NEAR_SQL, "op11_prefix_trie": TRIE_SQL, "op13_mixing": MIXING_SQL}
