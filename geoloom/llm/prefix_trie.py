@@ -291,7 +291,7 @@ with t as (
 ), b as (
   select c.conv_id, pos, role, text from c join o on o.conv_id = c.conv_id - c.conv_id % 20 and pos <= h
   union all
-  select c.conv_id, pos - h + least(h, coalesce(z.n, 0)), role, text from c join o using (conv_id) left join c z on z.conv_id = c.conv_id - c.conv_id % 20 where pos > h
+  select c.conv_id, pos - c.h + least(c.h, coalesce(z.n, 0)), role, text from c join o on o.conv_id = c.conv_id and pos > c.h left join c z on z.conv_id = c.conv_id - c.conv_id % 20
 ), p as (
   select conv_id, pos as depth, md5(to_json(list({{'r': role, 't': text}}) over w)::varchar) as key, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as words from b window w as (partition by conv_id order by pos)
   union all
