@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from geoloom.llm.byte_bpe import round_trip
 from geoloom.llm.exact_dedup import ORACLE as EXACT_SQL
 from geoloom.llm.exact_dedup import exact_dedup
+from geoloom.llm.hard_negatives import ORACLE as NEGATIVES_SQL
+from geoloom.llm.hard_negatives import hard_negatives
 from geoloom.llm.license_scan import license_scan
 from geoloom.llm.lm_score import lm_score
 from geoloom.llm.mixing import ORACLE as MIXING_SQL
@@ -79,14 +81,18 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(_table(spark, sf_dir, "conversations"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_plan(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {f.__name__: f for f in (op1_token_counts, op2_license_scan, op3_exact_dedup, op4_packing, op5_toxicity, op6_byte_bpe, op7_lm_score, op8_substring_dedup, op9_vector_topk, op10_near_dedup, op11_prefix_trie, op13_mixing)}
+    found = {f.__name__: f for f in (op1_token_counts, op2_license_scan, op3_exact_dedup, op4_packing, op5_toxicity, op6_byte_bpe, op7_lm_score, op8_substring_dedup, op9_vector_topk, op10_near_dedup, op11_prefix_trie, op12_hard_negatives, op13_mixing)}
     return found | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": EXACT_SQL, "op8_substring_dedup": SUBSTRING_SQL, "op9_vector_topk": TOPK_SQL, "op10_near_dedup": NEAR_SQL, "op11_prefix_trie": TRIE_SQL, "op13_mixing": MIXING_SQL}
+    return {"op3_exact_dedup": EXACT_SQL, "op8_substring_dedup": SUBSTRING_SQL, "op9_vector_topk": TOPK_SQL, "op10_near_dedup": NEAR_SQL, "op11_prefix_trie": TRIE_SQL, "op12_hard_negatives": NEGATIVES_SQL, "op13_mixing": MIXING_SQL}
