@@ -1,4 +1,4 @@
-"""Graph operators: components, near-node merging, turn penalties, batch routing."""
+"""Graph operators: components, near-node merging, turn penalties, route shapes and checks."""
 
 from __future__ import annotations
 
@@ -108,55 +108,19 @@ def turn_penalties(edges: DataFrame, nodes: DataFrame, side: str = "left") -> Da
     return met.select("a", "b", "c", F.when(hit, TURN_BASE * times).otherwise(0.0).alias("penalty"))
 
 
-def route_batch(pairs: DataFrame, edges: DataFrame, penalties: DataFrame, max_iter: int | None = None) -> DataFrame:
-    """Cheapest routes of many origin-destination pairs at once, with turn penalties.
+def route_shape(routes: DataFrame, edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Totals, street names and the line of each route; one from a node to itself has length 0 and one point.
 
-    pairs: pair, origin, destination. edges: u, v, cost (one for each u, v). A state is (pair, node, previous node).
-    Each round extends the states that got cheaper by one edge and drops those not cheaper than the pair's best arrival
-    or than the state's own best. Ends when nothing got cheaper; ``max_iter`` ends it after so many edges, and converged
-    says for which pairs that was too early. Paths travel with the states of a round only; of all earlier states the
-    costs are kept, and only while their pair is open. Without a way cost and path are null; pairs whose ends are in
-    different components are not searched. From a node to itself the cost is 0.
+    edges: u, v, length_m, name, line (one for each u, v). nodes: osmid, x, y. Requests without a way have no row.
     """
-    state = ["pair", "destination", "node", "prev"]
-    step = stage(edges.select("u", "v", "cost"))
-    moves = stage(penalties.join(step.select(F.col("u").alias("b"), F.col("v").alias("c"), F.col("cost")), ["b", "c"]).select("a", "b", "c", (F.col("cost") + F.col("penalty")).alias("move")))
-    parts = stage(connected_components(step, "u", "v"))
-    ends = [parts.select(F.col("node").alias(n), F.col("component").alias(f"of_{n}")) for n in ("origin", "destination")]
-    linked = pairs.select("pair", "origin", "destination").where("origin <> destination").join(ends[0], "origin").join(ends[1], "destination").where("of_origin = of_destination")
-    start = linked.select("pair", "destination", F.col("origin").alias("u")).join(step, "u")
-    front = stage(start.groupBy("pair", "destination", F.col("v").alias("node"), F.col("u").alias("prev")).agg(F.min("cost").alias("cost")).withColumn("path", F.array("prev", "node")))
-    arrived = F.col("node") == F.col("destination")
-    bare = lambda df: df.withColumn("path", F.when(arrived, F.col("path")))
-    known, turns = stage(bare(front)), 1
-    while True:
-        limit = known.where(arrived).groupBy("pair").agg(F.min("cost").alias("limit"))
-        live = front.where(~arrived).join(limit, "pair", "left").where("limit is null or cost < limit")
-        if (max_iter is not None and turns >= max_iter) or live.isEmpty():
-            break
-        more = live.join(moves, (F.col("prev") == F.col("a")) & (F.col("node") == F.col("b")))
-        more = more.select("pair", "destination", F.col("c").alias("node"), F.col("b").alias("prev"), (F.col("cost") + F.col("move")).alias("cost"), F.concat("path", F.array("c")).alias("path"), "limit")
-        more = more.where("limit is null or cost < limit").groupBy(*state).agg(F.min(F.struct("cost", "path")).alias("s")).select(*state, "s.*")
-        front = stage(more.join(known.select(*state, F.col("cost").alias("had")), state, "left").where("had is null or cost < had").drop("had"))
-        still = known.where(arrived).unionByName(known.where(~arrived).join(live.select("pair").distinct(), "pair", "left_semi"))
-        both = still.unionByName(bare(front)).groupBy(*state).agg(F.min(F.struct("cost", "path")).alias("s"))
-        known = stage(both.select(*state, "s.*"))
-        turns += 1
-    ends = known.where(arrived).groupBy("pair").agg(F.min(F.struct("cost", "path")).alias("s"))
-    cut = live.select("pair").distinct().withColumn("cut", F.lit(True))
-    same = F.col("origin") == F.col("destination")
-    out = pairs.join(ends, "pair", "left").join(cut, "pair", "left")
-    return out.select("pair", "origin", "destination", F.when(same, 0.0).otherwise(F.round("s.cost", 4)).alias("cost"), F.when(same, F.array("origin")).otherwise(F.col("s.path")).alias("path"), F.col("cut").isNull().alias("converged"))
-
-
-def route_shape(routes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Totals, street names and the line of each route. edges: u, v, length_m, name, line (one for each u, v)."""
     legs = routes.where("size(path) > 1").select("pair", "cost", F.posexplode(F.expr("transform(sequence(1, size(path) - 1), i -> struct(element_at(path, i) as u, element_at(path, i + 1) as v))")).alias("pos", "e"))
     legs = legs.select("pair", "cost", "pos", "e.u", "e.v").join(edges.select("u", "v", "length_m", "name", "line"), ["u", "v"])
     out = legs.groupBy("pair").agg(
         F.round(F.first("cost"), 4).alias("cost"), F.round(F.sum("length_m"), 1).alias("length_m"), F.array_sort(F.collect_set("name")).alias("streets"), F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("lines")
     )
-    return out.select("pair", "cost", "length_m", "streets", oriented_line(F.transform("lines", lambda s: s["line"])).alias("line"))
+    ways = out.select("pair", "cost", "length_m", "streets", oriented_line(F.transform("lines", lambda s: s["line"])).alias("line"))
+    stays = routes.where("size(path) = 1").select("pair", "cost", F.col("path")[0].alias("osmid")).join(nodes.select("osmid", "x", "y"), "osmid")
+    return ways.unionByName(stays.select("pair", "cost", F.lit(0.0).alias("length_m"), F.array().cast("array<string>").alias("streets"), F.array(F.struct("x", "y")).alias("line")))
 
 
 def route_checks(shapes: DataFrame, cases: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from geoloom.functions.labels import ABBREVIATIONS, FILLERS, compress_labels, variable_filter
 from geoloom.operators import graph as G
+from geoloom.operators import routing
 from geoloom.functions.rules import severity
 from geoloom.plans import lattice as L
 from geoloom.plans.lattice import table
@@ -71,10 +72,11 @@ def turn_penalties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One request an event, to a node up to two steps away each way."""
+    """Two requests an event: to a node up to two steps away each way, and to one anywhere in the network."""
     n = F.broadcast(table(spark, sf_dir, "part").agg((F.max("p_partkey") + 1).alias("n")))  # one row
-    e = table(spark, sf_dir, "events").join(n).selectExpr("event_id as pair", "event_id % n as origin", "n")
-    return e.selectExpr("pair", "origin", "(origin + pair % 3 + 50 * (pair div 3 % 3)) % n as destination")
+    e = table(spark, sf_dir, "events").join(n).selectExpr("event_id", "event_id % n as origin", "n")
+    near = e.selectExpr("2 * event_id as pair", "origin", "(origin + event_id % 3 + 50 * (event_id div 3 % 3)) % n as destination")
+    return near.union(e.selectExpr("2 * event_id + 1", "origin", "event_id * 31 % n"))
 
 
 def _routing(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -82,20 +84,31 @@ def _routing(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return edges, G.turn_penalties(edges, L.nodes(spark, sf_dir))
 
 
-def route_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges, penalties = _routing(spark, sf_dir)
-    return G.route_batch(_requests(spark, sf_dir), edges, penalties)
+    return routing.route_batch(_requests(spark, sf_dir), edges, penalties, L.nodes(spark, sf_dir))
 
 
-def route_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+def route_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _routes(spark, sf_dir).withColumn("path", F.array_join("path", ">"))
+
+
+def _shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges, _ = _routing(spark, sf_dir)
-    return G.route_shape(route_batch(spark, sf_dir), edges)
+    return G.route_shape(_routes(spark, sf_dir), edges, L.nodes(spark, sf_dir))
+
+
+def route_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals and street names; of the line the number of points, and the sums of x and y at six digits."""
+    total = lambda k: F.aggregate("line", F.lit(0).cast("long"), lambda a, p: a + F.round(p[k] * 1000000).cast("long"))
+    return _shapes(spark, sf_dir).select("pair", "cost", "length_m", F.array_join("streets", "|").alias("streets"), F.size("line").alias("points"), total("x").alias("sum_x"), total("y").alias("sum_y"))
 
 
 def route_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = _requests(spark, sf_dir)
     cases = pairs.select("pair", F.when(F.col("pair") % 2 == 0, F.array(F.lit("street"))).otherwise(F.array().cast("array<string>")).alias("must_use"), F.when(F.col("pair") % 3 == 0, F.array(F.lit("avenue 7"))).otherwise(F.array().cast("array<string>")).alias("must_avoid"), F.lit(900.0).alias("max_cost"))
-    return G.route_checks(route_shape(spark, sf_dir).select("pair", "cost", "streets"), cases)
+    checked = G.route_checks(_shapes(spark, sf_dir).select("pair", "cost", "streets"), cases)
+    return checked.withColumn("failures", F.array_join("failures", "|"))
 
 
 # -- sources and exports ---------------------------------------------------------------------------------------------
@@ -262,6 +275,37 @@ _BOTH = f"""bothn as (select osmid, x, y, layer from nodes union all select osmi
       and not exists (select 1 from bothe e where (e.u = p.osmid and e.v = q.osmid) or (e.u = q.osmid and e.v = p.osmid))
 ), merged as (select drop_id, keep from (select *, row_number() over (partition by drop_id order by m, keep) as rn from near) where rn = 1)"""
 _ONE = "one as (select * from (select *, row_number() over (partition by u, v order by key desc) as rn from edges) where rn = 1)"
+_TURNS = f"""deg as (select b, count(*) as d from (select u as b from one union all select v from one) group by b
+      ), p as (select u, v, highway, atan2(x1 - x0, y1 - y0) as t from one
+      ), m as (select f.u as a, f.v as b, s.v as c, d, s.highway, f.t as t1, s.t as t2, sin(f.t) * cos(s.t) - cos(f.t) * sin(s.t) as cr, case when abs(degrees(s.t - f.t)) <= 180 then abs(degrees(s.t - f.t)) else 360 - abs(degrees(s.t - f.t)) end as ang
+        from p f join p s on s.u = f.v join deg on deg.b = f.v), turns as (select a, b, c, cast(case when d >= 3 and round(ang, 6) >= 45 and -cr < 0 and abs(cr) > 1e-9 then 30.0 * case case when highway like '[%' then 'residential' else highway end when 'primary' then 2.5 when 'secondary' then 2.0 when 'tertiary' then 1.5
+        when 'residential' then 0.8 when 'service' then 0.5 when 'cycleway' then 0.0 when 'path' then 0.0 else 1.0 end else 0.0 end as double) as penalty from m)"""
+#: Least weights of all (node, previous node) states from every origin; rows of a keyed recursion give way to better ones.
+_ROUTES = f"""{_N}, {_E}, {_ONE}, {_TURNS}, asked as (
+  select 2 * event_id as pair, event_id % n as origin, (event_id % n + event_id % 3 + 50 * (event_id // 3 % 3)) % n as destination from events, (select max(p_partkey) + 1 as n from part)
+  union all select 2 * event_id + 1, event_id % n, event_id * 31 % n from events, (select max(p_partkey) + 1 as n from part)
+), w1 as (select u, v, round(round(length_m, 3) * 1000)::bigint * 4294967296 + ('0x' || substr(md5(u || '-' || v), 1, 5))::bigint as w from one
+), mv as (select a, b, c, w1.w + round(penalty * 1000)::bigint * 4294967296 as w from turns join w1 on w1.u = b and w1.v = c
+), r(o, a, b, w, p) using key (o, a, b) as (
+  select o, u, v, w, cast(null as bigint) from (select distinct origin as o from asked where origin <> destination) join w1 on w1.u = o
+  union
+  select o, a, b, min(w), arg_min(p, w) from (select r.o, mv.b as a, mv.c as b, r.w + mv.w as w, r.a as p from r join mv on mv.a = r.a and mv.b = r.b) z
+  where not exists (select 1 from recurring.r k where k.o = z.o and k.a = z.a and k.b = z.b and k.w <= z.w) group by o, a, b
+), ends as (
+  select o, d, min(w) as w, arg_min(a, w) as a from r join (select distinct origin as o, destination as d from asked where origin <> destination) using (o) where b = d group by o, d
+), walk(o, d, a, b, w, path) as (
+  select o, d, a, d, w, [a, d] from ends
+  union all
+  select o, d, r.p, walk.a, walk.w, list_prepend(r.p, path) from walk join r using (o, a, b) where r.p is not null
+), whole as (
+  select walk.o, walk.d, walk.w >> 32 as w, walk.path from walk join r using (o, a, b) where r.p is null
+), routes as (
+  select pair, origin, destination, case when origin = destination then 0 else w end as w, case when origin = destination then [origin] else path end as path from asked left join whole on o = origin and d = destination)"""
+_SHAPES = """legs as (select pair, w, path[i] as u, path[i + 1] as v from (select pair, w, path, unnest(range(1, len(path))) as i from routes where len(path) > 1)
+), spots as (select pair, sum(round(x * 1000000)::bigint)::bigint as sum_x, sum(round(y * 1000000)::bigint)::bigint as sum_y, count(*)::integer as points from (select pair, unnest(path) as osmid from routes where path is not null) join nodes using (osmid) group by pair
+), shapes as (select pair, any_value(w) / 1000.0::double as cost, round(sum(length_m), 1) as length_m, coalesce(array_to_string(list_sort(list_distinct(list(name) filter (where name is not null))), '|'), '') as streets, any_value(points) as points, any_value(sum_x) as sum_x, any_value(sum_y) as sum_y
+  from legs join (select u, v, length_m, name from (select *, row_number() over (partition by u, v order by key desc) as rn from edges) where rn = 1) using (u, v) join spots using (pair) group by pair
+  union all select pair, 0.0::double, 0.0::double, '', points, sum_x, sum_y from routes join spots using (pair) where len(path) = 1)"""
 
 SQL = {
     "components": f"with recursive {_N}, {_E}, {_COMP} select node, component, size from sized",
@@ -272,12 +316,13 @@ SQL = {
     "merge_map": f"with {_N}, {_E}, {_S}, {_BOTH} select drop_id as drop, keep from merged",
     "contracted_edges": f"""with {_N}, {_E}, {_S}, {_BOTH}, c as (select coalesce(a.keep, u) as u, coalesce(b.keep, v) as v, key, a.keep is null and b.keep is null as plain from bothe left join merged a on a.drop_id = u left join merged b on b.drop_id = v)
       select u, v, key from c where u <> v or plain""",
-    "turn_penalties": f"""with {_N}, {_E}, {_ONE}, deg as (select b, count(*) as d from (select u as b from one union all select v from one) group by b
-      ), p as (select u, v, highway, atan2(x1 - x0, y1 - y0) as t from one
-      ), m as (select f.u as a, f.v as b, s.v as c, d, s.highway, f.t as t1, s.t as t2, sin(f.t) * cos(s.t) - cos(f.t) * sin(s.t) as cr, case when abs(degrees(s.t - f.t)) <= 180 then abs(degrees(s.t - f.t)) else 360 - abs(degrees(s.t - f.t)) end as ang
-        from p f join p s on s.u = f.v join deg on deg.b = f.v)
-      select a, b, c, cast(case when d >= 3 and round(ang, 6) >= 45 and -cr < 0 and abs(cr) > 1e-9 then 30.0 * case case when highway like '[%' then 'residential' else highway end when 'primary' then 2.5 when 'secondary' then 2.0 when 'tertiary' then 1.5
-        when 'residential' then 0.8 when 'service' then 0.5 when 'cycleway' then 0.0 when 'path' then 0.0 else 1.0 end else 0.0 end as double) as penalty from m""",
+    "turn_penalties": f"with {_N}, {_E}, {_ONE}, {_TURNS} select a, b, c, penalty from turns",
+    "route_batch": f"with recursive {_ROUTES} select pair, origin, destination, w / 1000.0::double as cost, array_to_string(path, '>') as path from routes",
+    "route_shape": f"with recursive {_ROUTES}, {_SHAPES} select pair, cost, length_m, streets, points, sum_x, sum_y from shapes",
+    "route_checks": f"""with recursive {_ROUTES}, {_SHAPES}, checked as (
+        select pair, list_concat(case when pair % 2 = 0 and not coalesce(lower(streets) like '%street%', false) then ['not used: street'] else [] end, case when pair % 3 = 0 and lower(streets) like '%avenue 7%' then ['used: avenue 7'] else [] end,
+          case when cost is null then ['no route'] when cost > 900 then ['too dear'] else [] end) as failed from asked left join shapes using (pair))
+      select pair, array_to_string(failed, '|') as failures, len(failed) = 0 as passed from checked""",
     "variables": """with v as (select concat('B', lpad(cast(p_partkey // 4 as varchar), 5, '0'), '_', lpad(cast(p_partkey % 90 as varchar), 3, '0'), ['E', 'M', 'EA', 'MA', 'PE', 'PM'][p_partkey % 6 + 1]) as variable,
         concat('Estimate!!Total:!!', p_name, '!!', p_type, ' of the ', p_type, ' Household by Number') as label, concat(p_brand, ' for the Population in ', p_brand, ' Households') as concept, p_partkey % 41 = 0 as untyped, p_partkey % 6 as k from part)
       select distinct variable, label, concept from v where k in (0, 1) and not untyped""",

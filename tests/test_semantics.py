@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from geoloom.functions import text as T
 from geoloom.functions.geo import line_line, oriented_line, point_line
 from geoloom.functions.rules import oneway_fits
-from geoloom.operators import geocode, graph, incremental, merge, quality
+from geoloom.operators import geocode, graph, incremental, merge, quality, routing
 from geoloom.operators.components import connected_components
 from geoloom.sources import elements, export
 from geoloom.streaming import logs
@@ -156,9 +156,9 @@ def test_q14_q16_turn_aware_routes_are_least(spark):
         return None
 
     asked = [(i, i, (i * 7) % 25) for i in range(25)] + [(99, 3, 999)]
-    got = {r["pair"]: r for r in graph.route_batch(spark.createDataFrame(asked, "pair int, origin int, destination int"), e, penalties, 30).collect()}
+    got = {r["pair"]: r for r in routing.route_batch(spark.createDataFrame(asked, "pair int, origin int, destination int"), e, penalties, spark.createDataFrame(nodes, "osmid int, x double, y double"), 6).collect()}
     for pair, o, d in asked[:-1]:
-        assert got[pair]["converged"] and abs(got[pair]["cost"] - (least(o, d) if o != d else 0)) < 1e-6
+        assert abs(got[pair]["cost"] - (least(o, d) if o != d else 0)) < 1e-6
     assert got[99]["cost"] is None
 
 
@@ -262,12 +262,12 @@ def test_registered_routes_are_complete(spark, monkeypatch):
 
     asked = [(i, i * 5 % 200, (i * 83 + 49) % 200) for i in range(40)] + [(40, 0, 49), (41, 49, 50), (42, 7, 7)]
     monkeypatch.setattr(plans, "_requests", lambda *_: spark.createDataFrame(asked, "pair long, origin long, destination long"))
-    rows = plans.route_batch(spark, sf).collect()
+    rows = plans._routes(spark, sf).collect()
     assert len(rows) == len(asked) and max(len(r["path"]) for r in rows if r["path"]) > 40
     cost = {(u, v): w for u, to in out.items() for v, w in to}
     for r in rows:
         want = least(r["origin"], r["destination"])
-        assert r["converged"] and (r["cost"] is None) == (want is None), r
+        assert (r["cost"] is None) == (want is None), r
         if want is not None:
             assert abs(r["cost"] - want) < 1e-3, r
             walk = sum(cost[e] for e in zip(r["path"], r["path"][1:])) + sum(p[t] for t in zip(r["path"], r["path"][1:], r["path"][2:]))
