@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -104,3 +104,23 @@ def run_units(spark: SparkSession, log_path: str, source: str, mode: str, units:
             entries.append(entry)
             spark.createDataFrame([entry], LOG).write.mode("append").parquet(log_path)
     return spark.createDataFrame(entries, LOG)
+
+
+class Counters:
+    """Counts that ride on the jobs of one run: nothing is read twice to be counted.
+
+    ``tap(df, name=condition, ...)`` counts the rows of ``df`` where each condition holds, as they pass on their way to
+    wherever ``df`` is written; ``values()`` gives all counts once that has happened. Each tap's rows have to pass once: below
+    a range partitioning, whose bounds are found by a job of its own, they would pass twice.
+    """
+
+    def __init__(self) -> None:
+        self._seen: list[Observation] = []
+
+    def tap(self, df: DataFrame, **counts: Column) -> DataFrame:
+        seen = Observation()
+        self._seen.append(seen)
+        return df.observe(seen, *[F.coalesce(F.sum(F.when(c, 1).otherwise(0)), F.lit(0)).cast("long").alias(n) for n, c in counts.items()])
+
+    def values(self) -> dict[str, int]:
+        return {n: v for seen in self._seen for n, v in seen.get.items()}

@@ -229,7 +229,7 @@ def route_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("server_timestamp"), F.col("event_id").cast("string").alias("request_id"), F.concat(F.lit("10.0.0."), (F.col("user_id") % 250).cast("string")).alias("source_ip"), F.lit("agent").alias("user_agent_header"), F.col("props").alias("client_payload"))
     e.unionAll(e.where("cast(request_id as bigint) % 10 = 0")).write.option("timestampFormat", logs.TIMES).json(f"{base}/in")
     logs.land(logs.route_log_stream(spark, f"{base}/in"), f"{base}/out", f"{base}/state")
-    out = spark.read.option("basePath", f"{base}/out").parquet(f"{base}/out").drop("batch")
+    out = spark.read.option("basePath", f"{base}/out").parquet(f"{base}/out").drop("batch", "bucket")
     return logs.retained(out, 365, "2024-12-31").select("request_id", "server_timestamp", "source_ip", "client_payload")
 
 

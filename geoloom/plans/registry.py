@@ -7,10 +7,10 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoloom.plans import graph, network, warehouse
+from geoloom.plans import graph, ingest, network, warehouse
 from geoloom.session import ship_package
 
-_MODULES = (network, warehouse, graph)
+_MODULES = (network, warehouse, graph, ingest)
 
 
 def _shipped(f: Callable) -> Callable[[SparkSession, str], DataFrame]:

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from geoloom.functions.text import sanitize  # noqa: F401  (part of the module's surface)
+from geoloom.session import stage
 
 
 def read_csv(spark: SparkSession, path: str, delimiter: str = ",", encoding: str = "UTF-8") -> DataFrame:
@@ -33,6 +34,58 @@ def unknown_properties(df: DataFrame, column: str, properties: list[str]) -> Dat
     return df.select(F.explode(keys).alias("property")).where(~F.col("property").isin(properties)).groupBy("property").agg(F.count(F.lit(1)).alias("n"))
 
 
+@dataclass
+class Features:
+    """What :func:`read_features` found: the locked property names, good rows, failed rows, and how often properties came
+    that no column takes."""
+
+    properties: list[str]
+    good: DataFrame
+    failed: DataFrame
+    unknown: DataFrame
+
+
+_DEPTH = {"Point": 1, "MultiPoint": 2, "LineString": 2, "MultiLineString": 3, "Polygon": 3, "MultiPolygon": 4}
+
+
+def read_features(df: DataFrame, column: str, order: Sequence[str], keep: Sequence[str] = (), lowercase: bool = False) -> Features:
+    """GeoJSON features, one text a row, as rows with columns locked by the first valid feature.
+
+    The first is the one with the least ``order`` (file and position, say) wherever its split is read. Its properties are
+    the columns, all as text; a later feature without one has null there, properties that it doesn't name are dropped but
+    counted. A text that isn't a feature, has no geometry, an unknown kind of geometry or coordinates of another depth
+    than its kind has goes to ``failed`` with the reason. Good, failed and unknown are read from one staged pass.
+    ``lowercase``: property names in lower case; of names that then are one, the first in the text counts.
+    """
+    f = F.from_json(column, "type string, properties map<string,string>, geometry struct<type: string, coordinates: string>")
+    gtype, at = F.col("_f.geometry.type"), F.col("_f.geometry.coordinates")
+    depth = F.length(F.regexp_extract(F.regexp_replace(at, r"\s", ""), r"^(\[*)-?[0-9]", 1))
+    known = F.create_map(*[F.lit(x) for pair in _DEPTH.items() for x in pair])
+    failure = (
+        F.when(F.col("_f").isNull() | (F.coalesce(F.col("_f.type"), F.lit("")) != "Feature"), F.lit("not a feature"))
+        .when(gtype.isNull(), F.lit("no geometry"))
+        .when(known[gtype].isNull(), F.lit("unknown geometry"))
+        .when(at.isNull() | (depth != known[gtype]), F.lit("bad coordinates"))
+    )
+    names = F.coalesce(F.json_object_keys(F.get_json_object(column, "$.properties")), F.array().cast("array<string>"))
+    values = F.col("_f.properties")
+    parsed = df.select(*dict.fromkeys([*order, *keep]), F.col(column).alias("_text"), f.alias("_f"), names.alias("_names"))
+    if lowercase:
+        entries = F.map_entries("_f.properties")
+        lowered = F.transform(entries, lambda e: F.lower(e["key"]))
+        firsts = F.filter(entries, lambda e, i: F.array_position(lowered, F.lower(e["key"])) == i + 1)
+        values = F.map_from_entries(F.transform(firsts, lambda e: F.struct(F.lower(e["key"]), e["value"])))
+        parsed = parsed.withColumn("_low", F.array_distinct(F.transform("_names", F.lower)))
+    names = F.col("_low" if lowercase else "_names")
+    parsed = stage(parsed.select(*dict.fromkeys([*order, *keep]), "_text", names.alias("_names"), values.alias("_values"), gtype.alias("gtype"), at.alias("coordinates"), failure.alias("failure")))
+    first = parsed.where("failure is null").agg(F.min_by("_names", F.struct(*order)).alias("n")).first()[0]
+    locked = list(first or [])
+    good = parsed.where("failure is null").select(*keep, *[F.col("_values")[p].alias(p) for p in locked], "gtype", "coordinates")
+    failed = parsed.where("failure is not null").select(*keep, "failure", F.col("_text").alias("feature"))
+    unknown = parsed.where("failure is null").select(F.explode("_names").alias("property")).where(~F.col("property").isin(locked)).groupBy("property").agg(F.count(F.lit(1)).alias("n"))
+    return Features(locked, good, failed, unknown)
+
+
 def promote(gtype: Column, coordinates: Column) -> tuple[Column, Column]:
     """Single geometries as Multi ones."""
     single = gtype.isin("Point", "LineString", "Polygon")
