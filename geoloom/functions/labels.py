@@ -9,16 +9,25 @@ from pyspark.sql import functions as F
 FILLERS = ["the", "of", "and", "or", "in", "to", "for", "by"]
 STRUCTURAL = ["estimate", "margin of error", "total", "annotation of estimate", "annotation of margin of error"]
 MOST = 63
-#: Short forms of common census words; callers pass longer tables as a parameter. An empty form drops the word.
+# Short forms of census words; callers pass longer tables as a parameter. A word without one stays as it is, an
+# empty form drops the word.
 ABBREVIATIONS = {
-    "estimate": "est", "margin": "mrgn", "error": "err", "total": "tot", "percent": "pct", "median": "med", "aggregate": "agg", "average": "avg",
-    "number": "num", "population": "pop", "female": "f", "male": "m", "years": "yr", "under": "un", "over": "ov", "white": "wht", "black": "blk",
-    "african": "afr", "american": "amer", "asian": "asn", "hispanic": "hisp", "latino": "lat", "native": "nat", "alone": "aln", "foreign": "frgn",
-    "born": "brn", "employed": "emp", "unemployed": "unemp", "income": "inc", "earnings": "earn", "poverty": "pov", "occupation": "occ",
-    "transportation": "transpo", "education": "edu", "health": "hlth", "service": "srvc", "workers": "wrkrs", "housing": "hous", "household": "hh",
-    "households": "hh", "owner": "own", "renter": "rnt", "occupied": "occ", "vacant": "vac", "rent": "rnt", "rooms": "rms", "vehicles": "veh",
-    "value": "val", "means": "", "drove": "drv", "carpooled": "crpl", "public": "pub", "walked": "wlk", "bicycle": "bike", "worked": "wrkd",
-    "home": "hm", "travel": "trvl", "time": "tm", "minutes": "min", "with": "w", "without": "wo", "children": "chld", "families": "fam", "family": "fam",
+    "estimate": "est", "margin": "mrgn", "error": "err", "annotation": "ann", "total": "tot", "percent": "pct", "percentage": "pct", "median": "med", "aggregate": "agg", "average": "avg", "number": "num", "characteristics": "chars",
+    "population": "pop", "civilian": "civ", "female": "f", "male": "m", "years": "yr", "year": "yr", "under": "un", "over": "ov", "white": "wht", "black": "blk", "african": "afr", "american": "amer", "asian": "asn", "hispanic": "hisp", "latino": "lat",
+    "native": "nat", "hawaiian": "haw", "pacific": "pac", "islander": "isl", "indian": "ind", "alaska": "ak", "alone": "aln", "combination": "comb", "citizen": "ctzn", "citizenship": "ctzn", "naturalized": "ntrl", "foreign": "frgn", "born": "brn",
+    "residence": "res", "metropolitan": "metro", "micropolitan": "micro", "statistical": "stat", "principal": "princ", "outside": "out", "inside": "in", "urbanized": "urb", "urban": "urb", "rural": "rrl", "central": "cntrl", "county": "cnty", "place": "plc",
+    "employed": "emp", "unemployed": "unemp", "income": "inc", "earnings": "earn", "poverty": "pov", "occupation": "occ", "occupations": "occ", "management": "mgmt", "business": "bus", "science": "sci", "financial": "fin", "operations": "ops",
+    "computer": "comp", "computing": "comp", "engineering": "eng", "mathematical": "math", "production": "prod", "transportation": "transpo", "material": "matrl", "moving": "mov", "construction": "constr", "extraction": "extr", "installation": "instl",
+    "maintenance": "maint", "repair": "repr", "service": "srvc", "services": "srvc", "professional": "prof", "protective": "prot", "education": "edu", "educational": "edu", "training": "trn", "library": "lib", "healthcare": "hlth", "health": "hlth",
+    "support": "supp", "practitioner": "pract", "practitioners": "pract", "technical": "tech", "architecture": "arch", "community": "comm", "social": "soc", "legal": "law", "building": "bldg", "grounds": "grnds", "cleaning": "cln", "preparation": "prep",
+    "serving": "srvg", "related": "rel", "personal": "pers", "sales": "sls", "office": "ofc", "administrative": "admin", "natural": "nat", "resources": "rsrc", "farming": "farm", "fishing": "fish", "forestry": "frst", "workers": "wrkrs", "worker": "wrkr",
+    "physical": "phys", "housing": "hous", "household": "hh", "households": "hh", "owner": "own", "renter": "rnt", "occupied": "occ", "vacant": "vac", "tenure": "tnr", "mortgage": "mtg", "rent": "rnt", "rooms": "rms", "room": "rm", "bedrooms": "bdrms",
+    "bedroom": "bdrm", "vehicles": "veh", "vehicle": "veh", "available": "avail", "selected": "sel", "conditions": "cond", "monthly": "mo", "costs": "cst", "value": "val", "structure": "struc", "structures": "struc", "built": "blt", "heating": "heat",
+    "utility": "util", "telephone": "tel", "plumbing": "plmb", "kitchen": "ktchn", "facilities": "fac", "internet": "inet", "subscription": "sub", "subscriptions": "sub", "broadband": "bband", "device": "dev", "devices": "dev", "type": "typ",
+    "commuting": "cmtg", "means": "", "drove": "drv", "carpooled": "crpl", "public": "pub", "transit": "trns", "walked": "wlk", "bicycle": "bike", "taxicab": "taxi", "motorcycle": "moto", "worked": "wrkd", "home": "hm", "travel": "trvl", "time": "tm",
+    "departure": "dep", "minutes": "min", "arrival": "arr", "including": "incl", "excluding": "excl", "without": "wo", "with": "w", "children": "chld", "families": "fam", "family": "fam", "people": "ppl", "persons": "prsn", "level": "lvl", "status": "stat",
+    "attainment": "attn", "insurance": "ins", "coverage": "cov", "disability": "disab", "language": "lang", "spoken": "spkn", "english": "eng", "ability": "abil", "speak": "spk", "graduate": "grad", "degree": "deg", "school": "schl", "college": "clg",
+    "enrolled": "enrl", "earlier": "elr", "later": "ltr", "other": "oth", "two": "2",
 }
 
 

@@ -32,8 +32,9 @@ def drop_small_components(edges: DataFrame, least: int = 75) -> DataFrame:
 
 
 def last_edge_wins(edges: DataFrame) -> DataFrame:
-    """One edge for each (u, v): the one with the greatest key."""
-    return edges.withColumn("_rn", F.row_number().over(Window.partitionBy("u", "v").orderBy(F.desc("key")))).where("_rn = 1").drop("_rn")
+    """One edge for each (u, v): the one with the greatest key; of repeated keys, the one with the greatest other values."""
+    rest = [F.desc(c) for c, k in edges.dtypes if c not in ("u", "v", "key") and "map" not in k]
+    return edges.withColumn("_rn", F.row_number().over(Window.partitionBy("u", "v").orderBy(F.desc("key"), *rest))).where("_rn = 1").drop("_rn")
 
 
 def with_endpoints(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -42,9 +43,9 @@ def with_endpoints(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def graph_union(base: DataFrame, extra: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows of both; where both have a key the base's row stays."""
+    """Rows of both; where both have a key the base's row stays, of one side's rows the one with the least other values."""
     both = base.withColumn("_p", F.lit(0)).unionByName(extra.withColumn("_p", F.lit(1)), allowMissingColumns=True)
-    return both.withColumn("_rn", F.row_number().over(Window.partitionBy(*key).orderBy("_p"))).where("_rn = 1").drop("_p", "_rn")
+    return both.withColumn("_rn", F.row_number().over(Window.partitionBy(*key).orderBy("_p", *[c for c, k in both.dtypes if c not in (*key, "_p") and "map" not in k]))).where("_rn = 1").drop("_p", "_rn")
 
 
 def node_tags(edges: DataFrame, nodes: DataFrame) -> DataFrame:

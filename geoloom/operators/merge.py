@@ -82,12 +82,13 @@ def scd2_merge(target: DataFrame, staged: DataFrame, key: Sequence[str], as_of:
     bad = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
     batch = staged.withColumn("record_hash", F.when(bad, F.raise_error(F.lit("null in an entity key"))).otherwise(record_hash(staged, [*key, *exclude])))
     batch = batch.dropDuplicates([*key, "record_hash"])
-    # per key: the hashes of the batch. One aggregation decides what closes.
-    hashes = batch.groupBy(*key).agg(F.collect_set("record_hash").alias("_hashes"))
-    met = target.join(hashes, list(key), "left")
-    changed = F.col("_hashes").isNotNull() & (F.size("_hashes") > F.when(F.array_contains("_hashes", F.col("record_hash")), 1).otherwise(0))
+    # of a key only the number of its hashes travels; whether a row's own hash is among them is asked by (key, hash)
+    counts = batch.groupBy(*key).agg(F.count(F.lit(1)).alias("_values"))
+    own = batch.select(*key, "record_hash", F.lit(1).alias("_own"))
+    met = target.join(counts, list(key), "left").join(own, [*key, "record_hash"], "left")
+    changed = F.col("_values").isNotNull() & (F.col("_values") > F.coalesce("_own", F.lit(0)))
     if invalidate_missing:
-        changed = changed | F.col("_hashes").isNull()
+        changed = changed | F.col("_values").isNull()
     closed = met.withColumn("valid_to", F.when(F.col("valid_to").isNull() & changed, at).otherwise(F.col("valid_to"))).select(*target.columns)
     known = closed.where("valid_to is null") if reopen_reverted else target
     fresh = batch.join(known.select(*key, "record_hash"), [*key, "record_hash"], "left_anti")
@@ -138,9 +139,3 @@ def conform(parts: Sequence[DataFrame], catalog: dict[str, str], ingested_at: st
     whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     cast = [(F.col(c).try_cast(t) if c in whole.columns else F.lit(None).cast(t)).alias(c) for c, t in catalog.items()]
     return whole.select(*cast, F.lit(ingested_at).cast("timestamp").alias("ingested_at"))
-
-
-def schema_drift(spark, source: dict[str, str], target: dict[str, str], ignore: Sequence[str] = ()) -> DataFrame:
-    """column_name and what happened to it: new (an error for callers) or missing (a warning)."""
-    rows = [(c, "new") for c in source if c not in target and c not in ignore] + [(c, "missing") for c in target if c not in source and c not in ignore]
-    return spark.createDataFrame(sorted(rows), "column_name string, change string")
