@@ -17,6 +17,7 @@ from geoloom.llm.near_dedup import near_dedup
 from geoloom.llm.packing import pack
 from geoloom.llm.substring_dedup import remove_repeats
 from geoloom.llm.toxicity import fit, toxicity
+from geoloom.operators.order import numbered
 from geoloom.session import ship_package, stage
 
 
@@ -68,13 +69,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     many = _repeated(docs)
     docs, row = _numbered(docs, many)
     if not many.isEmpty():
-        most = docs.agg(F.max(F.col("doc_id").cast("long"))).first()[0] or 0
-        late = F.lit(max(most, 0) + 1) + F.col(row)
-        plain = many.where("many is not null").select(F.col("many").alias("doc_id"))
-        own = docs.where("doc_id is not null").join(plain, "doc_id", "left_anti").select(F.col(row).alias("num"), F.col("doc_id").cast("long").alias("of"))
-        other = docs.where("doc_id is null").select(row, late.alias("of")).union(docs.join(plain, "doc_id", "left_semi").select(row, late.alias("of")))
-        ids = stage(own.union(other))
-        docs = stage(docs.join(ids, docs[row] == ids.num).select(*[docs[c] for c in docs.columns if c != row], ids.of.alias(row)))
+        # places in the order of ids, not sums of ids: they fit whatever the ids are
+        docs = docs.withColumnRenamed(row, _free(docs, "was"))
+        was = docs.columns[-1]
+        plain = many.where("many is not null")
+        ids = docs.select(F.col("doc_id").cast("long").alias("of"), F.col(was).alias("num"))
+        late = F.col("of").isNull() | F.col("many").isNotNull()
+        ids = ids.join(plain.select(F.col("many").cast("long").alias("many")), F.col("of") == F.col("many"), "left").select("num", late.alias("late"), "of")
+        ids = stage(numbered(ids, ["late", F.col("of").asc_nulls_last(), "num"]).select("num", "at"))
+        docs = stage(docs.join(ids, docs[was] == ids.num).select(*[docs[c] for c in docs.columns if c != was], ids["at"].alias(row)))
     decided = near_dedup(docs.select(F.col(row).alias("doc_id"), "text"))
     return _without(docs, row, decided.where("not kept").select(F.col("doc_id").alias("num")))
 
