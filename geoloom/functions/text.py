@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -83,3 +85,10 @@ def json_text(s: Column) -> Column:
     """Literal-style maps ({'a': None}) as JSON text; other text as it is."""
     words = F.regexp_replace(F.regexp_replace(F.regexp_replace(s, r"\bNone\b", "null"), r"\bTrue\b", "true"), r"\bFalse\b", "false")
     return F.when(s.startswith("{"), F.regexp_replace(words, "'", '"')).otherwise(s)
+
+
+def standard_name(name: str) -> str:
+    """A column name of lower-case letters, digits and single underscores, not beginning with a digit."""
+    words = re.findall(r"[a-z0-9]+", re.sub(r"(?<=[a-z0-9])(?=[A-Z])", " ", name).lower())
+    plain = "_".join(words) or "column"
+    return f"_{plain}" if plain[0].isdigit() else plain

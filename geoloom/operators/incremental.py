@@ -27,6 +27,26 @@ def pair_mark(df: DataFrame, column: str, id_column: str) -> DataFrame:
     return top.select(F.col("m.v").alias("mark_value"), F.col("m.i").alias("mark_id"), F.concat_ws("|", "m.v", F.col("m.i").cast("string")).alias("mark"))
 
 
+def parse_mark(mark: str | None, override: str | None = None) -> tuple[str, int] | None:
+    """(value, id) of a stored 'value|id'. An ``override`` goes first; an empty one, like no mark at all, means a full load.
+
+    A mark without an id, as older runs left it, resumes behind all ids of its value.
+    """
+    text = mark if override is None else override
+    if not text:
+        return None
+    value, bar, number = text.rpartition("|")
+    return (value, int(number)) if bar else (text, 2**63 - 1)
+
+
+def resume(df: DataFrame, column: str, id_column: str, mark: str | None, override: str | None = None, also: str | None = None) -> DataFrame:
+    """The rows of the next load: those past the mark, or all of them for a full load, in the order of marks."""
+    at = parse_mark(mark, override)
+    if at is None:
+        return (df.where(also) if also else df).orderBy(column, id_column)
+    return incremental_filter(df, column, id_column, *at, also)
+
+
 def high_water(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.coalesce(F.max(column), F.lit(0)).alias("high_water"))
 
@@ -37,7 +57,8 @@ def skip_seen(df: DataFrame, column: str, mark: str) -> DataFrame:
 
 
 def pending(work: DataFrame, done: DataFrame, key: list[str], fresh_since: str | None = None, force: bool = False) -> DataFrame:
-    """Work units that no (fresh) load covers yet; all of them when forced."""
+    """Work units that no (fresh) load covers yet; all of them when forced. ``key`` is whatever names a unit: vintage and state,
+    a region, a tile. A unit with a null in its key is always pending."""
     if force:
         return work
     if fresh_since:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoloom.functions.text import canonical_text, sanitize
+from geoloom.functions.text import canonical_text, sanitize, standard_name
 
 SCD2 = ("record_hash", "valid_from", "valid_to")
 
@@ -128,10 +128,11 @@ def sanitize_text(df: DataFrame) -> DataFrame:
     return df.select(*[(sanitize(F.col(c)).alias(c) if t == "string" else F.col(c)) for c, t in df.dtypes])
 
 
-def staging_select(df: DataFrame, names: dict[str, str], keep: Sequence[str] = ()) -> DataFrame:
-    """Current rows, with columns renamed by map and some passed through."""
+def staging_select(df: DataFrame, names: dict[str, str], keep: Sequence[str] = (), rest: bool = False) -> DataFrame:
+    """Current rows, with columns renamed by map and some passed through. ``rest``: the others come too, under standard names."""
     df = current(df) if "valid_to" in df.columns else df
-    return df.select(*[F.col(a).alias(b) for a, b in names.items()], *keep)
+    others = [F.col(f"`{c}`").alias(standard_name(c)) for c in df.columns if rest and c not in names and c not in keep]
+    return df.select(*[F.col(f"`{a}`").alias(b) for a, b in names.items()], *keep, *others)
 
 
 def conform(parts: Sequence[DataFrame], catalog: dict[str, str], ingested_at: str) -> DataFrame:

@@ -328,6 +328,18 @@ SQL = {
       select distinct variable, label, concept from v where k in (0, 1) and not untyped""",
     "label_compress": LABEL_SQL,
     "header_array_rows": "select p_partkey, cast(i as bigint) as pos, p_brand as name, cast(p_size + i as integer) as b1 from (select *, unnest(range(0, p_partkey % 3 + 1)) as i from part where p_partkey % 11 <> 0)",
+    "geojson_features": f"""with {_C} select concat('{{"type":"Feature","geometry":{{"type":"Point","coordinates":[', round(px, 6), ',', round(py, 6), ']}},"properties":{{"crash_record_id":', crash_record_id, ',"severity":', severity,
+      ',"weight":', case when crash_record_id % 50 = 3 then 'null' else cast(severity * 0.5::double as varchar) end, ',"crash_date":"', crash_date, '"}}}}') as feature from crashes where crash_record_id % 100 <> 7""",
+    "simplify_lines": f"""with recursive {_N}, p as (select row, col as i, x, y + (osmid % 7) * 0.00002::double as y from nodes), seg(row, a, b) as (
+        select row, min(i), max(i) from p group by row
+        union all
+        select row, unnest([a, m]), unnest([m, b]) from (
+          select row, a, b, i as m, far, row_number() over (partition by row, a, b order by far desc, i) as k from (
+            select s.row, s.a, s.b, p.i, sqrt(pow(p.x - q.x - t * (z.x - q.x), 2) + pow(p.y - q.y - t * (z.y - q.y), 2)) as far
+            from seg s join p on p.row = s.row and p.i > s.a and p.i < s.b join p q on q.row = s.row and q.i = s.a join p z on z.row = s.row and z.i = s.b,
+              lateral (select greatest(0.0::double, least(1.0::double, ((p.x - q.x) * (z.x - q.x) + (p.y - q.y) * (z.y - q.y)) / (pow(z.x - q.x, 2) + pow(z.y - q.y, 2)))) as t))) where k = 1 and far > 0.00005::double
+      ), kept as (select distinct row, unnest([a, b]) as i from seg)
+      select cast(row as varchar) as row, count(*)::integer as vertices, round(arg_min(x, i), 6) as x0, round(arg_max(x, i), 6) as x1 from kept join p using (row, i) group by row""",
     "feature_collection": f"""with {_C} select crash_record_id, severity, case when crash_record_id % 50 = 3 then null else severity * 0.5::double end as weight, 'Point' as gtype, true as is_valid, round(px, 6) as px, round(py, 6) as py from crashes where crash_record_id % 100 <> 7""",
     "feature_promotion": """select p_partkey, case p_partkey % 5 when 0 then 'MultiPoint' when 1 then 'MultiLineString' when 2 then 'MultiPoint' end as gtype, case p_partkey % 5 when 0 then '[[0,0]]' when 1 then '[[[0,0],[1,1]]]' when 2 then '[[0,0]]' end as coordinates from part""",
     "osm_node_rows": f"""with {_N} select osmid as osm_id, case when highway is null then concat('{{"layer":"', layer, '"}}') else concat('{{"highway":"', highway, '","layer":"', layer, '"}}') end as tags,

@@ -100,6 +100,30 @@ def run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(I.LOG).parquet(log).select("source", "unit", "status", "rows_staged", "rows_merged", F.col("high_water_mark").alias("counters"))
 
 
+def resumed_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stored mark, an override and an empty override load, in rows and ids."""
+    e = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    mark = I.pair_mark(e.where("event_id % 1000 = 0"), "ts", "event_id").first()["mark"]
+    loads = {"stored": I.resume(e, "ts", "event_id", mark), "override": I.resume(e, "ts", "event_id", mark, "2024-01-15T00:00:00.000000|7", "event_type <> 'view'"), "full": I.resume(e, "ts", "event_id", mark, ""), "first": I.resume(e, "ts", "event_id", None)}
+    out = None
+    for name, rows in loads.items():
+        one = rows.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("event_id"), F.lit(0)).alias("ids")).select(F.lit(name).alias("load"), "n", "ids")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def pending_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units of work of four shapes that no load covers: vintage and state, region, tile with freshness, and forced."""
+    o = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("vintage"), F.col("o_orderpriority").alias("state"), (F.col("o_custkey") % 40).alias("region"), (F.col("o_orderkey") % 300).alias("tile"), F.col("o_orderdate").alias("ingested_at"), "o_orderkey")
+    done = o.where("o_orderkey % 8 = 3")
+    unit = lambda key: o.select(*key).distinct()
+    text = lambda df, shape, key: df.select(F.lit(shape).alias("shape"), F.concat_ws("/", *[F.col(k).cast("string") for k in key]).alias("unit"))
+    out = text(I.pending(unit(["vintage", "state"]), done.where("o_orderkey % 64 = 3"), ["vintage", "state"]), "vintage/state", ["vintage", "state"])
+    out = out.unionByName(text(I.pending(unit(["region"]), done.where("region % 3 = 0"), ["region"]), "region", ["region"]))
+    out = out.unionByName(text(I.pending(unit(["tile"]), done, ["tile"], "1997-01-01"), "tile", ["tile"]))
+    return out.unionByName(text(I.pending(unit(["region"]), done, ["region"], force=True), "forced", ["region"]))
+
+
 # -- catalogues ------------------------------------------------------------------------------------------------------
 
 _PORTAL = {"id": ("portal", "number"), "price": ("portal", "money"), "sold": ("portal", "checkbox"), "on_date": ("shape", "date:10"), "at_time": ("shape", "time"), "size": ("shape", "int32:9"), "total": ("census", "int"), "place": ("portal", "point"), "other": ("portal", "no such type")}
@@ -213,7 +237,7 @@ def delivered_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key")).withColumn("total", F.lit(total if total == again else -1).cast("long"))
 
 
-QUERIES = (stream_upsert, stream_scd2, feature_rows, feature_failures, feature_unknown, run_counters, catalog_cast, conform_key, edge_tags, schema_drift, geojson_layers, built_cache, delivered_batches)
+QUERIES = (stream_upsert, stream_scd2, feature_rows, feature_failures, feature_unknown, run_counters, resumed_loads, pending_units, catalog_cast, conform_key, edge_tags, schema_drift, geojson_layers, built_cache, delivered_batches)
 
 _BAD = "case when event_id % 40 = 9 then 'not a feature' when event_id % 40 = 3 then 'no geometry' when event_id % 40 = 5 then 'unknown geometry' when event_id % 40 = 7 then 'bad coordinates' end"
 _TAGGED = {"name": "name", "maxspeed": "maxspeed", "surface": "surface", "lit": "lit", "bridge": "bridge", "bicycle": "bicycle", "cyclestreet": "cyclestreet", "cycleway_left": "cycleway_left", "cycleway_right_buffer": "cycleway_right_buffer", "highway": "highway", "oneway": "coalesce(oneway = 'yes', false)", "width": "case when u % 3 = 1 then '2.5' end"}
@@ -229,6 +253,15 @@ SQL = {
       ), g as (select id, kind, id % 3 = 0 as there, id % 3 = 0 and id % 2 = 0 as changed from f where ok)
       select 'crashes' as source, 'all' as unit, 'success' as status, count(*) as rows_staged, count(*) filter (where not there or changed) as rows_merged,
         concat('parsed=', count(*), '|failed=', (select count(*) from f where not ok), '|invalidated=', count(*) filter (where changed)) as counters from g""",
+    "resumed_loads": """with m as (select ts, event_id from events where event_id % 1000 = 0 order by ts desc, event_id desc limit 1)
+      select 'stored' as load, count(*) as n, coalesce(sum(e.event_id), 0)::bigint as ids from events e, m where e.ts > m.ts or (e.ts = m.ts and e.event_id > m.event_id)
+      union all select 'override', count(*), coalesce(sum(event_id), 0)::bigint from events where event_type <> 'view' and (ts > timestamp '2024-01-15' or (ts = timestamp '2024-01-15' and event_id > 7))
+      union all select 'full', count(*), sum(event_id)::bigint from events union all select 'first', count(*), sum(event_id)::bigint from events""",
+    "pending_units": """with o as (select year(o_orderdate) as vintage, o_orderpriority as state, o_custkey % 40 as region, o_orderkey % 300 as tile, o_orderdate, o_orderkey from orders), d as (select * from o where o_orderkey % 8 = 3)
+      select 'vintage/state' as shape, concat(vintage, '/', state) as unit from (select distinct vintage, state from o) where (vintage, state) not in (select (vintage, state) from d where o_orderkey % 64 = 3)
+      union all select 'region', region::varchar from (select distinct region from o) where region not in (select region from d where region % 3 = 0)
+      union all select 'tile', tile::varchar from (select distinct tile from o) where tile not in (select tile from d where o_orderdate >= date '1997-01-01')
+      union all select 'forced', region::varchar from (select distinct region from o)""",
     "catalog_cast": """select p_partkey as id, case when p_partkey % 7 <> 0 then p_partkey + 0.5::double end as price, case when p_partkey % 5 <> 0 then p_partkey % 2 = 0 end as sold, case when p_partkey % 11 <> 0 then '2024-02-03' end as on_date,
       case when p_partkey % 13 <> 0 then '07:30:00' end as at_time, case when p_partkey % 17 <> 0 then p_size::integer end as size, case when p_partkey % 3 <> 0 then p_partkey * 2 end as total, '{"type":"Point"}' as place, p_brand as other,
       array_to_string([x for x in [case when p_partkey % 7 = 0 then 'price=n/a' end, case when p_partkey % 5 = 0 then 'sold=maybe' end, case when p_partkey % 11 = 0 then 'on_date=2024-13-01' end, case when p_partkey % 13 = 0 then 'at_time=25:00:00' end, case when p_partkey % 17 = 0 then 'size=99999999999' end] if x is not null], ';') as rejects from part""",

@@ -184,3 +184,18 @@ def test_counters_ride_along(spark, tmp_path):
 def test_places_over_partitions(spark):
     got = numbered(spark.range(100).repartition(5).withColumn("w", F.col("id") * 2), ["id"], "w").collect()
     assert all(r["at"] == r["id"] and r["before_w"] == r["id"] * (r["id"] - 1) for r in got) and len(got) == 100
+
+
+def test_marks(spark):
+    assert incremental.parse_mark("2024-01-01T00:00:00.000000|12") == ("2024-01-01T00:00:00.000000", 12)
+    assert incremental.parse_mark("a|b|3") == ("a|b", 3) and incremental.parse_mark("2024")[0] == "2024"
+    assert incremental.parse_mark(None) is None and incremental.parse_mark("") is None and incremental.parse_mark("x|1", "") is None and incremental.parse_mark("x|1", "y|2") == ("y", 2)
+
+
+def test_standard_names(spark):
+    from geoloom.functions.text import standard_name
+    from geoloom.operators.merge import staging_select
+
+    assert [standard_name(x) for x in ("Total Pop.", "geoIDfq", "2020 Count", "a__b", "%", ":id")] == ["total_pop", "geo_idfq", "_2020_count", "a_b", "column", "id"]
+    df = spark.createDataFrame([(1, 2, 3)], "`Total Pop.` int, keep int, `2020 Count` int")
+    assert staging_select(df, {"Total Pop.": "pop"}, ["keep"], rest=True).columns == ["pop", "keep", "_2020_count"]
