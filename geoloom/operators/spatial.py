@@ -93,25 +93,45 @@ def near_pairs(nodes: DataFrame, metres: float, mean_latitude: float, key: str =
 
 
 def nearest_node(points: DataFrame, nodes: DataFrame, key: str, cell: float = CELL) -> DataFrame:
-    """Each point's nearest node (ties to the smaller id): rings of cells double until a node is sure to be the nearest.
+    """Each point's nearest node (ties to the smaller id).
 
-    points: key, px, py. nodes: osmid, x, y. The rings end at the extent of both tables, so every located point gets a row
-    if there is a node; points without coordinates get none.
+    points: key, px, py. nodes: osmid, x, y. Points with a node within a cell's width find it among the neighbour cells.
+    The others go down a pyramid of the cells that hold nodes: at each level a point keeps the cells that can be nearer
+    than the farthest corner of its best one, so a far point meets a few cells of each size, never all nodes. Every
+    located point gets a row if there is a node; points without coordinates get none.
     """
-    left, found, reach = points.select(key, "px", "py").where("px is not null and py is not null"), None, 1
+    left = points.select(key, "px", "py").where("px is not null and py is not null")
     n = nodes.select("osmid", F.col("x").alias("nx"), F.col("y").alias("ny")).where("nx is not null and ny is not null")
-    both = left.select(F.col("px").alias("x"), F.col("py").alias("y")).union(n.select("nx", "ny")).agg(F.max("x") - F.min("x"), F.max("y") - F.min("y")).first()
-    extent = (both[0] or 0.0) + (both[1] or 0.0)
+    n = stage(n.withColumns({"cx": cell_of(F.col("nx"), cell), "cy": cell_of(F.col("ny"), cell)}))
+    distance = F.round(F.sqrt(F.pow(F.col("px") - F.col("nx"), 2) + F.pow(F.col("py") - F.col("ny"), 2)), 9)
+
+    def nearest(met: DataFrame) -> DataFrame:
+        best = met.groupBy(key).agg(F.min(F.struct(distance.alias("distance"), F.col("osmid"))).alias("b"))
+        return best.select(key, "b.osmid", "b.distance")
+
+    around = left.withColumns({"cx": cell_of(F.col("px"), cell), "cy": cell_of(F.col("py"), cell)})
+    around = around.withColumn("cx", F.explode(F.array(*[F.col("cx") + d for d in (-1, 0, 1)]))).withColumn("cy", F.explode(F.array(*[F.col("cy") + d for d in (-1, 0, 1)])))
+    found = stage(nearest(around.join(n, ["cx", "cy"])).where(F.col("distance") <= cell))
+    left = stage(left.join(found.select(key), key, "left_anti"))
+    if left.isEmpty():
+        return found
+
+    box = n.agg(F.min("cx").alias("x0"), F.max("cx").alias("x1"), F.min("cy").alias("y0"), F.max("cy").alias("y1")).first()
+    if box["x0"] is None:
+        return found
+    level = max(box["x1"] - box["x0"], box["y1"] - box["y0"]).bit_length()  # here all nodes lie in four cells at most
+    at = lambda up: n.select(F.shiftright("cx", up).alias("cx"), F.shiftright("cy", up).alias("cy")).distinct()
+    open_ = left.join(F.broadcast(at(level)))  # by at most four cells
     while True:
-        wide = cell * reach
-        p = left.withColumns({"cx": cell_of(F.col("px"), wide), "cy": cell_of(F.col("py"), wide)})
-        p = p.withColumn("cx", F.explode(F.array(*[F.col("cx") + d for d in (-1, 0, 1)]))).withColumn("cy", F.explode(F.array(*[F.col("cy") + d for d in (-1, 0, 1)])))
-        met = p.join(n.withColumns({"cx": cell_of(F.col("nx"), wide), "cy": cell_of(F.col("ny"), wide)}), ["cx", "cy"])
-        gap = F.round(F.sqrt(F.pow(F.col("px") - F.col("nx"), 2) + F.pow(F.col("py") - F.col("ny"), 2)), 9)
-        best = met.groupBy(key).agg(F.min(F.struct(gap.alias("distance"), F.col("osmid"))).alias("b")).select(key, "b.osmid", "b.distance")
-        best = stage(best.where(F.col("distance") <= wide))
-        found = best if found is None else found.unionByName(best)
-        left = left.join(best.select(key), key, "left_anti")
-        if wide > extent or left.isEmpty():
-            return found
-        reach *= 2
+        wide = cell * 2**level
+        near = lambda p, c: F.greatest(F.col(c) * wide - F.col(p), F.col(p) - (F.col(c) + 1) * wide, F.lit(0.0))
+        far = lambda p, c: F.greatest(F.abs(F.col(c) * wide - F.col(p)), F.abs((F.col(c) + 1) * wide - F.col(p)))
+        size = lambda f: F.sqrt(F.pow(f("px", "cx"), 2) + F.pow(f("py", "cy"), 2))
+        ranged = open_.withColumns({"low": size(near), "high": size(far)})
+        bound = ranged.groupBy(key).agg(F.min("high").alias("bound"))
+        open_ = stage(ranged.join(bound, key).where(F.col("low") <= F.col("bound") + 2e-9).select(key, "px", "py", "cx", "cy"))
+        if not level:
+            return found.unionByName(nearest(open_.join(n, ["cx", "cy"])))
+        level -= 1
+        below = lambda c: F.explode(F.array(F.col(c) * 2, F.col(c) * 2 + 1))
+        open_ = open_.withColumn("cx", below("cx")).withColumn("cy", below("cy")).join(at(level), ["cx", "cy"])

@@ -347,3 +347,18 @@ def test_nearest_node_far_away(spark):
     nodes = spark.createDataFrame([(1, 0.0, 0.0), (2, 0.1, 0.0)], "osmid long, x double, y double")
     points = spark.createDataFrame([(7, 60.0, 10.0), (8, 0.09, 0.0), (9, None, 1.0)], "id long, px double, py double")
     assert {r["id"]: r["osmid"] for r in nearest_node(points, nodes, "id").collect()} == {7: 2, 8: 2}
+
+
+def test_nearest_nodes_of_far_points(spark):
+    """Clustered nodes, points in, around and very far from them: nobody meets all nodes, all get the nearest."""
+    import random
+
+    from geoloom.operators.spatial import nearest_node
+
+    rng = random.Random(8)
+    nodes = [(i, round(rng.choice([-88.0, -87.5, 3.0]) + rng.random() * 0.02, 6), round(41.8 + rng.random() * 0.02, 6)) for i in range(300)] + [(900, None, 1.0)]
+    points = [(i, round(rng.uniform(-89, 5), 5), round(rng.uniform(40, 44), 5)) for i in range(60)] + [(100, -5000.0, 70.0), (101, 400.0, -4000.0), (102, nodes[5][1], nodes[5][2]), (103, None, 2.0)]
+    got = {r["k"]: (r["distance"], r["osmid"]) for r in nearest_node(spark.createDataFrame(points, "k int, px double, py double"), spark.createDataFrame(nodes, "osmid int, x double, y double"), "k").collect()}
+    want = {k: min((round(math.sqrt((x - a) ** 2 + (y - b) ** 2), 9), i) for i, a, b in nodes if a is not None) for k, x, y in points if x is not None}
+    assert got.keys() == want.keys() and all(got[k][1] == want[k][1] and abs(got[k][0] - want[k][0]) < 1e-8 for k in want)
+    assert nearest_node(spark.createDataFrame(points, "k int, px double, py double"), spark.createDataFrame([], "osmid int, x double, y double"), "k").count() == 0
