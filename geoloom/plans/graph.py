@@ -223,6 +223,12 @@ def export_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edges.select("u", "v", *[F.round(c, 6).alias(c) for c in ("u_x", "u_y", "v_x", "v_y", "length_m")], "highway")
 
 
+def export_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nodes that exported edges use."""
+    _, nodes = X.routing_tables(_edges(spark, sf_dir), L.nodes(spark, sf_dir))
+    return nodes.select("osmid", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"), "highway")
+
+
 def route_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a request log with every tenth line twice: landed as JSON, streamed, deduplicated, read back."""
     base = f"{shared_dir(spark).rstrip('/')}/log-{uuid.uuid4().hex}"
@@ -259,7 +265,7 @@ select variable, array_to_string([x for x in [concept, label] if x <> ''], '__')
 
 QUERIES = (
     components, component_filter, last_edge_wins, edge_endpoints, graph_union, merge_map, contracted_edges, turn_penalties, route_batch, route_shape, route_checks, variables, label_compress, header_array_rows, geojson_features,
-    feature_collection, feature_promotion, osm_node_rows, ways, relations, bike_flatten, csv_nulls, wkb_decode, simplify_lines, export_edges, route_log_stream,
+    feature_collection, feature_promotion, osm_node_rows, ways, relations, bike_flatten, csv_nulls, wkb_decode, simplify_lines, export_edges, export_nodes, route_log_stream,
 )
 
 _COMP = """und as (select distinct u as a, v as b from edges union select distinct v, u from edges), reach as (
@@ -355,5 +361,7 @@ SQL = {
     "csv_nulls": """select cast(c_custkey as varchar) as c_custkey, md5(concat(c_name, ', "x"', chr(10), ' ', c_mktsegment)) as note_md5, case when c_custkey % 3 <> 0 then concat(' ', c_mktsegment) end as segment from customer""",
     "wkb_decode": f"with {_N}, {_E} select concat_ws('-', u, v, key) as id, 'LineString' as gtype, 4326 as srid, round(x0, 6) as x0, round(y0, 6) as y0, round(x1, 6) as x1, round(y1, 6) as y1 from edges",
     "export_edges": f"""with recursive {_N}, {_E}, {_ONE}, {_COMP} select u, v, round(x0, 6) as u_x, round(y0, 6) as u_y, round(x1, 6) as v_x, round(y1, 6) as v_y, round(length_m, 6) as length_m, highway from one where u in (select node from sized where size >= 75)""",
+    "export_nodes": f"""with recursive {_N}, {_E}, {_ONE}, {_COMP} select osmid, round(x, 6) as x, round(y, 6) as y, highway from nodes
+      where osmid in (select unnest([u, v]) from one where u in (select node from sized where size >= 75))""",
     "route_log_stream": """select cast(event_id as varchar) as request_id, ts as server_timestamp, concat('10.0.0.', user_id % 250) as source_ip, props as client_payload from events where ts >= timestamp '2024-01-01'""",
 }

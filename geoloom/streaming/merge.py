@@ -39,6 +39,7 @@ class VersionedTable:
         """The table, or some of its buckets, as of the newest batch (before ``before``)."""
         newest = self.versions(before)
         paths = [f"{self.path}/data/version={v}/bucket={b}" for b, v in sorted(newest.items()) if buckets is None or b in buckets]
+        paths = [p for p in paths if self._exists(p)]  # a bucket that a merge emptied has no folder
         if not paths:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*paths)

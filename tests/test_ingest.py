@@ -64,6 +64,15 @@ def test_only_touched_buckets_are_written(spark, tmp_path):
     assert t.read().count() == 100
 
 
+def test_a_merge_may_empty_a_bucket(spark, tmp_path):
+    t = table(spark, tmp_path)
+    t.merge(spark.createDataFrame([(1, "a", 1), (2, "b", 1)], ROWS), 0, merge.newest(["k"], "at"))
+    t.merge(spark.createDataFrame([(1, "gone", 2)], ROWS), 1, lambda old, batch: old.join(batch, "k", "left_anti"))
+    assert [tuple(r) for r in t.read().collect()] == [(2, "b", 1)]
+    t.merge(spark.createDataFrame([(1, "back", 3)], ROWS), 2, merge.newest(["k"], "at"))
+    assert sorted(tuple(r) for r in t.read().collect()) == [(1, "back", 3), (2, "b", 1)]
+
+
 def test_stream_merges_every_file_once(spark, tmp_path):
     for i in range(5):
         spark.createDataFrame([(k, f"v{i}", 10 - i) for k in range(i, 20)], ROWS).coalesce(1).write.mode("append").json(str(tmp_path / "in"))
