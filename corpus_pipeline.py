@@ -48,7 +48,11 @@ def _without(docs: DataFrame, row: str, gone: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model rejects go. The model learns from labelled documents among ``docs``."""
+    """Documents that the toxicity model rejects go. The model learns from labelled documents among ``docs``.
+
+    A null or empty text has a score like any other. Rows that repeat an id, or have none, are decided one by
+    one. Other columns come back as they were, whatever their names; an empty table stays empty.
+    """
     ship_package(spark)
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     docs, row = _numbered(docs, _repeated(docs))
@@ -83,7 +87,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 50 words and more that an earlier document has go; untouched texts stay as they are."""
+    """Passages of 50 words and more that a document with a smaller id has go; untouched texts stay as they are.
+
+    A null text has no words and stays null. Rows that repeat an id and a text are cut alike. A cut text has its words
+    joined by one space, and n_chars follows it; other columns come back as they were. An empty table stays empty.
+    """
     ship_package(spark)
     cut = remove_repeats(docs).where("n_removed > 0").select(F.col("doc_id").alias("cut_id"), F.col("mark").alias("cut_mark"), F.col("kept_text").alias("cut_text"))
     cut = stage(cut.dropDuplicates(["cut_id", "cut_mark"]))
@@ -97,7 +105,10 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of what is left."""
+    """Token sequences of what is left: rows as :func:`geoloom.llm.packing.pack` gives them, not documents.
+
+    A null text is packed as an empty one. Rows that repeat an id are packed one by one; an empty table gives no rows.
+    """
     ship_package(spark)
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
