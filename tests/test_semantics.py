@@ -362,3 +362,41 @@ def test_nearest_nodes_of_far_points(spark):
     want = {k: min((round(math.sqrt((x - a) ** 2 + (y - b) ** 2), 9), i) for i, a, b in nodes if a is not None) for k, x, y in points if x is not None}
     assert got.keys() == want.keys() and all(got[k][1] == want[k][1] and abs(got[k][0] - want[k][0]) < 1e-8 for k in want)
     assert nearest_node(spark.createDataFrame(points, "k int, px double, py double"), spark.createDataFrame([], "osmid int, x double, y double"), "k").count() == 0
+
+
+def test_routes_on_one_way_streets(spark):
+    """A directed network without any order, in cells of five nodes: costs and paths against a search over states."""
+    import random
+
+    rng = random.Random(4)
+    nodes = [(i, rng.random(), rng.random()) for i in range(45)]
+    edges = {(u, v): round(rng.uniform(0, 40), 3) for u in range(40) for v in rng.sample(range(45), 3) if u != v}
+    rows = [(u, v, c, rng.choice(["primary", "residential", "path"])) for (u, v), c in edges.items()]
+    e = spark.createDataFrame(rows, "u int, v int, cost double, highway string")
+    n = spark.createDataFrame(nodes, "osmid int, x double, y double")
+    penalties = graph.turn_penalties(e, n)
+    p = {(r["a"], r["b"], r["c"]): r["penalty"] for r in penalties.collect()}
+
+    def least(o, d):
+        heap, done = [(0.0, o, -1)], set()
+        while heap:
+            c, x, prev = heapq.heappop(heap)
+            if x == d:
+                return c
+            if (x, prev) not in done:
+                done.add((x, prev))
+                for (u, v), w in edges.items():
+                    if u == x:
+                        heapq.heappush(heap, (c + w + (p[prev, x, v] if prev >= 0 else 0.0), v, x))
+        return None
+
+    asked = [(i, i * 7 % 45, i * 11 % 45) for i in range(45)] + [(50, 42, 3), (51, 3, 3), (52, 3, 10), (53, 3, 10), (54, None, 3)]
+    got = routing.route_batch(spark.createDataFrame(asked, "pair int, origin int, destination int"), e, penalties, n, 5).collect()
+    assert sorted(r["pair"] for r in got) == sorted(a[0] for a in asked)
+    for r in got:
+        want = None if r["origin"] is None else least(r["origin"], r["destination"])
+        assert (r["cost"] is None) == (want is None) == (r["path"] is None), r
+        if want is not None:
+            path = r["path"]
+            walk = sum(edges[s] for s in zip(path, path[1:])) + sum(p[t] for t in zip(path, path[1:], path[2:]))
+            assert path[0] == r["origin"] and path[-1] == r["destination"] and abs(r["cost"] - want) < 1e-6 and abs(walk - want) < 1e-6
