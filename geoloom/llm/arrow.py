@@ -131,3 +131,20 @@ def gram_hashes(h: np.ndarray, k: int) -> np.ndarray:
             part = part[: len(part) - size] + part[size:] * np.uint64(power)
             size, power = size * 2, power * power % 2**64
     return mix(out)
+
+
+def shingle_sets(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingle hashes of each text end to end, and the number in each text."""
+    words = Words(batch, lower=True)
+    h = words.hashes()
+    grams = gram_hashes(h, k)
+    out, sizes = [], np.zeros(words.rows, np.int64)
+    for i in range(words.rows):
+        a, b = words.first[i], words.first[i + 1]
+        if b == a:
+            continue
+        # fewer than k words: the whole sequence is the one shingle
+        s = np.unique(grams[a : b - k + 1]) if b - a >= k else gram_hashes(h[a:b], int(b - a)) + np.uint64(b - a)
+        out.append(s)
+        sizes[i] = len(s)
+    return (np.concatenate(out) if out else np.empty(0, np.uint64)), sizes

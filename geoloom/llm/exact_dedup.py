@@ -47,7 +47,7 @@ def exact_groups(docs: DataFrame, first_digit: int = 32, widen: int = 8) -> Data
             .where("group_size > 1")
             .withColumn("group", F.monotonically_increasing_id())
         )
-        keyed, groups, keys = spread(keyed, groups, ["gid", "digit", "ended"], "group_size", F.col("doc_id"))
+        keyed, groups, keys = spread(keyed, groups, ["gid", "digit", "ended"], "group_size")
         # a shuffle join at every size: the group table grows with the corpus
         split = keyed.join(groups.hint("merge"), keys)
         out = split.select(

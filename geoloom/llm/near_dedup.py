@@ -8,9 +8,7 @@ either side of a partition's edge meet in a second, small step.
 
 A tree can lose a pair only where it shares no minimum or where ``look`` rows stand between the two, all with their
 first minimum. Documents whose row at distance look still has their first minimum in ``CROWDED`` trees or more are
-therefore joined once more, across components, by their rarest shingles (a prefix filter): exactly where those are rare,
-which is the case for documents that share a template and differ in over a quarter of their shingles; and by a forest of
-their own, one tree for each shingle that leads them, where a crowd consists of variants of one text.
+therefore joined once more, across components: see :mod:`geoloom.llm.crowds`.
 
 Pairs are screened by their whole signatures, then confirmed on the full sets: first each document's best partner,
 then those pairs that are still in different components (a pair inside a component can't change it).
@@ -18,7 +16,7 @@ then those pairs that are still in different components (a pair inside a compone
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,37 +24,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.arrow import WORD_BYTES, Words, gram_hashes, mix, slices
+from geoloom.llm import crowds
+from geoloom.llm.arrow import WORD_BYTES, mix, shingle_sets, slices
+from geoloom.llm.skew import spread
 from geoloom.operators.components import connected_components
 from geoloom.session import stage
 
 #: Ids that are sent to every executor at most (16 MB); beyond it the texts are shuffled to the ids.
 BROADCAST_ROWS = 1_000_000
-SALTS = 8
 #: Trees in which a document must be crowded to be joined exactly. With fewer, at least 13 of 16 trees would have to
 #: share no minimum for a pair to be lost: 4 in a million at the bar.
 CROWDED = 4
-#: Documents of a shingle all of whose pairs are looked at.
-FEW = 16
-#: Rows that a document looks back at in each region of commoner shingles.
-REGION_LOOK = 16
-
-
-def shingle_sets(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct shingle hashes of each text end to end, and the number in each text."""
-    words = Words(batch, lower=True)
-    h = words.hashes()
-    grams = gram_hashes(h, k)
-    out, sizes = [], np.zeros(words.rows, np.int64)
-    for i in range(words.rows):
-        a, b = words.first[i], words.first[i + 1]
-        if b == a:
-            continue
-        # fewer than k words: the whole sequence is the one shingle
-        s = np.unique(grams[a : b - k + 1]) if b - a >= k else gram_hashes(h[a:b], int(b - a)) + np.uint64(b - a)
-        out.append(s)
-        sizes[i] = len(s)
-    return (np.concatenate(out) if out else np.empty(0, np.uint64)), sizes
 
 
 def signatures(docs: DataFrame, k: int, trees: int, depth: int) -> DataFrame:
@@ -96,24 +74,28 @@ def forest_labels(reps: DataFrame, trees: int, depth: int) -> DataFrame:
     return labels.select("x.tree", "x.label", "doc_id", F.col("doc_id").alias("part"))
 
 
-def neighbours(labels: DataFrame, depth: int, look: int, prefix: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a < b, repeated) of the ``look`` nearest rows in any tree's order that share a first minimum (or only the
-    tree, without ``prefix``), and the rows (id, tree) whose row at distance ``look`` still does. labels: tree, label
-    (``depth`` minima), doc_id, part; rows of one part never make a pair."""
+def neighbours(labels: DataFrame, depth: int, look: int, test: Callable | None = None) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a < b, repeated) of the ``look`` nearest rows in any tree's order that share a first minimum, and the rows (id,
+    tree) whose row at distance ``look`` still does. labels: tree, label (``depth`` minima), doc_id, part; rows of one part
+    never make a pair. ``test`` (of two arrays of rows' bytes) drops pairs; it needs a column sketch of equal lengths."""
+    columns = ["doc_id", "tree", "label", "part", *(["sketch"] if test else [])]
     parts = max(int(labels.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-    ordered = labels.select("doc_id", "tree", "label", "part").repartitionByRange(parts, "tree", "label", "doc_id").sortWithinPartitions("tree", "label", "doc_id")
+    ordered = labels.select(columns).repartitionByRange(parts, "tree", "label", "doc_id").sortWithinPartitions("tree", "label", "doc_id")
 
-    def back(tree: np.ndarray, label: np.ndarray, ids: np.ndarray, own: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
+    def bytes_of(column: pa.Array) -> np.ndarray:
+        return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+
+    def back(tree: np.ndarray, label: np.ndarray, ids: np.ndarray, own: np.ndarray, sketch: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of each row from ``first`` on with the ``look`` rows before it that share a label prefix."""
         found_a, found_b = [], []
         for d in range(1, look + 1):
             lo = max(first, d)
             if lo >= len(ids):
                 continue
-            same = (tree[lo:] == tree[lo - d : -d]) & (own[lo:] != own[lo - d : -d])
-            if prefix:
-                same &= label[lo:, 0] == label[lo - d : -d, 0]
+            same = (tree[lo:] == tree[lo - d : -d]) & (own[lo:] != own[lo - d : -d]) & (label[lo:, 0] == label[lo - d : -d, 0])
             at = np.flatnonzero(same) + lo
+            if test and len(at):
+                at = at[test(sketch[at], sketch[at - d])]
             found_a.append(ids[at])
             found_b.append(ids[at - d])
         a = np.concatenate(found_a) if found_a else np.empty(0, np.int64)
@@ -121,88 +103,70 @@ def neighbours(labels: DataFrame, depth: int, look: int, prefix: bool = True) ->
         return np.minimum(a, b), np.maximum(a, b)
 
     def arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-        label = np.frombuffer(b"".join(batch.column("label").to_pylist()), ">u4").reshape(batch.num_rows, depth)
-        return batch.column("tree").to_numpy(), label, batch.column("doc_id").to_numpy(), batch.column("part").to_numpy()
+        label = bytes_of(batch.column("label")).view(">u4").reshape(batch.num_rows, depth)
+        sketch = bytes_of(batch.column("sketch")) if test else np.empty((batch.num_rows, 0), np.uint8)
+        return batch.column("tree").to_numpy(), label, batch.column("doc_id").to_numpy(), batch.column("part").to_numpy(), sketch
+
+    def rows(a, b=None, edge=None, tree=None, label=None, sketch=None) -> pa.RecordBatch:
+        n = len(a)
+        text = [pa.array([x.tobytes() for x in y], pa.binary()) if y is not None else pa.nulls(n, pa.binary()) for y in (label, sketch)]
+        number = [pa.array(y, pa.int64()) if y is not None else pa.nulls(n, pa.int64()) for y in (a, b, tree)]
+        where = pa.array(np.full(n, edge), pa.int32()) if edge is not None else pa.nulls(n, pa.int32())
+        return pa.RecordBatch.from_arrays([number[0], number[1], where, number[2], *text], ["a", "b", "edge", "tree", "label", "sketch"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Pairs inside a partition (edge null), and the rows at its two edges (a the row, b its part)."""
         part, keep = TaskContext.get().partitionId(), None
-
-        def rows(a, b, edge, tree, label):
-            n = len(a)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(a, pa.int64()), pa.array(b, pa.int64()) if b is not None else pa.nulls(n, pa.int64()), pa.array(np.full(n, edge), pa.int32()) if edge is not None else pa.nulls(n, pa.int32()),
-                 pa.array(tree, pa.int64()) if tree is not None else pa.nulls(n, pa.int64()), pa.array([x.tobytes() for x in label], pa.binary()) if label is not None else pa.nulls(n, pa.binary())],
-                ["a", "b", "edge", "tree", "label"],
-            )
-
         got = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tree, label, ids, own = arrays(batch)
+            tree, label, ids, own, sketch = arrays(batch)
             if got < look:
                 n = look - got
-                yield rows(ids[:n], own[:n], part - 1, tree[:n], label[:n].astype(">u4"))
+                yield rows(ids[:n], own[:n], part - 1, tree[:n], label[:n].astype(">u4"), sketch[:n])
             got += len(ids)
             first = 0
             if keep is not None:
                 first = len(keep[2])
-                tree, label, ids, own = (np.concatenate([x, y]) for x, y in zip(keep, (tree, label, ids, own), strict=True))
-            a, b = back(tree, label, ids, own, first)
+                tree, label, ids, own, sketch = (np.concatenate([x, y]) for x, y in zip(keep, (tree, label, ids, own, sketch), strict=True))
+            a, b = back(tree, label, ids, own, sketch, first)
             if len(a):
-                yield rows(a, b, None, None, None)
+                yield rows(a, b)
             lo = max(first, look)
             far = np.flatnonzero((tree[lo:] == tree[lo - look : len(ids) - look]) & (label[lo:, 0] == label[lo - look : len(ids) - look, 0])) + lo
-            if len(far):  # crowded rows: a the row, b and edge null
+            if len(far) and not test:  # crowded rows: a the row, b and edge null
                 far = np.union1d(far, far - look)
-                yield rows(ids[far], None, None, tree[far], None)
-            keep = tree[-look:], label[-look:], ids[-look:], own[-look:]
+                yield rows(ids[far], tree=tree[far])
+            keep = tree[-look:], label[-look:], ids[-look:], own[-look:], sketch[-look:]
         if keep is not None:
-            yield rows(keep[2], keep[3], part, keep[0], keep[1].astype(">u4"))
+            yield rows(keep[2], keep[3], part, keep[0], keep[1].astype(">u4"), keep[4])
 
-    made = stage(ordered.mapInArrow(run, "a long, b long, edge int, tree long, label binary"))
-    head = F.substring("label", 1, 4) if prefix else F.lit(0)
-    x, y = (made.where("edge is not null").select("edge", "tree", head.alias("first"), F.col("a").alias(n), F.col("b").alias(f"{n}_part")) for n in ("x", "y"))
+    def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                ok = pa.array(test(bytes_of(batch.column("x_sketch")), bytes_of(batch.column("y_sketch"))))
+                yield pa.RecordBatch.from_arrays([batch.column(c).filter(ok) for c in ("x", "y")], ["x", "y"])
+
+    made = stage(ordered.mapInArrow(run, "a long, b long, edge int, tree long, label binary, sketch binary"))
+    x, y = (made.where("edge is not null").select("edge", "tree", F.substring("label", 1, 4).alias("first"), F.col("a").alias(n), F.col("b").alias(f"{n}_part"), F.col("sketch").alias(f"{n}_sketch")) for n in ("x", "y"))
     met = x.join(y, ["edge", "tree", "first"]).where("x_part <> y_part")
-    over = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     # at an edge the distance is not known, so what meets there counts as crowded
     tight = made.where("edge is null and b is null").select(F.col("a").alias("id"), "tree").union(met.select(F.col("x").alias("id"), "tree"))
+    met = met.select("x", "y", "x_sketch", "y_sketch").mapInArrow(across, "x long, y long") if test else met
+    over = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     return made.where("edge is null and a <> b").select("a", "b").union(over), tight
 
 
-def crowd_pairs(docs: DataFrame, crowd: DataFrame, reps: DataFrame, of: DataFrame, k: int, percent: int, trees: int, depth: int) -> DataFrame:
-    """Distinct pairs (a < b) of crowded documents in different components. of: node, component; reps: doc_id, sig.
-
-    Two sets that reach ``percent`` share one of the first n - ceil(percent * n / 100) + 1 shingles of either, in any one
-    order of all shingles; here the rarest come first, and those of a single document need no partner. All pairs that
-    share a shingle of at most ``FEW`` documents are taken. Where only commoner ones lead a set (variants of one text),
-    all pairs would be a group's square, so each such shingle is a region of its own: its documents are put in the order
-    of one tree's labels, and each meets the nearest rows. A document has as many regions as shingles that lead it.
-    """
+def crowd_links(docs: DataFrame, crowd: DataFrame, reps: DataFrame, of: DataFrame, k: int, percent: int, depth: int) -> tuple[DataFrame, DataFrame]:
+    """Components (node, component) with the links that sizes prove, and the pairs (a < b) still to be confirmed."""
     wanted = F.broadcast(crowd) if crowd.count() <= BROADCAST_ROWS else crowd
-
-    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, limit=WORD_BYTES):
-            flat, sizes = shingle_sets(batch, k)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.repeat(np.arange(len(sizes)), sizes))), pa.array(np.repeat(sizes, sizes)), pa.array(flat.view(np.int64))], ["id", "n", "g"])
-
     texts = docs.join(wanted, docs.doc_id == wanted.id, "left_semi").dropDuplicates(["doc_id"])
-    held = stage(texts.select("doc_id", "text").mapInArrow(grams, "id long, n long, g long"))
-    held = held.withColumn("salt", F.pmod(F.hash("id"), F.lit(SALTS)))
-    often = held.groupBy("g").agg(F.count(F.lit(1)).alias("f")).where("f > 1").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    by = "partition by id"
-    ranked = held.join(often, ["g", "salt"]).selectExpr("id", "n", "g", "f", f"row_number() over ({by} order by f, g) as place", f"count(*) over ({by}) as shared")
-    first = ranked.where(f"place <= n - (n * {percent} + 99) div 100 + 1 - (n - shared)").select("id", "n", "g", "f")
-    first = first.join(of.select(F.col("node").alias("id"), "component"), "id", "left").select("id", "n", "g", "f", F.coalesce("component", "id").alias("c"))
-    first = stage(first)
-    p, q = (first.where(F.col("f") <= FEW).select("g", F.col("c").alias(f"c{x}"), F.col("id").alias(x), F.col("n").alias(f"n{x}")) for x in "ab")
-    met = p.join(q, "g").where(f"ca < cb and 100 * least(na, nb) >= {percent} * greatest(na, nb)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    apart = first.where(F.col("f") > FEW).join(reps, F.col("id") == F.col("doc_id"))
-    width = 4 * depth
-    labels = apart.select(F.col("g").alias("tree"), F.expr(f"substring(sig, cast(pmod(xxhash64(g), {trees}) as int) * {width} + 1, {width})").alias("label"), "doc_id", F.col("c").alias("part"))
-    near, _ = neighbours(labels, depth, REGION_LOOK, False)
-    return met.union(near).distinct()
+    sets = crowds.leading_sets(texts, reps, k, percent, depth)
+    rows = crowds.region_rows(sets)
+    of = _components(crowds.star_links(rows, percent), of)
+    near, _ = neighbours(crowds.region_labels(rows, of), crowds.DEPTH, crowds.LOOK, crowds.may_reach(percent))
+    return of, crowds.few_pairs(sets, of, percent).union(near).distinct()
 
 
 def _components(links: DataFrame, of: DataFrame | None = None) -> DataFrame:
@@ -291,15 +255,16 @@ def near_dedup(docs: DataFrame, k: int = 5, percent: int = 75, trees: int = 16,
     apart = scored.join(ca, "a", "left").join(cb, "b", "left").where("coalesce(ca, a) <> coalesce(cb, b)").select("a", "b").join(best, ["a", "b"], "left_anti")
     of = _components(_confirm(docs, apart, k, percent), of)
     if not crowd.isEmpty():
-        more = screened(crowd_pairs(docs, crowd, reps, of, k, percent, trees, depth))
+        of, more = crowd_links(docs, crowd, reps, of, k, percent, depth)
+        more = screened(more)
         of = _components(_confirm(docs, more, k, percent), of)
-    # a class learns its component once; its members learn it over salted keys, so a large class is spread over tasks
+    # a class learns its component once; the members of a large class are spread over tasks
     of = of.withColumnsRenamed({"node": "rep"})
     classes = groups.join(of, "rep", "left").select("k1", "k2", "n", "rep", F.coalesce("component", "rep").alias("component_id"))
-    classes = classes.where("n > 1 or component_id <> rep").select("k1", "k2", "component_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    keyed = sig.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("k1")).alias("k1"), "k2", F.pmod(F.hash("doc_id"), F.lit(SALTS)).alias("salt"))
+    classes = stage(classes.where("n > 1 or component_id <> rep").select("k1", "k2", "n", "component_id"))
+    keyed, classes, keys = spread(sig.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("k1")).alias("k1"), "k2"), classes, ["k1", "k2"], "n")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return keyed.join(classes, ["k1", "k2", "salt"], "left").select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return keyed.join(classes, keys, "left").select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
 ORACLE = r"""

@@ -526,6 +526,41 @@ def test_near_dedup_crowd_under_the_bar(spark):
     assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in rows} == want
 
 
+def test_near_dedup_form_letters(spark):
+    """A form whose letters differ in eight places of their own each: all under the bar, but for those that share five places."""
+    r = random.Random(23)
+    texts = []
+
+    def letter(places, tag):
+        w = [f"t{i}" for i in range(400)]
+        for p in places:
+            w[p] = f"{tag}x{p}"
+        return " ".join(w)
+
+    for k in range(700):
+        places = [5 * p for p in r.sample(range(79), 8)]
+        texts.append(letter(places, f"d{k}"))
+        if k % 10 == 0:
+            rest = [5 * p for p in range(79) if 5 * p not in places]
+            texts.append(letter(r.sample(places, 5) + r.sample(rest, 3), f"p{k}"))
+    r.shuffle(texts)
+    rows = near_dedup(frame(spark, texts).repartition(3)).collect()
+    want = brute_components(dict(enumerate(texts)))
+    assert sum(i != c for i, (_, c) in want.items()) >= 70
+    assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in rows} == want
+
+
+def test_exact_dedup_hot_group_without_ids(spark):
+    """A third of all rows are one text without an id: dealt to several tasks, one of them stays."""
+    rows = [(None, "Same TEXT")] * 1500 + [(7, "same text")] * 1500 + [(10 + i, f"text {i}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = exact_dedup(docs).collect()
+    assert len(got) == 6000
+    hot = [x for x in got if x["group_size"] > 1]
+    assert len(hot) == 3000 and {x["group_size"] for x in hot} == {3000} and {x["keep_id"] for x in hot} == {7}
+    assert sum(x["kept"] for x in hot) == 1
+
+
 def stage_input(spark, rows):
     """Documents with extra columns whose names the stages use as well."""
     return spark.createDataFrame([(i, t, "en", "s", len(t or ""), 1, "z", "z") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, row int, num string, many string")
