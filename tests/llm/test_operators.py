@@ -623,6 +623,20 @@ def test_vector_topk(spark, n, dim, scale):
     assert got == brute_topk(vectors, 20, 5)
 
 
+def test_vector_topk_huge(spark):
+    """Components beyond 64 bits beside ordinary ones: scores that fit are exact, others end at 64 bits."""
+    vectors = {0: [1e30, 1.0], 1: [1e30, -1.0], 2: [0.0, 3.0], 3: [1e-3, 2.0], 4: [1.0, 1e8], 5: [3.0, 1.0], 10: [1.0, 1.0], 15: [1e12, -1e12]}
+    df = spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<double>")
+    got = {tuple(x) for x in vector_topk(df, 20, 5, chunk_rows=3, block_rows=2).collect()}
+    ints = {i: [int(np.floor(64.0 * x)) for x in v] for i, v in vectors.items()}
+    want = set()
+    for q in (i for i in ints if i % 5 == 0):
+        score = {i: sum(x * y for x, y in zip(ints[q], v)) for i, v in ints.items() if i != q}
+        cut = {i: min(max(s, -(2**63)), 2**63 - 1) for i, s in score.items()}
+        want |= {(q, n, i, cut[i]) for n, i in enumerate(sorted(cut, key=lambda i: (-cut[i], i)), 1)}
+    assert got == want
+
+
 def test_vector_topk_empty(spark):
     assert vector_topk(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
