@@ -90,6 +90,29 @@ def conform_table(vintages: dict[int, DataFrame], catalog: Sequence[dict], sourc
     return whole, key
 
 
+def portal_columns(df: DataFrame, names: dict[str, str] | None = None, exported_at: str | None = None) -> DataFrame:
+    """A portal's rows under their names here: ``names`` (of file exports) to API names, system fields to theirs, no computed
+    regions. ``exported_at``: file exports lack the system fields; they get null, and this time as the time of update."""
+    df = df.withColumnsRenamed({c: (names or {}).get(c, c) for c in df.columns})
+    df = df.drop(*[c for c in df.columns if c.startswith(COMPUTED_PREFIX)])
+    df = df.withColumnsRenamed(SYSTEM_RENAMES)
+    if exported_at is None:
+        return df
+    lacking = [c for c in SYSTEM_RENAMES.values() if c not in df.columns]
+    return df.withColumns({c: F.lit(exported_at if c == "socrata_updated_at" else None).cast("string") for c in lacking})
+
+
+def file_defaults(df: DataFrame, file_name: Column, county: bool = True, lowercase: bool = True) -> DataFrame:
+    """Rows with what their file's name tells, as in ``tl_2023_17031_roads.zip``: vintage, and for county files the state's and
+    the county's code, each only where the data has no such column in any case."""
+    code = F.nullif(F.regexp_extract(file_name, r"_(\d{5})(?:_|\.)", 1), F.lit(""))
+    have = {c.lower() for c in df.columns}
+    added = {"vintage": F.regexp_extract(file_name, r"_(\d{4})_", 1).try_cast("int")}
+    if county:
+        added |= {"statefp": code.substr(1, 2), "countyfp": code.substr(3, 3)}
+    return df.withColumns({c if lowercase or c == "vintage" else c.upper(): v for c, v in added.items() if c not in have})
+
+
 def tag_columns(tags: Column, names: Sequence[str] = EDGE_TAGS, flags: Sequence[str] = ("oneway",)) -> list[Column]:
     """Typed columns of a map of tags to JSON values. A list becomes text like ['a', 'b'], NaN and null become null; a flag is
     true only where its tag says so."""

@@ -214,6 +214,14 @@ def wkb_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.decode_wkb(coded, "hex", "id").select("id", "gtype", "srid", F.round(p[0]["x"], 6).alias("x0"), F.round(p[0]["y"], 6).alias("y0"), F.round(p[1]["x"], 6).alias("x1"), F.round(p[1]["y"], 6).alias("y1"))
 
 
+def wkb_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged hexadecimal geometries are told apart and fail alone."""
+    e = L.edges(spark, sf_dir).select(F.concat_ws("-", *[F.col(k).cast("string") for k in ("u", "v", "key")]).alias("id"), "line")
+    way = F.pmod(F.element_at(F.split("id", "-"), 1).cast("long"), F.lit(5))
+    coded = S.encode_wkb(e, "line", "id", 4326).withColumn("hex", F.when(way == 1, F.substring("hex", 1, 40)).when(way == 2, F.concat(F.lit("zz"), "hex")).when(way == 3, F.lit("0163000000")).otherwise(F.col("hex")))
+    return S.decode_wkb(coded, "hex", "id").select("id", "gtype", "failure")
+
+
 def simplify_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return X.simplify_lines(_row_lines(spark, sf_dir), "row", "line").select("row", F.size("line").alias("vertices"), F.round(F.element_at("line", 1)["x"], 6).alias("x0"), F.round(F.element_at("line", -1)["x"], 6).alias("x1"))
 
@@ -265,7 +273,7 @@ select variable, array_to_string([x for x in [concept, label] if x <> ''], '__')
 
 QUERIES = (
     components, component_filter, last_edge_wins, edge_endpoints, graph_union, merge_map, contracted_edges, turn_penalties, route_batch, route_shape, route_checks, variables, label_compress, header_array_rows, geojson_features,
-    feature_collection, feature_promotion, osm_node_rows, ways, relations, bike_flatten, csv_nulls, wkb_decode, simplify_lines, export_edges, export_nodes, route_log_stream,
+    feature_collection, feature_promotion, osm_node_rows, ways, relations, bike_flatten, csv_nulls, wkb_decode, wkb_failures, simplify_lines, export_edges, export_nodes, route_log_stream,
 )
 
 _COMP = """und as (select distinct u as a, v as b from edges union select distinct v, u from edges), reach as (
@@ -359,6 +367,8 @@ SQL = {
     "bike_flatten": """select event_id as id, event_type as title, concat('["', event_type, '","red"]') as frame_colors, case when event_id % 4 in (2, 3) then event_id / 100.0::double end as latitude, case when event_id % 4 in (2, 3) then event_id / 50.0::double end as longitude,
       to_timestamp(floor(epoch(ts))) at time zone 'UTC' as stolen_at from events""",
     "csv_nulls": """select cast(c_custkey as varchar) as c_custkey, md5(concat(c_name, ', "x"', chr(10), ' ', c_mktsegment)) as note_md5, case when c_custkey % 3 <> 0 then concat(' ', c_mktsegment) end as segment from customer""",
+    "wkb_failures": f"""with {L.NODES}, {L.EDGES} select concat(u, '-', v, '-', key) as id, case when u % 5 in (0, 4) then 'LineString' end as gtype,
+      case u % 5 when 1 then 'cut short' when 2 then 'not hexadecimal' when 3 then 'unknown geometry' end as failure from edges""",
     "wkb_decode": f"with {_N}, {_E} select concat_ws('-', u, v, key) as id, 'LineString' as gtype, 4326 as srid, round(x0, 6) as x0, round(y0, 6) as y0, round(x1, 6) as x1, round(y1, 6) as y1 from edges",
     "export_edges": f"""with recursive {_N}, {_E}, {_ONE}, {_COMP} select u, v, round(x0, 6) as u_x, round(y0, 6) as u_y, round(x1, 6) as v_x, round(y1, 6) as v_y, round(length_m, 6) as length_m, highway from one where u in (select node from sized where size >= 75)""",
     "export_nodes": f"""with recursive {_N}, {_E}, {_ONE}, {_COMP} select osmid, round(x, 6) as x, round(y, 6) as y, highway from nodes

@@ -150,6 +150,16 @@ def conform_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole.select(F.lit(",".join(key or [])).alias("entity_key"), F.lit(",".join(whole.columns)).alias("columns"), "linearid", "vintage", F.col("size").cast("long").alias("size"), "kind", "socrata_id", "valid_from", "valid_to")
 
 
+def file_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as files of a year and a county each, read back with what the files' names tell."""
+    base = _base(spark, "files")
+    s = table(spark, sf_dir, "supplier").selectExpr("s_suppkey as `:id`", "s_name as `Name Of It`", "'1' as `:@computed_region_a`", "2020 + s_suppkey % 3 as y", "lpad(cast(s_suppkey % 4 + 17029 as string), 5, '0') as c")
+    s.withColumn("f", F.format_string("tl_%d_%s_part", "y", "c")).drop("y", "c").write.partitionBy("f").json(base)
+    read = spark.read.schema("`:id` long, `Name Of It` string, `:@computed_region_a` string").json(base).withColumn("_file", F.regexp_extract("_metadata.file_path", "/f=([^/]+)/", 1)).drop("f")
+    named = C.portal_columns(read, {"Name Of It": "name"}, "2024-05-01T00:00:00")
+    return C.file_defaults(named, F.col("_file")).drop("_file")
+
+
 def _tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = L.edges(spark, sf_dir)
     plain = ["name", "maxspeed", "surface", "lit", "bridge", "bicycle", "cyclestreet", "cycleway_left", "cycleway_right_buffer"]
@@ -237,7 +247,7 @@ def delivered_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.groupBy("batch").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key")).withColumn("total", F.lit(total if total == again else -1).cast("long"))
 
 
-QUERIES = (stream_upsert, stream_scd2, feature_rows, feature_failures, feature_unknown, run_counters, resumed_loads, pending_units, catalog_cast, conform_key, edge_tags, schema_drift, geojson_layers, built_cache, delivered_batches)
+QUERIES = (stream_upsert, stream_scd2, feature_rows, feature_failures, feature_unknown, run_counters, resumed_loads, pending_units, catalog_cast, conform_key, file_loads, edge_tags, schema_drift, geojson_layers, built_cache, delivered_batches)
 
 _BAD = "case when event_id % 40 = 9 then 'not a feature' when event_id % 40 = 3 then 'no geometry' when event_id % 40 = 5 then 'unknown geometry' when event_id % 40 = 7 then 'bad coordinates' end"
 _TAGGED = {"name": "name", "maxspeed": "maxspeed", "surface": "surface", "lit": "lit", "bridge": "bridge", "bicycle": "bicycle", "cyclestreet": "cyclestreet", "cycleway_left": "cycleway_left", "cycleway_right_buffer": "cycleway_right_buffer", "highway": "highway", "oneway": "coalesce(oneway = 'yes', false)", "width": "case when u % 3 = 1 then '2.5' end"}
@@ -267,6 +277,8 @@ SQL = {
       array_to_string([x for x in [case when p_partkey % 7 = 0 then 'price=n/a' end, case when p_partkey % 5 = 0 then 'sold=maybe' end, case when p_partkey % 11 = 0 then 'on_date=2024-13-01' end, case when p_partkey % 13 = 0 then 'at_time=25:00:00' end, case when p_partkey % 17 = 0 then 'size=99999999999' end] if x is not null], ';') as rejects from part""",
     "conform_key": """select 'linearid,vintage' as entity_key, 'socrata_id,geoid,geoidfq,linearid,size,kind,vintage,ingested_at,record_hash,valid_from,valid_to' as columns, concat('l', p_partkey) as linearid, vintage, p_size::bigint as size,
       case when vintage = 2024 then p_type end as kind, p_brand as socrata_id, timestamp '2024-05-01' as valid_from, null::timestamp as valid_to from part, (select unnest([2023, 2024]) as vintage) where vintage = 2023 or p_size > 10""",
+    "file_loads": """select s_suppkey as socrata_id, s_name as name, '2024-05-01T00:00:00' as socrata_updated_at, null::varchar as socrata_created_at, null::varchar as socrata_version,
+      (2020 + s_suppkey % 3)::integer as vintage, '17' as statefp, lpad((s_suppkey % 4 + 29)::varchar, 3, '0') as countyfp from supplier""",
     "edge_tags": f"with {L.NODES}, {L.EDGES} select u, v, key, " + ", ".join(f"{_TAGGED.get(t.replace(':', '_'), 'null::varchar')} as {t.replace(':', '_')}" for t in C.EDGE_TAGS) + " from edges",
     "schema_drift": """with d as (select max(event_id) as m from events) select * from (values ('body.k', 'type', 'error', 'bigint', 'string'), ('body.parts[].gone', 'missing', 'warning', null, 'int'), ('body.parts[].n', 'new', 'error', 'bigint', null),
       ('late', 'new', 'error', 'string', null), ('missing', 'missing', 'warning', null, 'string')) t(path, change, severity, source_type, target_type) where path <> 'late' or (select m from d) >= 7""",

@@ -143,7 +143,8 @@ def encode_wkb(df: DataFrame, line: str, key: str, srid: int) -> DataFrame:
 
 
 def decode_wkb(df: DataFrame, column: str, key: str) -> DataFrame:
-    """(key, gtype, srid, parts): points and lines from hexadecimal WKB or EWKB; null stays null, srid 0 if unknown."""
+    """(key, gtype, srid, parts, failure): geometries from hexadecimal WKB or EWKB; null stays null, srid 0 if unknown. What
+    can't be read is null with its failure: "not hexadecimal", "cut short" or "unknown geometry"."""
     names = {1: "Point", 2: "LineString", 3: "Polygon", 4: "MultiPoint", 5: "MultiLineString", 6: "MultiPolygon"}
 
     def one(data: bytes, at: int) -> tuple[str, int, list, int]:
@@ -155,8 +156,12 @@ def decode_wkb(df: DataFrame, column: str, key: str) -> DataFrame:
             at += 4
         dims = 2 + bool(kind & 0x80000000) + bool(kind & 0x40000000)
         kind &= 0xFF
+        if kind not in names:
+            raise KeyError(kind)
 
         def points(n: int, at: int) -> tuple[list, int]:
+            if at + 8 * n * dims > len(data):
+                raise IndexError(n)
             flat = struct.unpack_from(f"{end}{n * dims}d", data, at)
             return [{"x": flat[i * dims], "y": flat[i * dims + 1]} for i in range(n)], at + 8 * n * dims
 
@@ -179,11 +184,24 @@ def decode_wkb(df: DataFrame, column: str, key: str) -> DataFrame:
                 parts += more
         return names[kind], srid, parts, at
 
+    def read(text: str | None) -> tuple[str | None, int | None, list | None, str | None]:
+        if not text:
+            return None, None, None, None
+        try:
+            return *one(bytes.fromhex(text), 0)[:3], None
+        except (struct.error, IndexError):
+            return None, None, None, "cut short"
+        except (KeyError, RecursionError):
+            return None, None, None, "unknown geometry"
+        except ValueError:
+            return None, None, None, "not hexadecimal"
+
     kind = pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [one(bytes.fromhex(h), 0) if h else (None, None, None, 0) for h in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.int32()), pa.array([g[2] for g in got], kind)], [key, "gtype", "srid", "parts"])
+            got = [read(h) for h in batch.column(1).to_pylist()]
+            types = [pa.string(), pa.int32(), kind, pa.string()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([g[i] for g in got], t) for i, t in enumerate(types)]], [key, "gtype", "srid", "parts", "failure"])
 
-    return df.select(F.col(key).cast("string"), column).mapInArrow(run, f"{key} string, gtype string, srid int, parts array<array<struct<x:double,y:double>>>")
+    return df.select(F.col(key).cast("string"), column).mapInArrow(run, f"{key} string, gtype string, srid int, parts array<array<struct<x:double,y:double>>>, failure string")

@@ -208,3 +208,21 @@ def test_standard_names(spark):
     assert [standard_name(x) for x in ("Total Pop.", "geoIDfq", "2020 Count", "a__b", "%", ":id")] == ["total_pop", "geo_idfq", "_2020_count", "a_b", "column", "id"]
     df = spark.createDataFrame([(1, 2, 3)], "`Total Pop.` int, keep int, `2020 Count` int")
     assert staging_select(df, {"Total Pop.": "pop"}, ["keep"], rest=True).columns == ["pop", "keep", "_2020_count"]
+
+
+def test_names_and_defaults_of_files(spark):
+    df = spark.createDataFrame([("a", 1, "x", "031")], "`:id` string, n int, `:@computed_region_z` string, COUNTYFP string")
+    assert catalog.portal_columns(df, {"n": "number"}).columns == ["socrata_id", "number", "COUNTYFP"]
+    row = catalog.portal_columns(df.drop(":id"), exported_at="2024-01-02").first()
+    assert (row["socrata_updated_at"], row["socrata_id"], row["socrata_version"]) == ("2024-01-02", None, None)
+    file = F.lit("s3://here/tl_2023_06075_roads.zip")
+    assert tuple(catalog.file_defaults(df.select("n", "COUNTYFP"), file, lowercase=False).first()) == (1, "031", 2023, "06")
+    assert tuple(catalog.file_defaults(df.select("n"), F.lit("tl_2023_us_state.zip")).first()) == (1, 2023, None, None)
+    assert tuple(catalog.file_defaults(df.select("n"), F.lit("readme"), county=False).first()) == (1, None)
+
+
+def test_damaged_geometries_fail_alone(spark):
+    good = "0101000000000000000000F03F0000000000000040"
+    rows = {"good": good, "null": None, "short": good[:-2], "odd": good[:-1], "text": "hello", "kind": "0163000000", "many": "0102000000FFFFFFFF" + "00" * 16, "deep": "0107000000"}
+    got = {r["id"]: (r["gtype"], r["failure"]) for r in elements.decode_wkb(spark.createDataFrame(list(rows.items()), "id string, h string"), "h", "id").collect()}
+    assert got == {"good": ("Point", None), "null": (None, None), "short": (None, "cut short"), "odd": (None, "not hexadecimal"), "text": (None, "not hexadecimal"), "kind": (None, "unknown geometry"), "many": (None, "cut short"), "deep": (None, "unknown geometry")}
