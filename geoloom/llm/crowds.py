@@ -13,8 +13,9 @@ tells variants at 0.66 and at 0.76 apart badly, so each of these documents is de
   with the most slack is linked to every document that any other could be linked to in this way, so one link each gives the
   component of all of them, without pairs.
 - The others need common differences, whose least number follows from the sizes. A forest over the differences, with
-  permutations of its own for each region and labels as deep as needed to part them, brings these together; a sketch of
-  the differences drops pairs that miss that number by over four standard deviations before anything is emitted.
+  permutations of its own for each region, brings these together; a sketch of the differences drops pairs that miss that
+  number by over four standard deviations before anything is emitted. Here a row looks back at ``LOOK`` rows in each of
+  ``REGIONS`` x ``ORDERS`` orders, so a pair can be missed: nothing exact takes the rest.
 """
 
 from __future__ import annotations
