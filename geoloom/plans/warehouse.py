@@ -354,7 +354,8 @@ def _ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def geocode_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
-    cache = _blocks(spark, sf_dir).select(
+    blocks = _blocks(spark, sf_dir).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "c_custkey")  # a file of few row groups would give few tasks
+    cache = blocks.select(
         k.cast("string").alias("address_hash"), T.clean_address(T.fill_block(F.col("block"))).alias("address"), F.when(k % 6 == 0, F.lit(41.8)).alias("latitude"),
         F.when(k % 7 == 0, "no_result").when(k % 11 == 0, "error: timeout").alias("failure"),
     )

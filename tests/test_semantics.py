@@ -400,3 +400,21 @@ def test_routes_on_one_way_streets(spark):
             path = r["path"]
             walk = sum(edges[s] for s in zip(path, path[1:])) + sum(p[t] for t in zip(path, path[1:], path[2:]))
             assert path[0] == r["origin"] and path[-1] == r["destination"] and abs(r["cost"] - want) < 1e-6 and abs(walk - want) < 1e-6
+
+
+def test_address_ranges_of_all_widths(spark):
+    """Ranges from one number to millions wide against all pairs; the join goes by cells of numbers, not by streets alone."""
+    import random
+
+    rng = random.Random(3)
+    spans = [(a, a + rng.choice([0, 1, 98, 255, 256, 5000, 3_000_000])) for a in (rng.randrange(20000) for _ in range(80))] + [(9, 3), (0, 2**31 - 1)]
+    ranges = [(i, "MAIN", "ST", rng.choice("NS"), a, b, rng.choice([0, 1, None]), 0.0, 0.0, 1.0, 1.0) for i, (a, b) in enumerate(spans)]
+    r = spark.createDataFrame(ranges, "segment_id int, street string, street_type string, direction string, from_number int, to_number int, parity int, x0 double, y0 double, x1 double, y1 double")
+    cache = [(f"{n}{d}{i}", f"{n} {d}Main St", None, None) for n in [0, 1, *(rng.randrange(40000) for _ in range(60))] for d in ("N ", "") for i in range(2)]
+    out = geocode.geocode(spark.createDataFrame(cache, "address_hash string, address string, latitude double, failure string"), r, 99)
+    got = {row["address_hash"]: row["rating"] for row in out.collect()}
+    rate = lambda n, d, s: (5 if d.strip() != s[3] else 0) + (10 if s[6] is not None and s[6] != n % 2 else 0)
+    for key, text, _, _ in cache:
+        n, d = int(text.split()[0]), "N" if " N " in text else ""
+        assert got[key] == min((rate(n, d, s) for s in ranges if s[4] <= n <= s[5]), default=None), text
+    assert "_cell" in out._jdf.queryExecution().optimizedPlan().toString()
