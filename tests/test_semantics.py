@@ -418,3 +418,19 @@ def test_address_ranges_of_all_widths(spark):
         n, d = int(text.split()[0]), "N" if " N " in text else ""
         assert got[key] == min((rate(n, d, s) for s in ranges if s[4] <= n <= s[5]), default=None), text
     assert "_cell" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_graph_union_where_ids_meet(spark, tmp_path):
+    """Supplement ids that are lattice ids too: one row for each id, in the query and in its SQL."""
+    import duckdb
+
+    from geoloom.plans import graph as plans
+
+    spark.range(999_990, 1_000_060).withColumnRenamed("id", "p_partkey").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    spark.range(90).withColumnRenamed("id", "s_suppkey").coalesce(1).write.parquet(str(tmp_path / "supplier.parquet"))
+    duck = duckdb.connect()
+    for t in ("part", "supplier"):
+        duck.execute(f"create view {t} as select * from '{tmp_path}/{t}.parquet/*.parquet'")
+    got = sorted(map(tuple, plans.graph_union(spark, str(tmp_path)).select("osmid", "highway", "layer").collect()), key=str)
+    assert got == sorted(duck.execute(f"select osmid, highway, layer from ({plans.SQL['graph_union']})").fetchall(), key=str)
+    assert len(got) == len({r[0] for r in got}) == 100
