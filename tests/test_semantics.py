@@ -434,3 +434,12 @@ def test_graph_union_where_ids_meet(spark, tmp_path):
     got = sorted(map(tuple, plans.graph_union(spark, str(tmp_path)).select("osmid", "highway", "layer").collect()), key=str)
     assert got == sorted(duck.execute(f"select osmid, highway, layer from ({plans.SQL['graph_union']})").fetchall(), key=str)
     assert len(got) == len({r[0] for r in got}) == 100
+
+
+def test_edges_are_made_by_many_tasks(spark, tmp_path):
+    """A file with one row group must not make one task of all edges."""
+    from geoloom.plans import lattice
+
+    spark.range(500).withColumnRenamed("id", "p_partkey").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    edges = lattice.edges(spark, str(tmp_path)).select("u")
+    assert edges.rdd.glom().filter(lambda rows: len(rows) > 50).count() > 1
