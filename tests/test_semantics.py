@@ -443,3 +443,15 @@ def test_edges_are_made_by_many_tasks(spark, tmp_path):
     spark.range(500).withColumnRenamed("id", "p_partkey").coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
     edges = lattice.edges(spark, str(tmp_path)).select("u")
     assert edges.rdd.glom().filter(lambda rows: len(rows) > 50).count() > 1
+
+
+def test_last_edges_are_dealt_to_enough_tasks(spark, monkeypatch):
+    """A task's share of edges is bounded: more edges make more tasks, not larger ones."""
+    rows = [(i % 300, i % 7, i % 2, f"n{i}") for i in range(900)]
+    monkeypatch.setattr(graph, "TASK_EDGES", 50, raising=False)
+    out = graph.last_edge_wins(spark.createDataFrame(rows, "u int, v int, key int, name string"))
+    assert out.rdd.getNumPartitions() == 18
+    want = {}
+    for u, v, key, name in rows:
+        want[u, v] = max(want.get((u, v), (-1, "")), (key, name))
+    assert {(r["u"], r["v"]): (r["key"], r["name"]) for r in out.collect()} == want
