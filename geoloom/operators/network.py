@@ -34,12 +34,14 @@ def severity_grid(crashes: DataFrame, cell: float) -> DataFrame:
 def crash_scores(edges: DataFrame, crashes: DataFrame, eps: float, as_of: str, power: float = 2.0, decay: float = 0.2) -> DataFrame:
     """(u, v, key, crash_count, crash_score) of edges with crashes in reach: severity^power fading with age in years.
 
-    Every version of a crash row counts, so a crash joined to two people counts twice.
+    Every version of a crash row counts, so a crash joined to two people counts twice. Crashes at one place meet the same
+    edges, so they are added up before the join.
     """
     age = (F.unix_timestamp(F.lit(as_of).cast("timestamp")) - F.unix_timestamp("crash_date")) / F.lit(365.25 * 86400)
     weight = F.pow(F.col("severity").cast("double"), F.lit(power)) * F.exp(-F.lit(decay) * age)
-    met = point_line_within(with_severity(crashes).select("px", "py", weight.alias("weight")), edges.select(*KEY, "line"), eps)
-    return met.groupBy(*KEY).agg(F.count(F.lit(1)).alias("crash_count"), F.sum("weight").alias("crash_score"))
+    places = with_severity(crashes).groupBy("px", "py").agg(F.count(F.lit(1)).alias("n"), F.sum(weight).alias("weight"))
+    met = point_line_within(places, edges.select(*KEY, "line"), eps)
+    return met.groupBy(*KEY).agg(F.sum("n").alias("crash_count"), F.sum("weight").alias("crash_score"))
 
 
 def with_crash_scores(edges: DataFrame, crashes: DataFrame, eps: float, as_of: str, power: float = 1.0) -> DataFrame:

@@ -455,3 +455,18 @@ def test_last_edges_are_dealt_to_enough_tasks(spark, monkeypatch):
     for u, v, key, name in rows:
         want[u, v] = max(want.get((u, v), (-1, "")), (key, name))
     assert {(r["u"], r["v"]): (r["key"], r["name"]) for r in out.collect()} == want
+
+
+def _one_street(spark):
+    line = "array(named_struct('x', 0D, 'y', 0D), named_struct('x', 0.001D, 'y', 0D))"
+    return spark.range(1).selectExpr("1L as u", "2L as v", "0L as key", "'Main' as name", f"{line} as line")
+
+
+def test_crashes_at_one_place_are_added_up_before_the_join(spark):
+    from geoloom.operators import network
+
+    flags = [f"0 as injuries_{k}" for k in ("fatal", "incapacitating", "non_incapacitating", "not_evident")]
+    crashes = spark.range(50).selectExpr("(id % 5) * 0.0001D as px", "0D as py", "timestamp'2024-01-01' as crash_date", *flags)
+    out = network.crash_scores(_one_street(spark), crashes, 0.0004, "2024-01-01")
+    assert [(r["crash_count"], round(r["crash_score"], 9)) for r in out.collect()] == [(50, 50.0)]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 2
