@@ -87,7 +87,13 @@ def route_candidates(edges: DataFrame, routes: DataFrame, eps: float) -> DataFra
 
 
 def best_routes(edges: DataFrame, routes: DataFrame, eps: float) -> DataFrame:
-    """One official route for each edge: the safest, then by name and direction, then by route id."""
+    """One official route for each edge: the safest, then by name and direction, then by route id.
+
+    Of routes alike in all but their id only the first id can be chosen, so only it is joined.
+    """
+    alike = ["display_route_type", "bike_route_oneway", "bike_route_oneway_dir", "street_name", "route"]
+    first = F.when(F.count("route_segment_id") == F.count(F.lit(1)), F.min("route_segment_id"))  # a null is the first
+    routes = routes.groupBy(*alike).agg(first.alias("route_segment_id"))
     found = route_candidates(edges, routes, eps).where("is_endpoints_near")
     fits = F.coalesce("is_direction_compatible", F.lit(True))
     order = Window.partitionBy(*KEY).orderBy(F.asc("safety_rank"), F.desc_nulls_first("is_name_match"), fits.desc_nulls_first(), F.asc("route_segment_id"))

@@ -470,3 +470,13 @@ def test_crashes_at_one_place_are_added_up_before_the_join(spark):
     out = network.crash_scores(_one_street(spark), crashes, 0.0004, "2024-01-01")
     assert [(r["crash_count"], round(r["crash_score"], 9)) for r in out.collect()] == [(50, 50.0)]
     assert out._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 2
+
+
+def test_routes_alike_are_joined_once(spark):
+    """Of routes alike in all but their id the first is chosen, and only it meets the edges."""
+    from geoloom.operators import network
+
+    routes = _one_street(spark).selectExpr("'Bike Lane' as display_route_type", "'2W' as bike_route_oneway", "cast(null as string) as bike_route_oneway_dir", "'MAIN' as street_name", "line as route", "explode(sequence(7L, 60L)) as route_segment_id")
+    out = network.best_routes(_one_street(spark), routes, 0.00015)
+    assert [r["route_segment_id"] for r in out.collect()] == [7]
+    assert "Aggregate" in out._jdf.queryExecution().optimizedPlan().toString()
