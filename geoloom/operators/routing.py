@@ -1,6 +1,7 @@
 """Batch routing over cells of a street network.
 
-The network is cut into cells of neighbouring nodes. Within a cell, the least costs between the edges that cross its border,
+The network is cut into cells of neighbouring nodes. A part of it that no street links with the rest stays in one cell if it
+is small enough: its requests are answered there, each searched no further than its destination. Larger parts are cut. Within a cell, the least costs between the edges that cross its border,
 from asked origins and to asked destinations are found at once, a task working on one cell. The search itself then
 moves by whole cells: a state is a crossing edge that a request has reached, a round is one join with the costs across
 cells, and a way of a hundred streets takes a handful of rounds. It is directed at the destination: what is left to go
@@ -29,6 +30,7 @@ _BLOCK = 64
 
 _GRAPH = "kind string, a long, b long, c long, w long"
 _LEGS = "kind string, from_u long, from_v long, to_u long, to_v long, w long"
+_PARTS = "node long, part long"
 _PATHS = "kind string, from_u long, from_v long, to_u long, to_v long, nodes array<long>"
 _LEG = ["kind", "from_u", "from_v", "to_u", "to_v"]
 
@@ -49,6 +51,39 @@ def node_cells(nodes: DataFrame, cell_nodes: int) -> DataFrame:
     return stage(numbered(placed, ["z", "node"]).select("node", F.floor(F.col("at") / cell_nodes).cast("long").alias("cell"), "x", "y"))
 
 
+def _linked(cell: pa.Table) -> pa.Table:
+    """The smallest node that each node is linked with by edges inside the cell."""
+    top: dict[int, int] = {}
+
+    def find(n: int) -> int:
+        while top[n] != n:
+            top[n] = n = top[top[n]]
+        return n
+
+    for u, v in zip(cell.column("u").to_pylist(), cell.column("v").to_pylist(), strict=True):
+        a, b = (find(top.setdefault(n, n)) for n in (u, v))
+        top[max(a, b)] = min(a, b)
+    return pa.table({"node": pa.array(top, pa.int64()), "part": pa.array(map(find, top), pa.int64())})
+
+
+def linked_cells(cells: DataFrame, steps: DataFrame, cell_nodes: int) -> DataFrame:
+    """``cells`` with ``component`` (its smallest node) and ``whole``. Components of at most four cells' nodes are whole: each
+    lies in one cell, with other such ones until ``cell_nodes`` are reached; the rest keep the runs they are in. Staged.
+    """
+    of = lambda n: cells.select(F.col("node").alias(n), F.col("cell").alias(f"cell_{n}"))
+    ends = stage(steps.select("u", "v").join(of("u"), "u").join(of("v"), "v"))
+    inside = ends.where("cell_u = cell_v").select(F.col("cell_u").alias("cell"), "u", "v").groupBy("cell").applyInArrow(_linked, _PARTS)
+    parts = stage(cells.join(inside, "node", "left").select("node", "cell", "x", "y", F.coalesce("part", "node").alias("part")))
+    part = lambda n: parts.select(F.col("node").alias(n), F.col("part").alias(f"part_{n}"))
+    links = ends.where("cell_u <> cell_v").join(part("u"), "u").join(part("v"), "v").select("part_u", "part_v").distinct()
+    found = connected_components(links, "part_u", "part_v").withColumnRenamed("node", "part")
+    linked = stage(parts.join(found, "part", "left").select("node", "cell", "x", "y", F.coalesce("component", "part").alias("component")))
+    small = linked.groupBy("component").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") <= 4 * cell_nodes)
+    packed = numbered(small, ["component"], "size").select("component", F.floor(F.col("before_size") / cell_nodes).cast("long").alias("pack"))
+    own = F.coalesce(F.col("pack") * 2, F.col("cell") * 2 + 1)
+    return stage(linked.join(packed, "component", "left").select("node", own.alias("cell"), "x", "y", "component", F.col("pack").isNotNull().alias("whole")))
+
+
 def _weight(amount: Column) -> Column:
     return F.shiftleft(F.round(amount * UNITS).cast("long"), LOW)
 
@@ -95,8 +130,12 @@ class _Cell:
             self.leaving.setdefault(u, []).append(i)
             self.coming.setdefault(v, []).append(i)
 
-    def least(self, sources: list[tuple[int, int | None]]) -> np.ndarray:
-        """Weights of all states (down) for each source (across): an entering edge (u, v), or an origin (node, None)."""
+    def least(self, sources: list[tuple[int, int | None]], wanted: list[list[np.ndarray]] | None = None) -> np.ndarray:
+        """Weights of all states (down) for each source (across): an entering edge (u, v), or an origin (node, None).
+
+        ``wanted`` lists for each source groups of states of which the least is asked for. Then only weights up to the
+        greatest of these leasts are right; the others may be too large.
+        """
         d = np.full((len(self.states), len(sources)), _FAR)
         for i, (u, v) in enumerate(sources):
             if v is None:
@@ -104,17 +143,31 @@ class _Cell:
                 d[at, i] = self.cost[at]
             else:
                 d[self.index[u, v], i] = 0
-        if len(self.heads):
-            ends = self.to[self.heads]
-            while True:
-                nearer = d[self.of]
-                nearer += self.w[:, None]
-                nearer = np.minimum.reduceat(nearer, self.heads, axis=0)
-                had = d[ends]
-                if not (nearer < had).any():
-                    break
-                d[ends] = np.minimum(nearer, had)
-        return d
+        limit = np.full(len(sources), _FAR)
+        groups = [(i, g) for i, w in enumerate(wanted or []) for g in w]
+        if groups:
+            row, col = np.concatenate([g for _, g in groups]), np.repeat([i for i, _ in groups], [len(g) for _, g in groups])
+            starts = np.cumsum([0] + [len(g) for _, g in groups[:-1]])
+            of = np.array([i for i, _ in groups])
+            firsts = _heads(of)
+            limit[[i for i, w in enumerate(wanted) if not w]] = -1
+        fresh = (d < _FAR).any(axis=1)
+        while True:
+            if groups:
+                limit[of[firsts]] = np.maximum.reduceat(np.minimum.reduceat(d[row, col], starts), firsts)
+            on = np.flatnonzero(fresh[self.of])
+            if not len(on):
+                return d
+            heads = _heads(self.to[on])
+            ends = self.to[on[heads]]
+            nearer = d[self.of[on]]
+            nearer += self.w[on, None]
+            nearer = np.minimum.reduceat(nearer, heads, axis=0)
+            had = d[ends]
+            better = (nearer < had) & (nearer <= limit)
+            d[ends] = np.where(better, nearer, had)
+            fresh[:] = False
+            fresh[ends] = better.any(axis=1)
 
     def arrivals(self, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The nodes that a state ends in, and the least weight of an arrival there (down) for each source."""
@@ -129,28 +182,14 @@ class _Cell:
         return out
 
 
-def _parts(cell: _Cell) -> dict[int, int]:
-    """The smallest node that each node is linked with inside the cell."""
-    top = {n: n for n in cell.inside}
-
-    def find(n: int) -> int:
-        while top[n] != n:
-            top[n] = n = top[top[n]]
-        return n
-
-    for u, v in cell.states.tolist():
-        if u in top and v in top:
-            a, b = find(u), find(v)
-            top[max(a, b)] = min(a, b)
-    return {n: find(n) for n in top}
-
-
 def _legs(graph: pa.Table, asks: pa.Table) -> pa.Table:
-    """Least weights within one cell; "part" rows tell which nodes are linked inside it."""
+    """Least weights within one cell."""
     cell = _Cell(graph)
     kind, u, v = np.asarray(asks.column("kind").to_pylist()), *(np.asarray(asks.column(k).fill_null(-1)) for k in "uv")
     goals = np.unique(v[kind == "to"])
-    direct = set(zip(u[kind == "direct"].tolist(), v[kind == "direct"].tolist(), strict=True))
+    asked_of: dict[int, set[int]] = {}
+    for o, t in zip(u[kind == "direct"].tolist(), v[kind == "direct"].tolist(), strict=True):
+        asked_of.setdefault(o, set()).add(t)
     origins = sorted(set(u[(kind == "from") | (kind == "direct")].tolist()) & set(cell.leaving))
     out: list[list[np.ndarray]] = []
     none = np.full(1, -1)
@@ -170,38 +209,39 @@ def _legs(graph: pa.Table, asks: pa.Table) -> pa.Table:
         add(2, some[i, 0], some[i, 1], none, nodes[j], least[j, i])
     for at in range(0, len(origins), _BLOCK):
         some = np.array(origins[at : at + _BLOCK])
-        d = cell.least([(o, None) for o in some.tolist()])
+        # without a way out of the cell nothing but its own destinations is asked for
+        wanted = None if len(cell.exits) else [[np.array(cell.coming[t]) for t in asked_of.get(o, ()) if t in cell.coming] for o in some.tolist()]
+        d = cell.least([(o, None) for o in some.tolist()], wanted)
         j, i = np.nonzero(d[cell.exits] < _FAR)
         add(0, some[i], none, places[j, 0], places[j, 1], d[cell.exits[j], i])
         nodes, least = cell.arrivals(d)
         row, col = {o: i for i, o in enumerate(some.tolist())}, {t: j for j, t in enumerate(nodes.tolist())}
-        hit = np.array([(row[o], col[t]) for o, t in direct if o in row and t in col and least[col[t], row[o]] < _FAR], int).reshape(-1, 2)
+        hit = np.array([(row[o], col[t]) for o in row for t in asked_of.get(o, ()) if t in col and least[col[t], row[o]] < _FAR], int).reshape(-1, 2)
         add(3, some[hit[:, 0]], none, none, nodes[hit[:, 1]], least[hit[:, 1], hit[:, 0]])
-    parts = _parts(cell)
-    add(4, np.array(list(parts), np.int64), none, none, np.array(list(parts.values()), np.int64), np.zeros(1, np.int64))
     columns = [np.concatenate(c) if out else np.empty(0, np.int64) for c in zip(*out, strict=True)]
-    names = pa.DictionaryArray.from_arrays(pa.array(columns[0], pa.int32()), pa.array(["from", "across", "to", "direct", "part"])).cast(pa.string())
+    names = pa.DictionaryArray.from_arrays(pa.array(columns[0], pa.int32()), pa.array(["from", "across", "to", "direct"])).cast(pa.string())
     return pa.table({"kind": names} | {k: pa.array(c, pa.int64(), mask=c < 0) for k, c in zip([*_LEG[1:], "w"], columns[1:], strict=True)})
 
 
 def _spell(graph: pa.Table, legs: pa.Table) -> pa.Table:
     """The nodes of legs within one cell, without those that the leg before has named."""
     cell, rows = _Cell(graph), list(zip(*(legs.column(k).to_pylist() for k in _LEG), strict=True))
-    sources = sorted({(r[1], r[2]) for r in rows}, key=str)
+    of_source: dict[tuple, dict[tuple, list[int]]] = {}
+    for r in rows:
+        of_source.setdefault((r[1], r[2]), {})[r] = [cell.index[r[3], r[4]]] if r[3] is not None else cell.coming[r[4]]
+    sources = sorted(of_source, key=lambda s: (s[0], -1 if s[1] is None else s[1]))
     nodes = {}
     for at in range(0, len(sources), _BLOCK):
         some = sources[at : at + _BLOCK]
-        d = cell.least(some)
+        d = cell.least(some, [[np.array(e) for e in of_source[s].values()] for s in some])
         before = cell.before(d)
-        where = {s: (d[:, i], before[:, i]) for i, s in enumerate(some)}
-        for r in rows:
-            if r not in nodes and (r[1], r[2]) in where:
-                row, come_from = where[r[1], r[2]]
-                ends = [cell.index[r[3], r[4]]] if r[3] is not None else cell.coming[r[4]]
-                state, back = min(ends, key=lambda i: row[i]), []
+        for i, s in enumerate(some):
+            row, come_from = d[:, i].tolist(), before[:, i].tolist()
+            for r, ends in of_source[s].items():
+                state, back = min(ends, key=row.__getitem__), []
                 while state >= 0:
                     back.append(state)
-                    state = int(come_from[state])
+                    state = come_from[state]
                 walk = cell.states[back[::-1], 1].tolist()
                 nodes[r] = [r[1], *walk] if r[2] is None else walk[1:]
     kept = [r for r in dict.fromkeys(rows) if r in nodes]
@@ -216,12 +256,13 @@ def route_batch(pairs: DataFrame, edges: DataFrame, penalties: DataFrame, nodes:
     for each way on from edge (a, b) to (b, c). nodes: osmid, x, y. Costs count in thousandths; of equally dear ways one
     is chosen, always the same. Without a way, cost and path are null; from a node to itself the cost is 0. Requests
     between the same nodes are searched once; those between parts that no street links are not searched. ``cell_nodes``
-    bounds what one task works on, and the number of rounds is that of the cells which a way crosses.
+    (four times as many in parts that are kept whole) bounds what one task works on, and the number of rounds is that of the cells which a way crosses.
     """
-    cells = node_cells(nodes, cell_nodes)
+    steps = edges.select(F.col("u").cast("long").alias("u"), F.col("v").cast("long").alias("v"), (_weight(F.col("cost")) + edge_mark(F.col("u"), F.col("v"))).alias("w"))
+    steps = stage(steps)
+    cells = linked_cells(node_cells(nodes, cell_nodes), steps, cell_nodes)
     at = lambda n: cells.select(F.col("node").alias(n), F.col("cell").alias(f"cell_{n}"))
     where = lambda n: cells.select(F.col("node").alias(n), F.col("x").alias(f"x_{n}"), F.col("y").alias(f"y_{n}"))
-    steps = edges.select(F.col("u").cast("long").alias("u"), F.col("v").cast("long").alias("v"), (_weight(F.col("cost")) + edge_mark(F.col("u"), F.col("v"))).alias("w"))
     steps = stage(steps.join(at("u"), "u").join(at("v"), "v"))
     turns = penalties.select(*[F.col(k).cast("long").alias(k) for k in "abc"], "penalty")
     moves = turns.join(steps.select(F.col("u").alias("b"), F.col("v").alias("c"), "w", F.col("cell_u").alias("cell")), ["b", "c"]).select("cell", F.lit("move").alias("kind"), "a", "b", "c", (F.col("w") + _weight(F.col("penalty"))).alias("w"))
@@ -231,20 +272,16 @@ def route_batch(pairs: DataFrame, edges: DataFrame, penalties: DataFrame, nodes:
     graph = stage(moves.unionByName(inner).unionByName(enter))
 
     asked = pairs.select(F.col("origin").cast("long").alias("o"), F.col("destination").cast("long").alias("d")).where("o <> d").distinct()
-    asked = stage(asked.join(at("o"), "o").join(at("d"), "d"))
-    asks = asked.select(F.col("cell_o").alias("cell"), F.lit("from").alias("kind"), F.col("o").alias("u"), none.alias("v")).union(asked.select("cell_d", F.lit("to"), none, "d")).distinct()
+    part = lambda n: cells.select(F.col("node").alias(n), F.col("cell").alias(f"cell_{n}"), F.col("component").alias(f"in_{n}"), "whole")
+    asked = stage(asked.join(part("o"), "o").join(part("d").drop("whole"), "d").where("in_o = in_d").drop("in_o", "in_d"))
+    cut = asked.where("not whole")
+    asks = cut.select(F.col("cell_o").alias("cell"), F.lit("from").alias("kind"), F.col("o").alias("u"), none.alias("v")).union(cut.select("cell_d", F.lit("to"), none, "d")).distinct()
     asks = asks.union(asked.where("cell_o = cell_d").select("cell_o", F.lit("direct"), "o", "d"))
     parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = lambda rows: rows.repartition(parts, "cell").groupBy("cell")  # noqa: E731  by number: small cells are dear, so they aren't put together
     legs = stage(dealt(graph).cogroup(dealt(asks)).applyInArrow(_legs, _LEGS))
 
-    inside = legs.where("kind = 'part'").select(F.col("from_u").alias("node"), F.col("to_v").alias("part"))
-    of = lambda n, p: inside.select(F.col("node").alias(n), F.col("part").alias(p))
-    links = steps.where("cell_u <> cell_v").join(of("u", "part_u"), "u").join(of("v", "part_v"), "v").select("part_u", "part_v").distinct()
-    whole = connected_components(links, "part_u", "part_v")
-    linked = stage(inside.join(whole.withColumnRenamed("node", "part"), "part", "left").select("node", F.coalesce("component", "part").alias("component")))
-    ends = [linked.select(F.col("node").alias(n), F.col("component").alias(f"in_{n}")) for n in "od"]
-    open_ = asked.join(ends[0], "o").join(ends[1], "d").where("in_o = in_d").join(where("d"), "d").select("o", "d", "x_d", "y_d")
+    open_ = cut.join(where("d"), "d").select("o", "d", "x_d", "y_d")
 
     gap = lambda a, b: F.sqrt(F.pow(F.col(f"x_{a}") - F.col(f"x_{b}"), 2) + F.pow(F.col(f"y_{a}") - F.col(f"y_{b}"), 2))
     rate = edges.select("u", "v", "cost").join(where("u"), "u").join(where("v"), "v").agg(F.min(F.when(gap("u", "v") > 0, F.col("cost") * UNITS / gap("u", "v")))).first()[0]
@@ -305,7 +342,7 @@ def route_batch(pairs: DataFrame, edges: DataFrame, penalties: DataFrame, nodes:
     spelled = dealt(graph).cogroup(dealt(used)).applyInArrow(_spell, _PATHS)
     alike = [legs_of[c].eqNullSafe(spelled[c]) for c in _LEG]
     paths = legs_of.join(spelled, alike).groupBy("o", "d").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("back")).alias("pos"), "nodes"))), lambda s: s["nodes"])).alias("path"))
-    found = routes.select("o", "d", "w").join(paths, ["o", "d"])
+    found = stage(routes.select("o", "d", "w").join(paths, ["o", "d"]))
     out = pairs.join(found, (pairs["origin"] == found["o"]) & (pairs["destination"] == found["d"]), "left")
     same = F.col("origin") == F.col("destination")
     return out.select("pair", "origin", "destination", F.when(same, 0.0).otherwise(F.shiftright("w", LOW) / F.lit(float(UNITS))).alias("cost"), F.when(same, F.array(F.col("origin").cast("long"))).otherwise(F.col("path")).alias("path"))

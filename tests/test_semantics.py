@@ -480,3 +480,16 @@ def test_routes_alike_are_joined_once(spark):
     out = network.best_routes(_one_street(spark), routes, 0.00015)
     assert [r["route_segment_id"] for r in out.collect()] == [7]
     assert "Aggregate" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_streets_of_small_parts_stay_in_one_cell(spark):
+    """Rows of streets without links between them: no request needs a round, all arrive; larger parts are still cut."""
+    n = spark.createDataFrame([(i, float(i % 10), float(i // 10)) for i in range(60)], "osmid int, x double, y double")
+    e = spark.createDataFrame([(i, j, 1.0) for i in range(60) for j in (i - 1, i + 1) if 0 <= j < 60 and i // 10 == j // 10], "u int, v int, cost double")
+    cells = {r["node"]: r for r in routing.linked_cells(routing.node_cells(n, 3), e, 3).collect()}
+    assert len(cells) == 60 and all(r["whole"] and r["component"] == k // 10 * 10 and r["cell"] == cells[k // 10 * 10]["cell"] for k, r in cells.items())
+    assert not any(r["whole"] for r in routing.linked_cells(routing.node_cells(n, 2), e, 2).collect())
+    turns = spark.createDataFrame([(i - k, i, i + j, 0.0) for i in range(60) for k in (-1, 1) for j in (-1, 1)], "a int, b int, c int, penalty double")
+    asked = [(i * 60 + j, i, j) for i in range(0, 60, 7) for j in range(60)]
+    got = routing.route_batch(spark.createDataFrame(asked, "pair int, origin int, destination int"), e, turns, n, 3).collect()
+    assert {r["pair"]: (r["cost"], r["path"]) for r in got} == {p: (float(abs(o - d)), list(range(o, d + 1)) or list(range(o, d - 1, -1))) if o // 10 == d // 10 else (None, None) for p, o, d in asked}
