@@ -3,8 +3,8 @@
 Every document's distinct word shingles give a signature of trees x depth minima. Documents with one and the same set
 are a class; one of them stands for it. For each tree all representatives are put in the order of the tree's label
 (its minima, most significant first) by a range shuffle, and each looks back at the nearest rows of that order whose
-label shares a prefix with its own: the longest-common-prefix neighbours, at most trees x look pairs a row. Rows on
-either side of a partition's edge meet in a second, small step.
+label shares a prefix with its own: the longest-common-prefix neighbours, at most trees x look pairs a row. The rows before
+a partition's first ones, one packed row from each partition that holds some, are looked at in a second, small step.
 
 A tree can lose a pair only where it shares no minimum or where ``look`` rows stand between the two, all with their
 first minimum. Documents whose row at distance look still has their first minimum in ``CROWDED`` trees or more are
@@ -81,81 +81,102 @@ def neighbours(labels: DataFrame, depth: int, look: int, test: Callable | None =
     columns = ["doc_id", "tree", "label", "part", *(["sketch"] if test else [])]
     parts = max(int(labels.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
     ordered = labels.select(columns).repartitionByRange(parts, "tree", "label", "doc_id").sortWithinPartitions("tree", "label", "doc_id")
+    kind = pa.struct([("tree", pa.int64()), ("label", pa.binary()), ("doc_id", pa.int64()), ("part", pa.int64()), ("sketch", pa.binary())])
 
     def bytes_of(column: pa.Array) -> np.ndarray:
         return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
-    def back(tree: np.ndarray, label: np.ndarray, ids: np.ndarray, own: np.ndarray, sketch: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of each row from ``first`` on with the ``look`` rows before it that share a label prefix."""
-        found_a, found_b = [], []
+    def back(rows: tuple[np.ndarray, ...], first: int, stop: int) -> tuple[np.ndarray, ...]:
+        """Pairs of each row from ``first`` on with those of the ``look`` rows before it that lie before ``stop`` and share a
+        label prefix; and, without ``test``, the rows at either end of a whole ``look`` that does."""
+        tree, label, ids, own, sketch = rows
+        found_a, found_b, far = [], [], np.empty(0, np.int64)
         for d in range(1, look + 1):
-            lo = max(first, d)
-            if lo >= len(ids):
+            lo, hi = max(first, d), min(len(ids), stop + d)
+            if lo >= hi:
                 continue
-            same = (tree[lo:] == tree[lo - d : -d]) & (own[lo:] != own[lo - d : -d]) & (label[lo:, 0] == label[lo - d : -d, 0])
-            at = np.flatnonzero(same) + lo
+            at = np.flatnonzero((tree[lo:hi] == tree[lo - d : hi - d]) & (label[lo:hi, 0] == label[lo - d : hi - d, 0])) + lo
+            if d == look and not test:
+                far = np.union1d(at, at - look)
+            at = at[own[at] != own[at - d]]
             if test and len(at):
                 at = at[test(sketch[at], sketch[at - d])]
             found_a.append(ids[at])
             found_b.append(ids[at - d])
         a = np.concatenate(found_a) if found_a else np.empty(0, np.int64)
         b = np.concatenate(found_b) if found_b else np.empty(0, np.int64)
-        return np.minimum(a, b), np.maximum(a, b)
+        return np.minimum(a, b), np.maximum(a, b), ids[far], tree[far]
 
-    def arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
-        label = bytes_of(batch.column("label")).view(">u4").reshape(batch.num_rows, depth)
-        sketch = bytes_of(batch.column("sketch")) if test else np.empty((batch.num_rows, 0), np.uint8)
-        return batch.column("tree").to_numpy(), label, batch.column("doc_id").to_numpy(), batch.column("part").to_numpy(), sketch
+    def arrays(tree: pa.Array, label: pa.Array, ids: pa.Array, own: pa.Array, sketch: pa.Array | None) -> tuple[np.ndarray, ...]:
+        n = len(ids)
+        tail = bytes_of(sketch) if test else np.empty((n, 0), np.uint8)
+        return tree.to_numpy(), bytes_of(label).view(">u4").reshape(n, depth), ids.to_numpy(), own.to_numpy(), tail
 
-    def rows(a, b=None, edge=None, tree=None, label=None, sketch=None) -> pa.RecordBatch:
-        n = len(a)
-        text = [pa.array([x.tobytes() for x in y], pa.binary()) if y is not None else pa.nulls(n, pa.binary()) for y in (label, sketch)]
-        number = [pa.array(y, pa.int64()) if y is not None else pa.nulls(n, pa.int64()) for y in (a, b, tree)]
-        where = pa.array(np.full(n, edge), pa.int32()) if edge is not None else pa.nulls(n, pa.int32())
-        return pa.RecordBatch.from_arrays([number[0], number[1], where, number[2], *text], ["a", "b", "edge", "tree", "label", "sketch"])
+    def joined(*parts: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+    def found(a: np.ndarray, b: np.ndarray, far: np.ndarray, tree: np.ndarray) -> list[pa.Array]:
+        """a, b, tree: pairs (tree null), then crowded rows (b null)."""
+        n, m = len(a), len(far)
+        return [pa.array(np.concatenate([a, far])), pa.concat_arrays([pa.array(b), pa.nulls(m, pa.int64())]), pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(tree)])]
+
+    def packed(rows: tuple[np.ndarray, ...]) -> pa.Array:
+        """The rows as one list."""
+        tree, label, ids, own, sketch = rows
+        text = [pa.array([x.tobytes() for x in y], pa.binary()) for y in (label.astype(">u4"), sketch)]
+        return pa.ListArray.from_arrays([0, len(ids)], pa.StructArray.from_arrays([pa.array(tree), text[0], pa.array(ids), pa.array(own), text[1]], fields=list(kind)))
+
+    names = ["a", "b", "tree", "place", "held", "head", "tail"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs inside a partition (edge null), and the rows at its two edges (a the row, b its part)."""
-        part, keep = TaskContext.get().partitionId(), None
-        got = 0
+        """Pairs and crowded rows inside a partition, and one row with its place, its rows and the first and last ``look``."""
+        head, keep, held = None, None, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            tree, label, ids, own, sketch = arrays(batch)
-            if got < look:
-                n = look - got
-                yield rows(ids[:n], own[:n], part - 1, tree[:n], label[:n].astype(">u4"), sketch[:n])
-            got += len(ids)
-            first = 0
-            if keep is not None:
-                first = len(keep[2])
-                tree, label, ids, own, sketch = (np.concatenate([x, y]) for x, y in zip(keep, (tree, label, ids, own, sketch), strict=True))
-            a, b = back(tree, label, ids, own, sketch, first)
-            if len(a):
-                yield rows(a, b)
-            lo = max(first, look)
-            far = np.flatnonzero((tree[lo:] == tree[lo - look : len(ids) - look]) & (label[lo:, 0] == label[lo - look : len(ids) - look, 0])) + lo
-            if len(far) and not test:  # crowded rows: a the row, b and edge null
-                far = np.union1d(far, far - look)
-                yield rows(ids[far], tree=tree[far])
-            keep = tree[-look:], label[-look:], ids[-look:], own[-look:], sketch[-look:]
-        if keep is not None:
-            yield rows(keep[2], keep[3], part, keep[0], keep[1].astype(">u4"), keep[4])
+            rows = arrays(*(batch.column(c) for c in ("tree", "label", "doc_id", "part")), batch.column("sketch") if test else None)
+            held += batch.num_rows
+            first = 0 if keep is None else len(keep[2])
+            rows = rows if keep is None else joined(keep, rows)
+            some = found(*back(rows, first, len(rows[2])))
+            n = len(some[0])
+            if n:
+                yield pa.RecordBatch.from_arrays([*some, pa.nulls(n, pa.int32()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(kind)), pa.nulls(n, pa.list_(kind))], names)
+            if head is None or len(head[2]) < look:  # until then nothing has left ``rows``
+                head = tuple(x[:look] for x in rows)
+            keep = tuple(x[-look:] for x in rows)
+        if held:
+            number = [pa.nulls(1, pa.int64())] * 3
+            yield pa.RecordBatch.from_arrays([*number, pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([held]), packed(head), packed(keep)], names)
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The first rows of a partition with the ``look`` rows before it."""
         for batch in batches:
-            if batch.num_rows:
-                ok = pa.array(test(bytes_of(batch.column("x_sketch")), bytes_of(batch.column("y_sketch"))))
-                yield pa.RecordBatch.from_arrays([batch.column(c).filter(ok) for c in ("x", "y")], ["x", "y"])
-
-    made = stage(ordered.mapInArrow(run, "a long, b long, edge int, tree long, label binary, sketch binary"))
-    x, y = (made.where("edge is not null").select("edge", "tree", F.substring("label", 1, 4).alias("first"), F.col("a").alias(n), F.col("b").alias(f"{n}_part"), F.col("sketch").alias(f"{n}_sketch")) for n in ("x", "y"))
-    met = x.join(y, ["edge", "tree", "first"]).where("x_part <> y_part")
-    # at an edge the distance is not known, so what meets there counts as crowded
-    tight = made.where("edge is null and b is null").select(F.col("a").alias("id"), "tree").union(met.select(F.col("x").alias("id"), "tree"))
-    met = met.select("x", "y", "x_sketch", "y_sketch").mapInArrow(across, "x long, y long") if test else met
-    over = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-    return made.where("edge is null and a <> b").select("a", "b").union(over), tight
+            for i in range(batch.num_rows):
+                rows = pa.concat_arrays([batch.column(c)[i].values for c in ("tail", "head")])
+                before = len(batch.column("tail")[i].values)
+                rows = arrays(*(rows.field(c) for c in ("tree", "label", "doc_id", "part", "sketch")))
+                skip = max(before - look, 0)
+                yield pa.RecordBatch.from_arrays(found(*back(tuple(x[skip:] for x in rows), before - skip, before - skip)), names[:3])
+
+    rows = "array<struct<tree:long,label:binary,doc_id:long,part:long,sketch:binary>>"
+    made = stage(ordered.mapInArrow(run, f"a long, b long, tree long, place int, held long, head {rows}, tail {rows}"))
+    ends = made.where("place is not null")
+    # which partitions hold the ``look`` rows before another: from the partitions' numbers of rows alone
+    sizes = sorted((r["place"], r["held"]) for r in ends.select("place", "held").collect())
+    meets = []
+    for i, (to, _) in enumerate(sizes):
+        wanted, j = look, i - 1
+        while wanted > 0 and j >= 0:
+            meets.append((sizes[j][0], to))
+            wanted -= sizes[j][1]
+            j -= 1
+    meets = F.broadcast(labels.sparkSession.createDataFrame(meets, "place int, to int"))
+    tails = ends.select("place", "tail").join(meets, "place").groupBy("to").agg(F.sort_array(F.collect_list(F.struct("place", "tail"))).alias("x"))
+    tails = tails.select(F.col("to").alias("place"), F.flatten("x.tail").alias("tail"))
+    over = ends.select("place", "head").join(tails, "place").select("tail", "head").mapInArrow(across, "a long, b long, tree long")
+    every = made.where("place is null").select("a", "b", "tree").union(stage(over))
+    return every.where("b is not null").select("a", "b"), every.where("b is null").select(F.col("a").alias("id"), "tree")
 
 
 def crowd_links(docs: DataFrame, crowd: DataFrame, reps: DataFrame, of: DataFrame, k: int, percent: int, depth: int) -> tuple[DataFrame, DataFrame]:

@@ -15,7 +15,7 @@ from geoloom.llm.byte_bpe import decode, encode, round_trip
 from geoloom.llm.exact_dedup import exact_dedup
 from geoloom.llm.license_scan import TEMPLATES, align, disjoint, license_scan, words_of
 from geoloom.llm.lm_score import lm_score
-from geoloom.llm.near_dedup import near_dedup
+from geoloom.llm.near_dedup import near_dedup, neighbours
 from geoloom.llm.packing import pack, solve_patterns
 from geoloom.llm.substring_dedup import remove_repeats, substring_dedup
 from geoloom.llm.token_counts import token_counts
@@ -550,6 +550,32 @@ def test_near_dedup_form_letters(spark):
     assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in rows} == want
 
 
+@pytest.mark.parametrize("parts", [1, 3, 16])
+def test_neighbours_do_not_depend_on_partitions(spark, parts):
+    """A row meets the rows just before it, also those of partitions before its own that hold only few; never more of them."""
+    rows = [(t, struct.pack(">2I", i // 30, i), i, 0 if i % 5 else i) for t in (0, 1) for i in range(60)]
+    want, tight = set(), set()
+    for t, label, i, own in rows:
+        for d in range(1, 5):
+            j = i - d
+            if j >= 0 and j // 30 == i // 30:
+                if own != (0 if j % 5 else j):
+                    want.add((j, i))
+                if d == 4:
+                    tight |= {(i, t), (j, t)}
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        pairs, far = neighbours(spark.createDataFrame(rows, "tree long, label binary, doc_id long, part long"), 2, 4)
+        assert {tuple(r) for r in pairs.collect()} == want
+        assert {tuple(r) for r in far.collect()} == tight
+        labels = spark.createDataFrame([(*r, bytes([r[2] % 2])) for r in rows], "tree long, label binary, doc_id long, part long, sketch binary")
+        pairs, _ = neighbours(labels, 2, 4, lambda x, y: (x == y).all(1))
+        assert {tuple(r) for r in pairs.collect()} == {(a, b) for a, b in want if a % 2 == b % 2}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+
+
 def test_exact_dedup_hot_group_without_ids(spark):
     """A third of all rows are one text without an id: dealt to several tasks, one of them stays."""
     rows = [(None, "Same TEXT")] * 1500 + [(7, "same text")] * 1500 + [(10 + i, f"text {i}") for i in range(3000)]
