@@ -5,8 +5,9 @@ equals). Equal windows have equal anchors at equal places, and neighbouring wind
 gives about 2 anchors per 41 words, each with the run of windows that chose it. Documents are joined on anchors: only
 an anchor that occurs in two documents can lie in a repeat.
 
-Extension. Around each shared anchor the match is extended over the windows of its run to the left and to the right:
-every window is hashed as a whole (96 bits), and the least doc_id that holds it is found by a pre-aggregated count, so no
+Extension. Where all runs of an anchor are the same words (64 bits besides those of the anchor), whole runs are repeats: all
+but those of the least doc_id go, and no window is looked at. Around each other shared anchor the match is extended over the
+windows of its run to the left and to the right: every window is hashed as a whole (96 bits), and the least doc_id that holds it is found by a pre-aggregated count, so no
 pairs of documents are made, however many share a passage. Windows first seen in a smaller document merge into maximal
 repeats (runs of windows), whose words go.
 """
@@ -18,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.llm.arrow import WORD_BYTES, Words, gram_hashes, mix, slices
@@ -60,14 +61,16 @@ def window_anchors(grams: np.ndarray, span: int) -> np.ndarray:
 
 
 def _anchors(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """doc_id, mark, anchor (hash), first (first window of the run), n (windows in the run). docs: doc_id, mark, text."""
+    """doc_id, mark, anchor (hash), run (hash of all its words), first (first window of the run), n (windows in the run).
+    docs: doc_id, mark, text."""
     span = window - gram + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=WORD_BYTES):
             words = Words(batch, lower=False)
-            grams = gram_hashes(words.hashes(), gram)
-            rows, hashes, firsts, counts = [], [], [], []
+            h = words.hashes()
+            grams, whole = gram_hashes(h, gram), gram_hashes(h, window)
+            rows, hashes, runs, firsts, counts = [], [], [], [], []
             for r in range(words.rows):
                 a, b = words.first[r], words.first[r + 1]
                 if b - a < window:
@@ -77,38 +80,43 @@ def _anchors(docs: DataFrame, window: int, gram: int) -> DataFrame:
                 begin = np.flatnonzero(np.diff(chosen, prepend=-1))
                 rows.append(np.full(len(begin), r))
                 hashes.append(g[chosen[begin]])
+                n = np.diff(begin, append=len(chosen))
+                # the first and the last window cover the run: it has at most ``span`` windows
+                runs.append(mix(mix(whole[a + begin]) ^ (whole[a + begin + n - 1] + n.astype(np.uint64))))
                 firsts.append(begin)
-                counts.append(np.diff(begin, append=len(chosen)))
+                counts.append(n)
             if rows:
                 at = pa.array(np.concatenate(rows))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(at), batch.column(1).take(at), pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(firsts), pa.int32()), pa.array(np.concatenate(counts), pa.int32())],
-                    ["doc_id", "mark", "anchor", "first", "n"],
+                    [batch.column(0).take(at), batch.column(1).take(at), *(pa.array(np.concatenate(x).view(np.int64)) for x in (hashes, runs)), *(pa.array(np.concatenate(x), pa.int32()) for x in (firsts, counts))],
+                    ["doc_id", "mark", "anchor", "run", "first", "n"],
                 )
 
-    return docs.mapInArrow(run, "doc_id long, mark long, anchor long, first int, n int")
+    return docs.mapInArrow(run, "doc_id long, mark long, anchor long, run long, first int, n int")
 
 
-def _beside(docs: DataFrame, ranges: DataFrame, how: str) -> DataFrame:
-    """docs with the ranges (id, of, runs) of each; the ranges travel whole only while they are few bytes in memory."""
+def _beside(docs: DataFrame, ranges: DataFrame) -> DataFrame:
+    """docs with the ranges (id, of, runs) of each, if any; the ranges travel whole only while they are few bytes in memory."""
     size = ranges.agg(F.sum(F.size("runs") * 40 + 64)).first()[0] or 0
-    return docs.join(F.broadcast(ranges) if size <= BROADCAST_BYTES else ranges.hint("merge"), (docs.doc_id == ranges.id) & (docs.mark == ranges.of), how)
+    return docs.join(F.broadcast(ranges) if size <= BROADCAST_BYTES else ranges.hint("merge"), (docs.doc_id == ranges.id) & (docs.mark == ranges.of), "left")
 
 
-def _shared(rows: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Rows, those of their keys that several doc_ids have (lo: the least), and what to join both on."""
-    groups = stage(rows.groupBy(*keys).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("rows")).where("lo < hi").select(*keys, "lo", "rows"))
+def _shared(rows: DataFrame, keys: list[str], *more: Column) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Rows, those of their keys that several doc_ids have (lo: the least; and more), and what to join both on.
+    Both are shuffled at every size, so what is shuffled grows as the rows do."""
+    groups = stage(rows.groupBy(*keys).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("rows"), *more).where("lo < hi").drop("hi"))
     rows, groups, on = spread(rows, groups, keys, "rows", F.col("doc_id"))
-    return rows, groups.drop("rows"), on
+    return rows, groups.drop("rows").hint("merge"), on
 
 
 def repeats(docs: DataFrame, window: int = 50, gram: int = 10) -> DataFrame:
     """id, of, runs: for each row of ``docs`` (doc_id, mark, text) the runs (first, n) of windows that also start in a row
     with a smaller doc_id. ``of`` is the row's mark, a number for its text, so rows that repeat a doc_id stay apart."""
     anchors = stage(_anchors(docs.where("doc_id is not null"), window, gram))
-    rows, shared, on = _shared(anchors, ["anchor"])
-    seeds = rows.join(shared, on, "left_semi")
-    seeds = stage(seeds.groupBy(F.col("doc_id").alias("id"), F.col("mark").alias("of")).agg(F.collect_set(F.struct("first", "n")).alias("runs")))
+    rows, shared, on = _shared(anchors, ["anchor"], (F.min("run") == F.max("run")).alias("same"))
+    seeds = rows.join(shared, on).where("not same or doc_id > lo")
+    sets = [F.collect_set(F.when(w, F.struct("first", "n"))).alias(c) for c, w in (("runs", ~F.col("same")), ("gone", F.col("same")))]
+    seeds = stage(seeds.groupBy(F.col("doc_id").alias("id"), F.col("mark").alias("of")).agg(*sets))
     free(anchors)
     # where no doc_id repeats, windows need no marks; the ranges get them back from the seeds
     several = not seeds.groupBy("id").count().where("count > 1").isEmpty()
@@ -133,17 +141,18 @@ def repeats(docs: DataFrame, window: int = 50, gram: int = 10) -> DataFrame:
             )
 
     own = F.col("mark") if several else F.lit(0).cast("long")
-    windows = stage(_beside(docs, seeds, "inner").select("doc_id", own.alias("mark"), "text", "runs").mapInArrow(extend, "doc_id long, mark long, window long, check int, at int"))
+    wanted = seeds.where("size(runs) > 0").select("id", "of", "runs").hint("merge")
+    windows = stage(docs.join(wanted, (docs.doc_id == wanted.id) & (docs.mark == wanted.of)).select("doc_id", own.alias("mark"), "text", "runs").mapInArrow(extend, "doc_id long, mark long, window long, check int, at int"))
     rows, least, on = _shared(windows, ["window", "check"])
     late = rows.join(least, on).where("doc_id > lo").groupBy(F.col("doc_id").alias("id"), F.col("mark").alias("of")).agg(F.collect_set("at").alias("at"))
-    if not several:
-        late = late.select("id", "at").join(seeds.select("id", "of"), "id").select("id", "of", "at")
+    late = seeds.select("id", "of", "gone").join(late if several else late.drop("of"), ["id", "of"] if several else "id", "left")
+    late = late.where("at is not null or size(gone) > 0").select("id", "of", "at", "gone")
 
     def maximal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             runs = []
-            for at in batch.column(2).to_pylist():
-                at = np.sort(np.array(at, np.int64))
+            for at, gone in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                at = np.unique(np.concatenate([np.array(at or [], np.int64), *(np.arange(x["first"], x["first"] + x["n"]) for x in gone)]))
                 begin = np.flatnonzero(np.diff(at, prepend=-2) > 1)
                 runs.append([{"first": int(at[i]), "n": int(n)} for i, n in zip(begin, np.diff(begin, append=len(at)), strict=True)])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(runs, pa.list_(pa.struct([("first", pa.int32()), ("n", pa.int32())])))], ["id", "of", "runs"])
@@ -183,7 +192,7 @@ def remove_repeats(docs: DataFrame, window: int = 50, gram: int = 10) -> DataFra
                 [batch.column(0), batch.column(3), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string()), pa.array(sha)], ["doc_id", "mark", "n_words", "n_removed", "kept_text", "kept_sha256"]
             )
 
-    both = _beside(docs, repeats(docs, window, gram), "left").select("doc_id", "text", "runs", "mark")
+    both = _beside(docs, repeats(docs, window, gram)).select("doc_id", "text", "runs", "mark")
     return both.mapInArrow(cut, "doc_id long, mark long, n_words long, n_removed long, kept_text string, kept_sha256 string")
 
 

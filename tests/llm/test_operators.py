@@ -447,6 +447,21 @@ def test_substring_dedup_repeated_ids(spark):
     assert got == [(0, 0), (2, 0), (60, 0), (61, 0), (61, 60)]
 
 
+def test_copied_runs_need_no_windows(spark, monkeypatch):
+    """Where all runs of an anchor are alike they are cut as they are; only at the ends of a passage windows are compared."""
+    from geoloom.llm import substring_dedup as S
+
+    r = random.Random(3)
+    make = lambda k: " ".join(f"w{r.randrange(10**6)}" for _ in range(k))
+    copied, passage = make(900), make(300)
+    texts = [copied, make(50) + " " + passage, copied, copied, passage + " " + make(80), make(20) + " " + passage + " " + make(60)]
+    rows = []
+    monkeypatch.setattr(S, "stage", lambda df, was=S.stage: (lambda out: (rows.append(out.count()) if "window" in out.columns and "at" in out.columns else None, out)[1])(was(df)))
+    got = {x["doc_id"]: (x["n_words"], x["n_removed"], x["kept_sha256"]) for x in S.substring_dedup(frame(spark, texts)).collect()}
+    assert got == brute_removed(dict(enumerate(texts)))
+    assert len(rows) == 1 and rows[0] < 500
+
+
 def test_hot_groups_are_split(spark):
     """A passage that every document has, and thousands of equal texts."""
     texts = [f"{i} " + " ".join(f"p{k}" for k in range(55)) for i in range(2500)] + ["equal text"] * 2500
