@@ -10,10 +10,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.chunks import Cache
+from geoloom.llm.chunks import Cache, give_back
 
 #: Bytes of text that a task works on at once; less where every byte becomes several 64-bit numbers.
-SLICE_BYTES, WORD_BYTES = 4 << 20, 2 << 20
+SLICE_BYTES, WORD_BYTES = 2 << 20, 1 << 20
 
 #: Lower-cases A-Z and nothing else.
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -36,7 +36,9 @@ def held(doc_id: Column, mod: int, rest: int) -> Column:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut record batches so that a slice holds at most about ``limit`` bytes of ``column`` (one row at least)."""
+    """Cut record batches so that a slice holds at most about ``limit`` bytes of ``column`` (one row at least). What the
+    worker's tasks before this one freed goes back to the system first."""
+    give_back()
     for batch in batches:
         if not batch.num_rows:
             continue

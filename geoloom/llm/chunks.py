@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 from collections.abc import Callable, Iterable
 
+import pyarrow as pa
+
 #: The library's white space (Unicode White_Space); Python's own also has 0x1C-0x1F.
 SPACE = "\t-\r \x85\xa0  -     　"
 #: Where cutting before each single space would part a run of white space; plain substring tests are much the fastest.
@@ -21,6 +24,18 @@ def spelling() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in plain)}
 
 
+#: glibc's call that returns free memory to the system; other C libraries have none.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return freed memory to the system. A worker serves operator after operator, and its allocators keep the most that any
+    needed beside what the next one takes."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 class Cache(dict):
     """chunk -> result, filled for many chunks at once; beyond ``limit`` chunks only those just asked for stay, so memory
     is bounded."""
@@ -37,6 +52,7 @@ class Cache(dict):
         if Cache.used is not own:
             if Cache.used is not None:
                 Cache.used.clear()
+                give_back()
             Cache.used = own
 
     def fill(self, lists: list[list[str]]) -> None:

@@ -236,6 +236,7 @@ def fit(docs: DataFrame, labels: DataFrame, mod: int = 3, rest: int = 1, train_r
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Units of labelled sentences, each with a number for the words on either side of it."""
+        Cache.use(None)  # the operator before needs its own no more
         for batch in slices(batches):
             found, known = set(), {}
 
