@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from geoloom.llm.arrow import LOWER, held, mix, slices
 from geoloom.session import stage_bucketed
 
+#: Bytes of text after which a block may end. Smaller slices give more and smaller blocks, which ask for more keys.
+SLICE_BYTES = 4 << 20
 #: The end token; no word holds a line feed.
 END = b"\n"
 #: What is asked: totals of tokens, pairs and triples; sums of contexts of one and of two tokens.
@@ -128,7 +130,7 @@ def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
             cols = [part << 32 | number, ids, outs, lens.tobytes(), _pack(rank[flat]), len(flat), int(lens[~np.array(outs, bool)].sum()), _pack_keys(high[order]), low[order].tobytes()]
             return pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(cols, types, strict=True)], names)
 
-        for batch in slices(batches):
+        for batch in slices(batches, limit=SLICE_BYTES):
             put = vocabulary.__getitem__
             for doc, text, out in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 words = (text or "").encode().translate(LOWER).split()
