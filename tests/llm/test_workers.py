@@ -3,10 +3,12 @@
 import os
 
 import psutil
+import pyarrow as pa
 import pytest
 
 from geoloom.llm.arrow import slices
 from geoloom.llm.chunks import _TRIM, Cache
+from geoloom.session import BATCH_BYTES
 
 
 def freed(n=100_000):
@@ -37,3 +39,14 @@ def test_a_dropped_cache_is_returned():
     before = resident()
     Cache.use(None)
     assert before - resident() > 50, last[:1]
+
+
+def test_workers_get_batches_of_bounded_bytes(spark):
+    """2,000 texts of 5 KB would come in one batch."""
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["bytes"])
+
+    got = [r["bytes"] for r in spark.range(0, 2000, 1, 1).selectExpr("repeat('abcde', 1000) as text").mapInArrow(sizes, "bytes long").collect()]
+    assert sum(got) > 2000 * 5000 and max(got) < BATCH_BYTES + 10_000, got
