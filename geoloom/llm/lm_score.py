@@ -79,24 +79,29 @@ def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """
     n = len(keys)
     if not n:
-        return keys, np.empty(0, np.int64), np.empty(0, np.int64)
+        return keys, np.empty(0, np.int32), np.empty(0, np.int32)
     low = np.uint64((1 << n.bit_length()) - 1)
-    lead = np.uint64(64 - int(keys.max()).bit_length() & 63)
-    order = (np.sort(keys << lead & ~low | np.arange(n, dtype=np.uint64)) & low).astype(np.int64)
+    place = keys << np.uint64(64 - int(keys.max()).bit_length() & 63)
+    place &= ~low
+    place |= np.arange(n, dtype=np.uint64)
+    place.sort()
+    place &= low
+    order = place.astype(np.int32)
+    del place
     ordered = keys[order]
     if (ordered[1:] < ordered[:-1]).any():
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys, kind="stable").astype(np.int32)
         ordered = keys[order]
     new = np.ones(n, bool)
     new[1:] = ordered[1:] != ordered[:-1]
-    of = np.empty(n, np.int64)
-    of[order] = np.cumsum(new) - 1
+    of = np.empty(n, np.int32)
+    of[order] = np.cumsum(new, dtype=np.int32) - 1
     return ordered[new], order[new], of
 
 
 def _numbers(chosen: np.ndarray) -> np.ndarray:
     """For each place the number of chosen ones before it."""
-    return np.cumsum(chosen) - chosen
+    return np.cumsum(chosen, dtype=np.int32) - chosen
 
 
 class _Vocabulary(dict):
@@ -148,49 +153,73 @@ def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     return docs.mapInArrow(run, _BLOCK)
 
 
+def _places(chosen: np.ndarray) -> np.ndarray:
+    """Where ``chosen`` holds, in 32 bits."""
+    return np.flatnonzero(chosen).astype(np.int32)
+
+
+def _parts(x: np.ndarray) -> Iterator[slice]:
+    """Slices of ``x`` whose intermediate results are small beside a block."""
+    yield from (slice(i, i + (1 << 18)) for i in range(0, len(x), 1 << 18))
+
+
 class Block:
-    """A block's tokens and runs, and the answers it got. Keys are hashes of ``width`` bits."""
+    """A block's tokens and runs, and the answers it got. Keys are hashes of ``width`` bits.
+
+    A block has a few million tokens, and what is kept of each of them counts in the memory of a task, so places and
+    numbers within the block have 32 bits (:func:`_distinct` gives such as well).
+    """
 
     def __init__(self, row: dict, width: int, answers: pa.Table | None = None):
         self.number, self.docs, self.held, self.shift = row["block"], row["docs"], row["held"], np.uint64(64 - width)
         self.lens = np.frombuffer(row["lens"], np.int64)
-        self.codes = _unpack(row["codes"])
-        self.rows = np.repeat(np.arange(len(self.lens)), self.lens)
-        self.train = ~np.repeat(np.array(self.held, bool), self.lens)
+        self.codes = _unpack(row["codes"]).astype(np.int32)
+        self.rows = np.repeat(np.arange(len(self.lens), dtype=np.int32), self.lens)
         self.high, self.low = _unpack_keys(row["high"]), np.frombuffer(row["low"], np.uint16)
         #: the vocabulary in the order of its hashes
         self.order = np.lexsort([self.low, self.high])
         # pairs: where one begins, its number among the distinct ones
-        self.at = np.flatnonzero(self.rows[:-1] == self.rows[1:])
-        token = self.high[self.codes]
-        pair = _longer(token[self.at], token[self.at + 1])
-        self.pairs, self.first, self.of = _distinct(pair >> self.shift)
+        self.at = _places(self.rows[:-1] == self.rows[1:])
+        pair = self._pair(self.at)
+        pair >>= self.shift
+        self.pairs, self.first, self.of = _distinct(pair)
+        del pair
         if answers is None:
             return
         got: dict[int, list[np.ndarray]] = {}
         order = answers.sort_by([("kind", "ascending"), ("bucket", "ascending")])
         for kind, nums in zip(order.column("kind").to_pylist(), order.column("nums").to_pylist(), strict=True):
             got.setdefault(kind, []).append(_unpack(nums).reshape(2 if kind in (ONE, TWO) else 1, -1))
-        self.got = {k: np.concatenate(v, 1) for k, v in got.items()}
+        del order
+        self.got = {k: np.concatenate(got.pop(k), 1) for k in list(got)}
         #: totals of the vocabulary and of the pairs; which of them this block speaks for
         self.c = np.empty(len(self.high), np.int64)
         self.c[self.order] = self._answer(TOKEN)
         self.tells, self.c = self.c & 1, self.c >> 1
         self.n, self.speaks = self._answer(PAIR) >> 1, self._answer(PAIR) & 1 > 0
         # triples whose pairs both occur twice
-        pair_at = np.full(len(self.codes) + 1, -1)
+        pair_at = np.full(len(self.codes) + 1, -1, np.int32)
         pair_at[self.at] = np.where(self.n[self.of] > 1, self.of, -1)
-        self.at3 = np.flatnonzero((pair_at[:-1] >= 0) & (pair_at[1:] >= 0))
+        self.at3 = _places((pair_at[:-1] >= 0) & (pair_at[1:] >= 0))
         self.before, self.after = pair_at[self.at3], pair_at[self.at3 + 1]
-        whole = np.zeros(len(self.codes), np.uint64)
-        whole[self.at] = pair
-        self.triples, self.first3, self.of3 = _distinct(_longer(whole[self.at3], token[self.at3 + 2]) >> self.shift)
+        triple = _longer(self._pair(self.at3), self.high[self.codes[self.at3 + 2]])
+        triple >>= self.shift
+        self.triples, self.first3, self.of3 = _distinct(triple)
+        del triple
         #: where a frequent pair is the context of a token
         follows = np.zeros(len(self.codes), bool)
         follows[self.at] = True
         self.at2 = self.at[(pair_at[self.at] >= 0) & follows[np.minimum(self.at + 1, len(self.codes) - 1)]]
         self.two = pair_at[self.at2]
 
+    def _pair(self, at: np.ndarray) -> np.ndarray:
+        """The whole hash of the pair that begins at each place."""
+        return _longer(self.high[self.codes[at]], self.high[self.codes[at + 1]])
+
+    def train(self) -> np.ndarray:
+        """Whether each token is in a training document."""
+        return ~np.repeat(np.array(self.held, bool), self.lens)
+
     def _answer(self, kind: int, part: int = 0) -> np.ndarray:
         return self.got[kind][part] if kind in self.got else np.empty(0, np.int64)
 
@@ -207,12 +236,13 @@ class Block:
         return codes, keys, of, np.flatnonzero(before)
 
     def ask_counts(self, buckets: int) -> Iterator[pa.RecordBatch]:
-        n = np.bincount(self.codes[self.train], minlength=len(self.high))[self.order]
+        train = self.train()
+        n = np.bincount(self.codes[train], minlength=len(self.high))[self.order]
         yield from self._ask(TOKEN, self.high[self.order], buckets, n[None], 64, self.low[self.order])
-        yield from self._ask(PAIR, self.pairs, buckets, np.bincount(self.of, self.train[self.at], len(self.pairs)).astype(np.int64)[None])
+        yield from self._ask(PAIR, self.pairs, buckets, np.bincount(self.of, train[self.at], len(self.pairs)).astype(np.int64)[None])
 
     def ask_triples(self, buckets: int) -> Iterator[pa.RecordBatch]:
-        yield from self._ask(TRIPLE, self.triples, buckets, np.bincount(self.of3, self.train[self.at3], len(self.triples)).astype(np.int64)[None])
+        yield from self._ask(TRIPLE, self.triples, buckets, np.bincount(self.of3, self.train()[self.at3], len(self.triples)).astype(np.int64)[None])
 
     def ask_contexts(self, buckets: int, total: int) -> Iterator[pa.RecordBatch]:
         """For every context the sums of gains, kinds and counts over the runs that this block speaks for, and its total if it speaks for it."""
@@ -244,26 +274,31 @@ class Block:
 
     def scores(self, total: int, known: int, once: int, discount: float) -> pa.Table:
         unknown, c = max(once, 1) / (total + 1), self.c
+        del self.first, self.first3, self.triples, self.after  # only questions need them
         base = np.log10((c + 1) / (total + 1 * (known + 1)))
         p = np.where(c > 0, (1 - unknown) * c / max(total, 1), unknown)[self.codes]
         if total:
             codes, _, of, two = self.contexts()
             left, keep = np.ones(len(c)), np.zeros(len(c), bool)
             keep[codes], left[codes] = self._left(ONE, of, c[codes], discount)
-            a = self.codes[self.at]
-            at = keep[a]
-            n = self.n[self.of[at]]
-            a, where = a[at], self.at[at] + 1
-            p[where] = np.where(n > 1, n - discount, 0) / c[a] + left[a] * p[where]
+            for part in _parts(self.at):
+                a = self.codes[self.at[part]]
+                at = keep[a]
+                n = self.n[self.of[part][at]]
+                a, where = a[at], self.at[part][at] + 1
+                p[where] = np.where(n > 1, n - discount, 0) / c[a] + left[a] * p[where]
             keep, left = self._left(TWO, np.arange(len(two)), self.n[two], discount)
             share = np.zeros(len(self.codes))
-            n = (self._answer(TRIPLE) >> 1)[self.of3]
-            share[self.at3] = np.where(n > 1, n - discount, 0) / self.n[self.before]
-            to = self.of_two[self.two]
-            at = keep[to]
-            where = self.at2[at] + 2
-            p[where] = share[where - 2] + left[to[at]] * p[where]
-            score = np.log10(p)
+            triples = self._answer(TRIPLE)
+            for part in _parts(self.at3):
+                n = triples[self.of3[part]] >> 1
+                share[self.at3[part]] = np.where(n > 1, n - discount, 0) / self.n[self.before[part]]
+            for part in _parts(self.at2):
+                to = self.of_two[self.two[part]]
+                at = keep[to]
+                where = self.at2[part][at] + 2
+                p[where] = share[where - 2] + left[to[at]] * p[where]
+            score = np.log10(p, out=p)
         else:
             score = np.zeros(len(p))
         m, starts = len(self.lens), np.cumsum(self.lens) - self.lens  # a document has its end at least
