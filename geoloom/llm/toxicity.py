@@ -17,6 +17,7 @@ import math
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
 def units_of(token: str, span: int = 24) -> list[str]:
     """A token's units: itself without punctuation, or windows of it, each after a start mark."""
-    unit = _PLAIN.sub("", token).lower()
+    unit = (token if token.isalnum() else _PLAIN.sub("", token)).lower()
     if len(unit) <= span:
         return [_START + unit] if unit else []
     return [_START + unit[i : i + span] for i in range(0, len(unit) - span // 2, span // 2)]
@@ -138,6 +139,67 @@ def _blocks(chosen: np.ndarray) -> Iterator[np.ndarray]:
         yield found[i : i + _ROWS]
 
 
+class Sums:
+    """Weighted sums of a unit's kernels with marks, before the unit's own norm.
+
+    The sum over the marks is one sum over the subsequences they hold, each with a weight of its own. These lie in a trie
+    with a table for each depth, and the units' partial matches walk it side by side; most end after two or three characters.
+    """
+
+    def __init__(self, marks: list[str], weight: np.ndarray, order: int, decay: float):
+        self.order, self.decay = order, decay
+        self.kinds = np.array(sorted({ord(c) for m in marks for c in m}), np.int32)
+        norm = [float(_kernel(t, t.T, order, decay)[0]) for t in (_codes([m], len(m)) for m in marks)]
+        ends: dict[tuple[int, ...], float] = {}
+        for mark, w, n in zip(marks, weight.tolist(), norm, strict=True):
+            codes = np.searchsorted(self.kinds, [ord(c) for c in mark]).tolist()
+            for at in combinations(range(len(codes)), order):
+                found = tuple(codes[i] for i in at)
+                ends[found] = ends.get(found, 0.0) + w / math.sqrt(max(n, 1e-30)) * decay ** (at[-1] - at[0] + 1)
+        # step[d][node + character]: the node of d + 1 characters, 0 for none; last[node + character]: the weight after the
+        # last character. Nodes are numbered by the places where their rows of characters begin.
+        wide = len(self.kinds)
+        self.step: list[np.ndarray] = []
+        nodes: dict[tuple[int, ...], int] = {(): 0}
+        for depth in range(1, order):
+            below: dict[tuple[int, ...], int] = {}
+            table = np.zeros((len(nodes) + 1) * wide, np.int32)
+            for found in ends:
+                table[nodes[found[: depth - 1]] + found[depth - 1]] = below.setdefault(found[:depth], (len(below) + 1) * wide)
+            self.step.append(table)
+            nodes = below
+        self.last, self.known = np.zeros((len(nodes) + 1) * wide), np.zeros((len(nodes) + 1) * wide, bool)
+        for found, w in ends.items():
+            self.last[nodes[found[:-1]] + found[-1]] = w
+            self.known[nodes[found[:-1]] + found[-1]] = True
+        self.code = np.full(int(self.kinds.max(initial=0)) + 2, -1, np.int32)
+        self.code[self.kinds] = np.arange(wide)
+
+    def __call__(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each row of codes the sum, and whether it shares a subsequence with any mark."""
+        n, length = s.shape
+        code = self.code[np.minimum(s, len(self.code) - 1)].ravel()
+        place = np.flatnonzero(code >= 0).astype(np.int32)  # of characters that any mark has, row by row
+        code, row = code[place], place // length
+        left = np.cumsum(np.bincount(row, minlength=n)).astype(np.int32)[row] - np.arange(1, len(row) + 1, dtype=np.int32)
+        here = np.arange(len(place), dtype=np.int32)
+        node, first = self.step[0].take(code), place
+        for table in [*self.step[1:], None]:
+            on = np.flatnonzero(node)
+            node, here, first = node[on], here[on], first[on]
+            many = left[here]
+            # each partial match with each later character of its row
+            nxt = np.arange(int(many.sum()), dtype=np.int32) + np.repeat(here + 1 - np.cumsum(many, dtype=np.int32) + many, many)
+            at = np.repeat(node, many) + code[nxt]
+            if table is None:
+                break
+            node, here, first = table.take(at), nxt, np.repeat(first, many)
+        on = np.flatnonzero(self.known.take(at))
+        nxt, at, first = nxt[on], at[on], np.repeat(first, many)[on]
+        value = self.last[at] * self.decay ** np.arange(length + 1.0)[place[nxt] - first + 1]
+        return np.bincount(row[nxt], value, n), np.bincount(row[nxt], minlength=n) > 0
+
+
 class Model:
     """Landmarks, the map to features, the separating plane and the logistic curve."""
 
@@ -146,6 +208,7 @@ class Model:
         value, vector = np.linalg.eigh(kernel(marks, marks, order, decay).astype(float) + 1e-6 * np.eye(len(marks)))
         self.whiten = vector @ np.diag(np.where(value > 0.15, 1 / np.sqrt(np.maximum(value, 0.15)), 0)) @ vector.T  # directions with little in them go
         self.plane, self.bias, self.curve = np.zeros(len(marks)), -1.0, np.array([1.0] + [0.0] * WORST)
+        self.sums: Sums | None = None  # made when margins are asked for
 
     def key(self) -> bytes:
         """What the margins of units depend on."""
@@ -155,7 +218,22 @@ class Model:
         return kernel(units, self.marks, self.order, self.decay) @ self.whiten
 
     def margins(self, units: list[str]) -> np.ndarray:
-        return self.features(units) @ self.plane + self.bias if units else np.zeros(0)
+        """``features`` @ plane + bias; as the plane is linear in the kernels, without the kernel of every mark."""
+        out = np.full(len(units), float(self.bias))
+        if not units or not self.marks:
+            return out
+        if self.sums is None:
+            self.sums = Sums(self.marks, self.whiten @ self.plane, self.order, self.decay)
+        by_length = np.array(sorted(range(len(units)), key=lambda i: len(units[i])))
+        for at in range(0, len(units), _ROWS):
+            part = by_length[at : at + _ROWS]
+            s = _codes([units[i] for i in part.tolist()], max(1, len(units[part[-1]])))
+            total, near = self.sums(s)
+            row = np.flatnonzero(near)
+            if len(row):
+                own = _kernel(s[row], np.ascontiguousarray(s[row].T), self.order, self.decay)
+                out[part[row]] += total[row] / np.sqrt(np.maximum(own, 1e-30))
+        return out
 
     def fit_plane(self, units: list[str], label: np.ndarray, weight: np.ndarray, cost: float = 10.0, rounds: int = 60) -> None:
         """Dual coordinate descent for the weighted hinge loss."""
@@ -170,7 +248,7 @@ class Model:
                 alpha[i] = min(max(old - (y[i] * (w @ x[i]) - 1) / square[i], 0.0), most[i])
                 if alpha[i] != old:
                     w += (alpha[i] - old) * y[i] * x[i]
-        self.plane, self.bias = w[:-1], float(w[-1])
+        self.plane, self.bias, self.sums = w[:-1], float(w[-1]), None
 
     def fit_curve(self, margins: np.ndarray, label: np.ndarray, rounds: int = 60) -> None:
         """Logistic regression of the label on the worst margins (Newton, slightly pulled to 0); slopes under 0 go."""
@@ -212,7 +290,7 @@ def _token_margins(model: Model):
         units = [units_of(t) for t in tokens]
         kinds = sorted({u for us in units for u in us})
         known = dict(zip(kinds, model.margins(kinds).tolist(), strict=True))
-        return [max((known[u] for u in us), default=floor) for us in units]
+        return [known[us[0]] if len(us) == 1 else max((known[u] for u in us), default=floor) for us in units]
 
     return work
 

@@ -283,6 +283,23 @@ def test_kernel_is_the_subsequence_kernel():
             assert abs(got[i, j] - brute(u, m, 3, 0.8)) < 1e-4
 
 
+def test_margins_are_those_of_the_features(monkeypatch):
+    """And take one kernel for a few thousand units, not one for every landmark."""
+    from geoloom.llm import toxicity as module
+
+    r = random.Random(8)
+    marks = ["^abcde", "^aabbcc", "^dcbaabcd", "^\u00e9\U0001f600ab\u00e9d"]
+    model = module.Model(marks, 4, 0.8)
+    model.fit_plane([*marks, "^dead", "^bead", "^cabbage"], np.array([1, 1, 1, 1, 0, 0, 0]), np.ones(7))
+    units = ["^" + "".join(r.choice("abcdxy\u00e9\U0001f600") for _ in range(r.randint(0, 24))) for _ in range(300)] + ["^", "xyxy", "^abcde"]
+    assert np.abs(model.margins(units) - (model.features(units) @ model.plane + model.bias)).max() < 1e-4
+    assert model.margins([]).tolist() == [] and np.ptp(model.margins(["xyxyx", "zz"])) == 0
+    calls, plain = [], module._kernel
+    monkeypatch.setattr(module, "_kernel", lambda *x: calls.append(1) or plain(*x))
+    model.margins(units)
+    assert len(calls) <= 1
+
+
 @pytest.fixture(scope="module")
 def toxic(spark):
     """Labelled documents in which some words are insults."""
