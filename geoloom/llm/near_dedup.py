@@ -181,7 +181,7 @@ def neighbours(labels: DataFrame, depth: int, look: int, test: Callable | None =
 
 def crowd_links(docs: DataFrame, crowd: DataFrame, reps: DataFrame, of: DataFrame, k: int, percent: int, depth: int) -> tuple[DataFrame, DataFrame]:
     """Components (node, component) with the links that sizes prove, and the pairs (a < b) still to be confirmed."""
-    wanted = F.broadcast(crowd) if crowd.count() <= BROADCAST_ROWS else crowd
+    wanted = F.broadcast(crowd) if crowd.count() <= BROADCAST_ROWS else crowd.hint("merge")
     texts = docs.join(wanted, docs.doc_id == wanted.id, "left_semi").dropDuplicates(["doc_id"])
     sets = crowds.leading_sets(texts, reps, k, percent, depth)
     rows = crowds.region_rows(sets)
@@ -206,7 +206,7 @@ def _confirm(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFra
     """Those of the pairs (a, b) with 100 * intersection >= percent * union of their full shingle sets."""
     pairs = stage(pairs.select("a", "b"))
     ids = stage(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
-    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids.hint("merge")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, limit=WORD_BYTES):
@@ -216,8 +216,7 @@ def _confirm(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFra
 
     held = docs.join(wanted, docs.doc_id == wanted.id, "left_semi").mapInArrow(sets, "doc_id long, set binary")
     held = stage(held.dropDuplicates(["doc_id"]))
-    left = held.select(F.col("doc_id").alias("a"), F.col("set").alias("sa"))
-    right = held.select(F.col("doc_id").alias("b"), F.col("set").alias("sb"))
+    left, right = (held.select(F.col("doc_id").alias(x), F.col("set").alias(f"s{x}")).hint("merge") for x in "ab")
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -264,8 +263,9 @@ def near_dedup(docs: DataFrame, k: int = 5, percent: int = 75, trees: int = 16,
     small = stage(reps.select("doc_id", low.alias("low")))
 
     def screened(pairs: DataFrame) -> DataFrame:
-        met = pairs.join(small.select(F.col("doc_id").alias("a"), F.col("low").alias("pa")), "a").join(small.select(F.col("doc_id").alias("b"), F.col("low").alias("pb")), "b")
-        return stage(met.select("a", "b", "pa", "pb").mapInArrow(alike, "a long, b long, score double"))
+        # merged at every size: pairs lie in files with wide columns beside them, of which the planner takes them for a small share
+        left, right = (small.select(F.col("doc_id").alias(x), F.col("low").alias(f"p{x}")).hint("merge") for x in "ab")
+        return stage(pairs.join(left, "a").join(right, "b").select("a", "b", "pa", "pb").mapInArrow(alike, "a long, b long, score double"))
 
     scored = screened(pairs.distinct())
     ends = scored.select("a", "b", "score", F.col("b").alias("me")).union(scored.select("a", "b", "score", F.col("a").alias("me")))

@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 
+import geoloom.llm.near_dedup as near_dedup_module
 from geoloom.llm.byte_bpe import decode, encode, round_trip
 from geoloom.llm.exact_dedup import exact_dedup
 from geoloom.llm.license_scan import TEMPLATES, align, disjoint, license_scan, words_of
@@ -523,6 +524,24 @@ def test_near_dedup(spark, seed):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in rows)
 
 
+def test_near_dedup_sends_no_pairs_to_the_driver(spark, monkeypatch):
+    """Pairs, signatures and shingle sets are merged, however small the planner takes them for."""
+    plans, stage = [], near_dedup_module.stage
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df)
+
+    monkeypatch.setattr(near_dedup_module, "stage", seen)
+    texts = dict(enumerate(corpus(5, 200)))
+    rows = near_dedup(frame(spark, list(texts.values()))).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == brute_components(texts)
+    met = [plan for plan in plans if "MapInArrow alike(" in plan or "MapInArrow test(" in plan]
+    assert len(met) >= 3  # screened once and confirmed twice; in crowds once more, where rare shingles meet before
+    assert all(plan.count("SortMergeJoin") >= 2 for plan in met)
+    assert all("BroadcastExchange" not in plan for plan in met[:3])
+
+
 def test_near_dedup_crowd(spark):
     """Hundreds of near copies of one text, and a passage that unrelated texts share."""
     r = random.Random(11)
