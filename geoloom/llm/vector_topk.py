@@ -130,7 +130,8 @@ def vector_topk(vectors: DataFrame, k: int = 20, every: int = 20, bits: int = 4,
                 found = scan(q_ids, q, ids, exact, cells, bits, k)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()) for a in found], ["query_id", "vec_id", "score"])
 
-    met = asked.join(chunked, "chunk").select("q_dim", "q_ids", "q_exact", "dim", "ids", "exact", "cells")
+    # merged at every size: the planner sees the blocks' files, not that each block is there once for every chunk
+    met = asked.join(chunked.hint("merge"), "chunk").select("q_dim", "q_ids", "q_exact", "dim", "ids", "exact", "cells")
     best = met.mapInArrow(search, "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -714,6 +714,16 @@ def test_vector_topk_huge(spark):
     assert got == want
 
 
+def test_vector_topk_sends_no_blocks_to_the_driver(spark):
+    """Blocks are there once for every chunk when they meet the chunks; files of a hundredth of that must not count as small."""
+    r = np.random.default_rng(3)
+    vectors = {i: [float(np.float32(x)) for x in r.normal(0, 1, 4)] for i in range(90)}
+    found = vector_topk(spark.createDataFrame(list(vectors.items()), "vec_id long, embedding array<float>"), 5, 3, chunk_rows=8, block_rows=4)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert {tuple(x) for x in found.collect()} == brute_topk(vectors, 5, 3)
+
+
 def test_vector_topk_empty(spark):
     assert vector_topk(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
